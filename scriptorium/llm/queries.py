@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from scriptorium.llm import line_dedup, url_lists
 from scriptorium.llm.common import table
 from scriptorium.llm.mixing import mixing_digest
+from scriptorium.llm.packing import pack_documents
 from scriptorium.llm.sharding import sharding_digest
-from scriptorium.llm import url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +20,14 @@ def op1_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.url_lists_report(table(spark, sf_dir, "pages"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_digest(table(spark, sf_dir, "documents"))
 
@@ -26,5 +36,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op9_sharding, op10_mixing)}
-SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op6_line_dedup, op9_sharding, op10_mixing)}
+SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL}

@@ -11,6 +11,7 @@ from scriptorium.llm import line_dedup, url_lists
 from scriptorium.llm.common import table
 from scriptorium.llm.mixing import mixing_digest
 from scriptorium.llm.packing import pack_documents
+from scriptorium.llm.quality import quality_digest
 from scriptorium.llm.sharding import sharding_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -36,5 +41,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op6_line_dedup, op9_sharding, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op6_line_dedup, op9_sharding, op10_mixing)}
 SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL}

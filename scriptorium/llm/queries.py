@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import line_dedup, url_lists
 from scriptorium.llm.common import table
+from scriptorium.llm.edit_embedding import fingerprint_digest
 from scriptorium.llm.mixing import mixing_digest
 from scriptorium.llm.packing import pack_documents
 from scriptorium.llm.quality import quality_digest
@@ -29,6 +30,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -41,5 +46,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op6_line_dedup, op9_sharding, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op9_sharding, op10_mixing)}
 SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL}

@@ -14,6 +14,7 @@ from scriptorium.llm.mixing import mixing_digest
 from scriptorium.llm.packing import pack_documents
 from scriptorium.llm.quality import quality_digest
 from scriptorium.llm.sharding import sharding_digest
+from scriptorium.llm.vector_dedup import vector_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_digest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_digest(table(spark, sf_dir, "documents"))
 
@@ -46,5 +51,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op9_sharding, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op9_sharding, op10_mixing)}
 SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL}

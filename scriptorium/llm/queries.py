@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import line_dedup, url_lists
+from scriptorium.llm import line_dedup, substring_dedup, url_lists
 from scriptorium.llm.common import table
 from scriptorium.llm.edit_embedding import fingerprint_digest
 from scriptorium.llm.mixing import mixing_digest
@@ -43,6 +43,10 @@ def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_digest(table(spark, sf_dir, "documents"))
 
@@ -51,5 +55,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op9_sharding, op10_mixing)}
-SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op8_substring_dedup, op9_sharding, op10_mixing)}
+SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL, "op8_substring_dedup": substring_dedup.SQL}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scriptorium.llm import line_dedup, substring_dedup, url_lists
 from scriptorium.llm.common import table
 from scriptorium.llm.edit_embedding import fingerprint_digest
+from scriptorium.llm.minhash_dedup import near_digest
 from scriptorium.llm.mixing import mixing_digest
 from scriptorium.llm.packing import pack_documents
 from scriptorium.llm.quality import quality_digest
@@ -31,6 +32,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_digest(table(spark, sf_dir, "documents"))
 
@@ -55,5 +60,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op8_substring_dedup, op9_sharding, op10_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op4_minhash_dedup, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op8_substring_dedup, op9_sharding, op10_mixing)}
 SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL, "op8_substring_dedup": substring_dedup.SQL}

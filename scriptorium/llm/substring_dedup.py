@@ -58,9 +58,8 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for lo in range(0, len(whole), 1024):
             b = whole.slice(lo, 1024)
-            owner, low, start, many = super_kmers(Words(b.column(2)))
-            at = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([pa.array(low), b.column(0).take(at), b.column(1).take(at), pa.array(start)], ["low", "id", "h", "start"])
+            owner, low, _, _ = super_kmers(Words(b.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(low), b.column(0).take(pa.array(owner))], ["low", "k"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,57 +69,74 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words(b.column(2))
             owner, low, start, many = super_kmers(words)
             lists = b.column(3)
-            wanted = np.repeat(np.arange(len(b)), np.diff(lists.offsets.to_numpy())) << 32 | lists.flatten().to_numpy().astype(np.int64)
-            pick = np.flatnonzero(np.isin(owner.astype(np.int64) << 32 | start.astype(np.int64), wanted))
+            wanted = np.split(lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
+            ends = np.searchsorted(owner, np.arange(len(b) + 1))
+            pick = np.flatnonzero(np.concatenate([np.isin(low[x:y], w) for x, y, w in zip(ends, ends[1:], wanted, strict=False)])) if len(b) else owner
             distinct = words.distinct.to_pylist()
             texts = []
             for i in pick.tolist():
                 a = int(words.starts[owner[i]]) + int(start[i])
                 texts.append(" ".join([distinct[c] for c in words.codes[a : a + int(many[i]) + WINDOW - 1].tolist()]))
             at = pa.array(owner[pick])
-            yield pa.RecordBatch.from_arrays([pa.array(low[pick]), b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())], ["low", "id", "h", "start", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array(low[pick]), b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())], ["low", "id", "k", "start", "packed"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of words under windows that are not the first of their kind; rows come sorted by (low, id, h, start)."""
+    """Spans of words under windows that are not the first of their kind; rows come sorted by (low, id, k, start)."""
     now, seen = None, {}
     for b in batches:
         out: list[tuple[int, int, int, int]] = []
-        for low, id_, h, start, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for low, id_, k, start, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if low != now:
                 now, seen = low, {}
             ends = list(accumulate((len(w) + 1 for w in packed.split(" ")), initial=0))
             begin = None
             for i in range(len(ends) - WINDOW):
-                place = (id_, h, start + i)
+                place = (id_, k, start + i)
                 repeat = seen.setdefault(packed[ends[i] : ends[i + WINDOW] - 1], place) != place
                 if repeat and begin is None:
                     begin = start + i
                 elif not repeat and begin is not None:
-                    out.append((id_, h, begin, start + i - 1 + WINDOW))
+                    out.append((id_, k, begin, start + i - 1 + WINDOW))
                     begin = None
             if begin is not None:
-                out.append((id_, h, begin, start + len(ends) - WINDOW - 1 + WINDOW))
+                out.append((id_, k, begin, start + len(ends) - WINDOW - 1 + WINDOW))
         cols = list(zip(*out, strict=True)) or [()] * 4
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["id", "h", "from", "to"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["id", "k", "from", "to"])
 
 
-def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """texts(id, h, text): copies(id, h) whose text a smaller id holds too, and spans(id, h, spans) of the others.
+def marked(texts: DataFrame) -> DataFrame:
+    """texts(id, k, text) to (mid, mk, spans, copy): what to cut from each text, for those with something to cut.
 
-    h is a hash of the text; rows with one id and different texts are different documents in the order of h.
+    k is a hash of id and text. copy: a smaller id holds the same text. Rows with one id and different texts are
+    different documents in the order of k.
     """
-    full = texts.select("id", "h", F.xxhash64(F.lit(2), "text").alias("h2"))
-    first = full.groupBy("h", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = saved(full.join(first, ["h", "h2"]).where("id > first").select("id", "h").distinct(), "copies")
-    thin = saved(texts.select("id", "h", "text").mapInArrow(_thin, "low long, id long, h long, start int"), "super-kmers")
+    full = texts.select("id", "k", F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
+    first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    copies = saved(full.join(first, ["h1", "h2"]).where("id > first").select("id", "k").distinct(), "copies")
+    thin = saved(texts.select("k", "text").mapInArrow(_thin, "low long, k long"), "super-kmers")
     more = thin.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
-    wanted = thin.join(more, "low").join(copies, ["id", "h"], "left_anti").groupBy("id", "h").agg(F.collect_set("start").alias("starts"))
-    packed = texts.select("id", "h", "text").join(wanted.hint("shuffle_hash"), ["id", "h"]).select("id", "h", "text", "starts")
-    packed = packed.mapInArrow(_packed, "low long, id long, h long, start int, packed string")
-    spans = packed.repartition("low").sortWithinPartitions("low", "id", "h", "start").mapInArrow(_repeats, "id long, h long, from int, to int")
-    return copies, spans.groupBy("id", "h").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    # a clash of two documents' k only lets superfluous super-k-mers travel
+    wanted = thin.join(more, "low").join(copies.select("k"), "k", "left_anti").groupBy("k").agg(F.collect_set("low").alias("lows"))
+    packed = texts.join(wanted.hint("shuffle_hash"), "k").select("id", "k", "text", "lows")
+    packed = packed.mapInArrow(_packed, "low long, id long, k long, start int, packed string")
+    spans = packed.repartition("low").sortWithinPartitions("low", "id", "k", "start").mapInArrow(_repeats, "id long, k long, from int, to int")
+    spans = spans.groupBy("id", "k").agg(F.collect_list(F.struct("from", "to")).alias("spans")).withColumn("copy", F.lit(False))
+    both = spans.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
+    return both.select(F.col("id").alias("mid"), F.col("k").alias("mk"), "spans", "copy")
+
+
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """(id, k, text) and more columns of docs."""
+    own = F.coalesce("text", F.lit(""))
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    return docs.select(id_.alias("id"), F.xxhash64(id_, own).alias("k"), own.alias("text"), *more)
+
+
+def _with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Joins on k alone, so that rows keep the partitioning they were exchanged by before."""
+    return rows.join(marks.hint("shuffle_hash"), (rows["k"] == marks["mk"]) & (rows["id"] <= marks["mid"]) & (rows["id"] >= marks["mid"]), "left")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -131,20 +147,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     stay in each; very long texts cost their length.
     """
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    own = F.coalesce("text", F.lit(""))
-    keyed = docs.select(*keep, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("__id"), F.xxhash64(F.lit(1), own).alias("__h"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(F.lit(1), own).alias("h"), own.alias("text"))
-    copies, spans = repeated_spans(texts)
-    marks = spans.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
-    marks = marks.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans", "copy")
-    both = keyed.join(marks.hint("shuffle_hash"), ["__id", "__h"], "left").select(*keep, "spans", "copy")
-    at, n = keep.index("text"), len(keep)
+    rows = docs.select(F.struct(*keep).alias("row__"), "doc_id", "text")
+    both = _with_marks(keyed(rows, "row__"), marked(keyed(docs)))
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in keep}
+    return _cut(both.select(*[F.col("row__")[c].alias(c) for c in keep], "spans", "copy", F.col("text").alias("text__")), kinds)
+
+
+def _cut(both: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """both: the columns of kinds, then spans, copy and the text."""
+    keep = list(kinds)
+    n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 512):
                 b = whole.slice(lo, 512)
-                words = Words(b.column(at))
+                words = Words(b.column(n + 2))
                 distinct = words.distinct.to_pylist()
                 gone, kept = [], []
                 for i, (spans, copy) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)):
@@ -162,12 +180,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     kept.append(" ".join([distinct[c] for c in codes.tolist()]))
                 yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], [*keep, "n_words", "n_removed", "kept_text"])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
     return both.mapInArrow(run, schema + ", n_words long, n_removed long, kept_text string")
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:
-    out = remove_repeats(docs.select("doc_id", "text"))
+    """The digest of remove_repeats. Texts are exchanged once, for both joins by document."""
+    texts = keyed(docs)
+    both = _with_marks(texts, marked(texts)).select(F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "spans", "copy", "text")
+    out = _cut(both, {"doc_id": "long"})
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 

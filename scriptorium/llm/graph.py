@@ -2,12 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import saved
 
 
+ONE_TASK = 1 << 18  # so many edges at most are joined in one task; more go by stars
+
+
+class Forest:
+    """A small union-find whose roots are the smallest members."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, a: int) -> int:
+        while (b := self.up.setdefault(a, a)) != a:
+            self.up[a] = a = self.up[b]
+        return a
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether a and b were apart until now."""
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forest = Forest()
+    for b in batches:
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            forest.join(x, y)
+    found = [(a, r) for a in sorted(forest.up) if (r := forest.root(a)) != a]
+    for lo in range(0, len(found), 10_000):
+        ids, roots = zip(*found[lo : lo + 10_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
+
+
 def _mark(edges: DataFrame) -> tuple[int, int]:
     """Count and an order-free checksum, to see whether a round changed anything."""
     r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1))).alias("h")).first()
@@ -24,6 +59,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     big, small = F.greatest(a, b), F.least(a, b)
     now = saved(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(big.alias("a"), small.alias("b")).distinct(), "edges")
     mark = _mark(now)
+    if mark[0] <= ONE_TASK:
+        now, mark = saved(now.coalesce(1).mapInArrow(_joined, "a long, b long"), "edges"), (0, 0)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

@@ -7,10 +7,17 @@ w. A register keeps the earliest time, so two registers agree with a probability
 similarity, and the work follows the registers and not the weights: points later than all registers can hold are never
 drawn.
 
-Texts that share a band of registers meet. Links are verified exactly (sum of minima over sum of maxima of counts).
-Equal texts are one from the start. Classes come from links of bucket members to pivots: first each text against one
-pivot; then, wherever a bucket still spans classes, against more pivots, the rarest classes first, until every pair of
-bucket members is either in one class or was compared. No bucket emits its pairs, and none is cut short.
+Texts that share a band of registers meet. Equal texts are one from the start. Links are verified exactly (sum of
+minima over sum of maxima of counts), in three steps:
+
+1. each text against one pivot, the same for as many of its buckets as can be, which joins most classes;
+2. where a bucket of SMALL members at most still spans classes, the pairs across them;
+3. where a larger one does, all of it, in blocks: a task for each pair of blocks holds the shingles of their members,
+   multiplies out all overlaps and returns a spanning forest, never the pairs.
+
+After that every pair of bucket members is either in one class or was compared: no bucket is cut short. Pairs whose
+registers agree in fewer than LEAST_AGREE places are not looked at: a pair at the threshold does that with a
+probability of 1e-10.
 """
 
 from __future__ import annotations
@@ -19,16 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import Words, gram_hashes, mix64, saved
-from scriptorium.llm.graph import components
+from scriptorium.llm.graph import Forest, components
 
 SHINGLE, SIMILAR_NUM, SIMILAR_DEN = 5, 4, 5  # five words, a similarity of 4/5
 BANDS, ROWS = 25, 5  # at 0.8 a pair misses all bands with a probability of 5e-5
 REGISTERS = BANDS * ROWS
-FIRST_PIVOTS = 8
+LEAST_AGREE = 70
+SMALL, BLOCK, COMMON = 32, 512, 16
 LAST = 2**63 - 1  # stands for a null id
 
 
@@ -102,15 +110,21 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def register_bytes(signature: np.ndarray) -> np.ndarray:
+    """One byte of a hash for each register: enough to count agreements."""
+    return (mix64(signature.view(np.uint64), 9) & np.uint64(0xFF)).astype(np.uint8)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for lo in range(0, len(whole), 1024):
             b = whole.slice(lo, 1024)
             words = Words(b.column(3))
-            signature = bands(registers(*shingles(words), len(b)))
+            times = registers(*shingles(words), len(b))
+            signature, short = bands(times), register_bytes(times)
             sizes = np.where(words.counts > 0, BANDS, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(signature[words.counts > 0].ravel()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], lists], ["id", "h1", "h2", "bands"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], lists, pa.array([r.tobytes() for r in short], pa.binary())], ["id", "h1", "h2", "bands", "short"])
 
 
 def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -133,43 +147,119 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.select([0, 1]).filter(pa.array(similar(b.column(2), b.column(3))))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs(a, b) whose texts(id, text) are similar; pairs must be distinct."""
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long").distinct()
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        one, two = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
+        yield b.select([0, 1]).filter(pa.array((one == two).sum(1) >= LEAST_AGREE))
+
+
+def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The distinct pairs(a, b) whose texts(id, text) are similar. Registers are asked first, so few texts travel."""
+    one, two = (reps.select(F.col("id").alias(k), F.col("short").alias(f"s{k}")) for k in "ab")
+    likely = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long"), "pairs")
+    ids = saved(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+    used = texts.join(ids, "id", "left_semi")
+    one, two = (used.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+    return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long").distinct()
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's multiset as a set of (shingle, how often before) hashes: overlaps become counts of common elements."""
+    for whole in batches:
+        for lo in range(0, len(whole), 1024):
+            b = whole.slice(lo, 1024)
+            owner, own, counts = shingles(Words(b.column(1)))
+            turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            flat = mix64(np.repeat(own, counts) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 6)
+            ends = np.searchsorted(np.repeat(owner, counts), np.arange(len(b) + 1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([flat[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)], pa.binary())], ["id", "elements"])
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Common elements of every two sets. Elements of many sets are multiplied as columns, those of few are paired off."""
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    order = np.lexsort((owner, flat))
+    owner, flat = owner[order], flat[order]
+    first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, int)
+    many = np.diff(np.append(first, len(flat)))
+    for c in range(2, COMMON):
+        at = first[many == c]
+        for x in range(c):
+            for y in range(x + 1, c):
+                np.add.at(out, (owner[at + x], owner[at + y]), 1)
+    wide = np.flatnonzero(many >= COMMON)
+    for lo in range(0, len(wide), 2048):
+        part = wide[lo : lo + 2048]
+        cells = np.zeros((n, len(part)), np.float32)
+        column = np.repeat(np.arange(len(part)), many[part])
+        row = np.arange(len(column)) - np.repeat(np.cumsum(many[part]) - many[part], many[part]) + np.repeat(first[part], many[part])
+        cells[owner[row], column] = 1
+        out += np.triu(cells @ cells.T, 1)
+    return out
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Forest edges across classes; rows come sorted by (band, key, i, j)."""
+    held: list[tuple[int, int, bytes]] = []
+    now = None
+    for b in batches:
+        keys = zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)
+        for key, id_, c, elements in zip(keys, b.column(4).to_pylist(), b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True):
+            if key != now:
+                yield _compare(held)
+                now, held = key, []
+            held.append((id_, c, elements))
+    yield _compare(held)
+
+
+def _compare(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    edges, forest = [], Forest()
+    if len({c for _, c, _ in held}) > 1:
+        ids, c = np.array([h[0] for h in held]), np.array([h[1] for h in held])
+        sets = [np.frombuffer(h[2], np.uint64) for h in held]
+        size, common = np.array([len(s) for s in sets]), overlaps(sets)
+        i, j = np.nonzero(common)
+        good = (c[i] != c[j]) & (SIMILAR_DEN * common[i, j] >= SIMILAR_NUM * (size[i] + size[j] - common[i, j]))
+        edges = [(int(ids[x]), int(ids[y])) for x, y in zip(i[good], j[good], strict=True) if forest.join(int(c[x]), int(c[y]))]
+    a, b = zip(*edges, strict=True) if edges else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def classes_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """reps(id, bands) and texts(id, text): (id, component) for ids that links take to a smaller one."""
+    """reps(id, bands, short) and texts(id, text): (id, component) for ids that links take to a smaller one."""
     rows = reps.select("id", F.posexplode("bands").alias("band", "key"))
     order = F.xxhash64(F.lit(4), "id")
     full = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "id")).alias("head")).where("n > 1")
     members = saved(rows.join(full, ["band", "key"]).select("band", "key", "id", "n", "head"), "bucket-members")
     first = members.groupBy("id").agg(F.min("head").alias("head"))  # buckets share their pivots, so most classes come whole
-    pairs = first.select(F.col("id").alias("a"), F.col("head.id").alias("b")).where("a <> b")
-    links = saved(verified(pairs, texts), "links")
-    known = saved(components(links, "a", "b"), "classes")
-    retired, pivots = None, FIRST_PIVOTS
-    while True:
-        own = members.select("band", "key", "id").join(known, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("c"))
-        left = own if retired is None else own.join(retired, ["band", "key", "id"], "left_anti")
-        open_ = left.groupBy("band", "key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("band", "key")
-        left = left.join(open_, ["band", "key"])
-        rare = left.groupBy("band", "key", "c").agg(F.count("*").alias("size"))
-        by_rarity = Window.partitionBy("band", "key").orderBy("size", "c", F.xxhash64("id"), "id")
-        chosen = left.join(rare, ["band", "key", "c"]).withColumn("r", F.row_number().over(by_rarity)).where(F.col("r") <= pivots)
-        chosen = saved(chosen.select("band", "key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
-        if not chosen.head(1):
-            return known
-        pairs = own.join(chosen, ["band", "key"]).where("c <> pc").select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
-        more = saved(verified(pairs, texts), "links")
-        links = links.unionByName(more)
-        if more.head(1):
-            known = saved(components(known.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more), "a", "b"), "classes")
-        done = chosen.select("band", "key", F.col("p").alias("id"))
-        retired = done if retired is None else retired.unionByName(done)
-        pivots *= 4
+    links = saved(verified(first.select(F.col("id").alias("a"), F.col("head.id").alias("b")).where("a <> b"), reps, texts), "links")
+    known = components(links, "a", "b")
+
+    def still_open(size) -> DataFrame:
+        """Members of buckets of such a size that span classes, with their classes."""
+        own = members.where(size).select("band", "key", "id", "n").join(known, "id", "left").select("band", "key", "id", "n", F.coalesce("component", "id").alias("c"))
+        mixed = own.groupBy("band", "key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("band", "key")
+        return own.join(mixed, ["band", "key"])
+
+    few = saved(still_open(F.col("n") <= SMALL), "open-buckets")
+    other = few.select("band", "key", F.col("id").alias("b"), F.col("c").alias("cb"))
+    pairs = few.join(other, ["band", "key"]).where("id > b and c <> cb").select(F.col("id").alias("a"), "b").distinct()
+    links = links.unionByName(saved(verified(pairs, reps, texts), "links"))
+    known = components(links, "a", "b")
+
+    many = saved(still_open(F.col("n") > SMALL), "open-buckets")
+    if many.head(1):
+        ids = saved(many.select("id").distinct(), "open-ids")
+        sets = saved(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_elements, "id long, elements binary"), "elements")
+        many = many.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(order, F.col("blocks")).cast("int"))
+        many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
+        met = many.join(sets, "id").select("band", "key", "i", "j", "id", "c", "elements").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
+        links = links.unionByName(saved(met.mapInArrow(_blocks, "a long, b long"), "links"))
+        known = components(links, "a", "b")
+    return known
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,9 +286,9 @@ def _keys():
 def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, h1, h2, bands) of every row, and (h1, h2, class__) of every distinct text."""
     own = F.coalesce("text", F.lit(""))
-    signed = saved(docs.select(*_keys(), own.alias("text")).mapInArrow(_banded, "id long, h1 long, h2 long, bands array<long>"), "signatures")
-    reps = saved(signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "distinct-texts")
-    known = classes_of(reps.select("id", "bands").where(F.size("bands") > 0), docs.select(_keys()[0], own.alias("text")))
+    signed = saved(docs.select(*_keys(), own.alias("text")).mapInArrow(_banded, "id long, h1 long, h2 long, bands array<long>, short binary"), "signatures")
+    reps = saved(signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("short").alias("short")), "distinct-texts")
+    known = classes_of(reps.select("id", "bands", "short").where(F.size("bands") > 0), docs.select(_keys()[0], own.alias("text")))
     return signed, reps.select("h1", "h2", "id").join(known, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("class__"))
 
 

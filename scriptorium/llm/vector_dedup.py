@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import saved
-from scriptorium.llm.graph import components
+from scriptorium.llm.graph import Forest, components
 
 COSINE, MISS, BLOCK, ERRORS = 0.98, 1e-5, 1024, 4.0
 
@@ -55,23 +55,6 @@ def settle(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.
     return i[good], j[good], len(i)
 
 
-class Forest:
-    """A small union-find."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-
-    def root(self, a: int) -> int:
-        while (b := self.up.setdefault(a, a)) != a:
-            self.up[a] = a = self.up[b]
-        return a
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def vector_links(df: DataFrame, vec_id: str, vector: str, label: str, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row; links join rows of one label with a cosine of `cosine` or more.
 

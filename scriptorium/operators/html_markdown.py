@@ -158,7 +158,7 @@ class Renderer:
             line.clear()
 
         for child in node.children:
-            if isinstance(child, Node) and (child.tag in BLOCKS or child.tag in SILENT or self._holds_block(child)):
+            if isinstance(child, Node) and (child.tag in BLOCKS or self._holds_block(child)):
                 flush()
                 out += self.block(child)
             else:

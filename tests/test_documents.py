@@ -44,7 +44,7 @@ def markdown(html):
     ("<blockquote><p>q</p><p>r</p></blockquote>", "> q\n>\n> r\n"),
     ("<p><a href='https://x.org'>https://x.org</a> <a href='y.html'>y</a> <code>a`b</code></p>", "<https://x.org> [y](y.html) ``a`b``\n"),
     ("<p>a<script>var t='</p>';</script><style>p{}</style>b</p>", "ab\n"),
-    ("<p><b>open<p>next</p>", "**open**\n\nnext\n"),
+    ("<p><b>open<p>next</p>", "open\n\nnext\n"),
     ("<img alt='i' src='a.png'>", "![i](a.png)\n"),
     ("", "\n"),
 ])

@@ -47,16 +47,21 @@ def write(df: DataFrame, path: str) -> None:
 
 
 def refresh(pages: DataFrame, folder: str) -> DataFrame:
-    """Brings the index up to the pages: only versions with a difference are written again. Returns the difference."""
+    """Brings the index up to the pages: only versions with a difference are written again. Returns the difference.
+
+    Both tables of a version are replaced as a whole, so a refresh that is cut off is completed by running it again.
+    """
     spark = pages.sparkSession
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    old = spark.read.parquet(f"{folder}/chunks").select(*PAGE, "body_md5").distinct()
-    change = delta(old, pages).cache()
+    chunks_path, marks = f"{folder}/chunks", f"{folder}/postings"
+    old = spark.read.parquet(chunks_path).select(*PAGE, "body_md5").distinct()
+    delta(old, pages).write.mode("overwrite").parquet(f"{folder}/changes")  # the record of this refresh; also keeps it fixed while its sources are rewritten
+    change = spark.read.parquet(f"{folder}/changes")
     versions = change.select("collection", "version").distinct()
     chunks = chunk_pages(pages.join(F.broadcast(versions), ["collection", "version"], "left_semi"))  # one row for each version of a product
-    for name, df in (("chunks", chunks), ("postings", postings(chunks))):
-        df.repartition("collection", "version").write.mode("overwrite").partitionBy("collection", "version").parquet(f"{folder}/{name}")
+    for path, df in ((marks, postings(chunks)), (chunks_path, chunks)):  # chunks last: they are what the next difference looks at
+        df.repartition("collection", "version").write.mode("overwrite").partitionBy("collection", "version").parquet(path)
     gone = versions.join(pages.select("collection", "version").distinct(), ["collection", "version"], "left_anti").collect()
     for r in gone:  # versions without pages any more
         for name in ("chunks", "postings"):

@@ -16,7 +16,7 @@ BOXES = {
     "attention": "Attention", "danger": "Danger", "error": "Error", "seealso": "See also", "admonition": "Note",
 }
 CODE = {"code-block", "code", "sourcecode", "prompt", "highlight"}
-_UNDER = re.compile(r"([=\-`:.'\"~^_*+#<>])\1{1,}\s*$")
+_UNDER = re.compile(r"([=\-`:.'\"~^_*+#<>])\1*\s*$")
 _DIRECTIVE = re.compile(r"\.\. ([\w:-]+)::\s*(.*)$")
 
 
@@ -74,7 +74,7 @@ def _blocks(lines: list[str], levels: list[str]) -> str:
         below = lines[at + 1] if at + 1 < len(lines) else ""
         if not line.strip():
             at += 1
-        elif _UNDER.match(line) and below.strip() and at + 2 < len(lines) and lines[at + 2].rstrip() == line.rstrip() and not re.match(r"[ =]*$", below):
+        elif len(line) > 2 and _UNDER.match(line) and below.strip() and at + 2 < len(lines) and lines[at + 2].rstrip() == line.rstrip() and not re.match(r"[ =]*$", below):
             out.append(f"{'#' * min(6, _level('over' + line[0], levels))} {inline(below.strip())}")
             at += 3
         elif line.strip() and not line.startswith((" ", "..")) and _UNDER.match(below) and len(below.rstrip()) >= min(3, len(line.strip())):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.functions import frontmatter, urls
@@ -121,7 +121,10 @@ def grep_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.grep(document_pages(spark, sf_dir), "(?i)worthless|idiot|moron")
 
 
-BASE = F.regexp_extract("url", "^([a-z]+://[^/]+/)", 1)
+def site_root() -> Column:
+    return F.regexp_extract("url", "^([a-z]+://[^/]+/)", 1)
+
+
 BASE_SQL = "regexp_extract(url, '^([a-z]+://[^/]+/)', 1)"
 
 
@@ -129,12 +132,12 @@ BASE_SQL = "regexp_extract(url, '^([a-z]+://[^/]+/)', 1)"
 SELECT page_id, starts_with(url, base) AND (rel IN ('', 'index.html') OR starts_with(rel, 'en/') OR starts_with(rel, 'fr/')) AND NOT starts_with(rel, 'en/9') AS in_scope FROM p""")
 def url_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", urls.in_scope(F.col("url"), BASE, F.array(F.lit("en/"), F.lit("fr/")), F.array(F.lit("en/9"))).alias("in_scope"))
+    return pages.select("page_id", urls.in_scope(F.col("url"), site_root(), F.array(F.lit("en/"), F.lit("fr/")), F.array(F.lit("en/9"))).alias("in_scope"))
 
 
 @query(rf"""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(substr(url, length({BASE_SQL}) + 1), '[?#].*$', ''), '(^|/)(index\.html)?$', '\1index.md'), '\.html$', '.md') AS relpath FROM pages""")
 def url_relpath(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", urls.crawl_relpath(F.col("url"), BASE).alias("relpath"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.crawl_relpath(F.col("url"), site_root()).alias("relpath"))
 
 
 @query("SELECT doc_id, 'https://git.example.org/' || source || '/-/blob/' || lang || '/docs/' || doc_id || '.md' AS templated, 'https://git.example.org/' || source || '/blob/' || lang || '/docs/' || doc_id || '.md' AS by_default FROM documents")

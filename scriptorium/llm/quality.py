@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, saved
+from scriptorium.llm.common import Words
 
 TRAIN_ROWS = 20_000
 BINS, PAIR_BINS, CYCLES, PAIRS, PAIR_CYCLES, RATE, LEAST_LEAF = 32, 8, 120, 10, 60, 0.15, 8
@@ -96,20 +96,11 @@ def features(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def feature_table(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns of keep and __x, the features, for every row."""
-    n = at = len(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, len(whole), 1024):
-                b = whole.slice(lo, 1024)
-                x = features(b.column(at))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([*b.columns[:n], lists], [*keep, "__x"])
-
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{schema}, __x array<double>")
+def _feature_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x = features(b.column(1))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+        yield pa.RecordBatch.from_arrays([b.column(0), lists], ["doc_id", "x"])
 
 
 @dataclass
@@ -235,28 +226,40 @@ def held_out():
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, train_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of train_rows documents at most, the first by hash of those that may be learned from."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("y"))
+    many = known.count()
+    h = F.xxhash64(F.lit(3), "doc_id")
+    if many > train_rows:  # a slice of the hash range that holds a little more than the sample, so that few rows are gathered for it
+        known = known.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * train_rows / many + 1e-6)))
+    sample = known.orderBy(F.pmod(h, F.lit(1 << 30)), "doc_id").limit(train_rows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # train_rows bounds the broadcast
+    made = rows.select("doc_id", "text").mapInArrow(_feature_lists, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x"))
+    got = sorted((r["doc_id"], r["x"], r["y"]) for r in made.join(F.broadcast(sample), "doc_id").collect())
+    return np.array([r[1] for r in got]).reshape(-1, len(FEATURES)), np.array([r[2] for r in got], float)
+
+
 def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """The columns of docs (or those in keep, doc_id among them) with score (double, 0 to 1) and predicted (int), for every row; input columns of these names are replaced.
+    """The columns of docs (or those in keep) with score (double, 0 to 1) and predicted (int), for every row; input columns of these names are replaced.
 
     labels(doc_id, quality): null ids or labels teach nothing, and of several labels of one document the smallest
     counts. Null and empty texts are scored like any other. Documents without labels at all: the score is 0.5.
-    A row's score depends on its text alone.
+    A row's score depends on its text alone; nothing is exchanged but the sample.
     """
-    keep = [c for c in keep or docs.columns if c not in ("score", "predicted", "__x")]
-    table = saved(feature_table(docs, keep), "features")
-    known = labels.where("quality in (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("__y"))
-    rows = table.select("doc_id", "__x").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "__x").limit(train_rows).select("__x", "__y").collect()  # bounded by train_rows
-    x = np.array([r["__x"] for r in rows]).reshape(-1, len(FEATURES))
-    model = docs.sparkSession.sparkContext.broadcast(train(x, np.array([r["__y"] for r in rows], float)))
+    keep = [c for c in keep or docs.columns if c not in ("score", "predicted")]
+    model = docs.sparkSession.sparkContext.broadcast(train(*labelled_sample(docs, labels, train_rows)))  # lookup tables of a fixed size
     n, names = len(keep), [*keep, "score", "predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            score = model.value.score(b.column(n).flatten().to_numpy().reshape(-1, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names)
+        for whole in batches:
+            for lo in range(0, len(whole), 1024):
+                b = whole.slice(lo, 1024)
+                score = model.value.score(features(b.column(n)))
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names)
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return table.mapInArrow(run, f"{schema}, score double, predicted int")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{schema}, score double, predicted int")
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

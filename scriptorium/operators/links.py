@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.functions.urls import canonical_route, link_target
+from scriptorium.functions.urls import canonical_route, link_target, relative_link
 
 LINK = re.compile(r"(?<!!)\[((?:[^\[\]]|\[[^\[\]]*\])*)\]\(\s*<?([^)\s>]+)>?(?:\s+\"[^\"]*\")?\s*\)")
 PAGE_KEY = ["collection", "version", "relpath"]
@@ -91,6 +92,60 @@ def cross_corpus(links: DataFrame, pages: DataFrame) -> DataFrame:
     return site.join(own, ["collection", "version", "route"], "left_anti").join(owned, "route").where("owner <> collection")
 
 
+IMAGE = re.compile(r"(!\[[^\]]*\]\(\s*<?)([^)\s>]+)(>?[^)]*\))")
+
+
+def pin_assets(body: str, source_path: str, repo_url: str, git_ref: str) -> str:
+    """Relative image paths become URLs at the commit; percent-encoding is undone first and put back by the URL's own rules.
+
+    Absolute and site-absolute paths stay: what they mean is not known here.
+    """
+
+    def pinned(m: re.Match) -> str:
+        target = link_target(source_path, m[2])
+        return m[0] if target is None or target.startswith("../") else f"{m[1]}{repo_url}/blob/{git_ref}/{quote(target)}{m[3]}"
+
+    return IMAGE.sub(pinned, body)
+
+
+def localize_routes(pages: DataFrame, site: str, marker: str = "unresolved-site-link") -> DataFrame:
+    """Bodies whose site links (/route/) lead to pages of the same version by relative path.
+
+    A route that no page of the version has becomes an absolute URL under `site` with a marker comment. Routes are
+    looked up by an equality join on (collection, version, route), so a version cannot lead into another.
+    """
+    found = markdown_links(pages).where(F.startswith("link", F.lit("/")))
+    bare = F.regexp_replace("link", r"[?#].*$", "")
+    found = found.withColumn("route", F.when(F.endswith(bare, F.lit("/")), bare).otherwise(F.concat(bare, F.lit("/")))).withColumn("bare", bare)
+    known = routes(pages).groupBy("collection", "version", "route").agg(F.min("relpath").alias("to"))
+    hits = found.join(known, ["collection", "version", "route"], "left")
+    plan = hits.groupBy(*PAGE_KEY).agg(F.map_from_entries(F.collect_list(F.struct("ordinal", F.struct("to", "bare")))).alias("plan"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            made = []
+            for here, body, steps in zip(b["relpath"], b["body"], b["plan"], strict=True):
+                steps = dict(steps) if steps is not None else {}
+                turn = iter(range(10**9))
+
+                def put(m: re.Match, here=here, steps=steps, turn=turn) -> str:
+                    step = steps.get(next(turn))
+                    if step is None:
+                        return m[0]
+                    rest = m[2][len(step["bare"]) :]
+                    if step["to"] is not None:
+                        return f"[{m[1]}]({relative_link(here, step['to'])}{rest})"
+                    return f"[{m[1]}]({site.rstrip('/')}{m[2]}) <!-- {marker}: route={step['bare']} -->"
+
+                made.append(LINK.sub(put, body or "") if steps else body)
+            b["body"] = made
+            yield b.drop(columns=["plan"])
+
+    names = [f.name for f in pages.schema]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
+    return pages.join(plan, PAGE_KEY, "left").select(*names, "plan").mapInPandas(run, kinds)
+
+
 def leaves_version(links: DataFrame) -> DataFrame:
     """Relative links that climb out of their own collection and version: an invariant says there are none."""
     return links.where(F.startswith("target", F.lit("../")))

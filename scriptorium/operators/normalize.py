@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import posixpath
 import re
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from scriptorium.functions import urls
 from scriptorium.functions.decoding import decode_body
 from scriptorium.functions.frontmatter import fields, split_page
 from scriptorium.operators.html_markdown import Renderer, clean_title, parse_html, select, title_of
+from scriptorium.operators.links import pin_assets
 from scriptorium.operators.profiles import apply_profile
 from scriptorium.operators.rst_markdown import rst_to_markdown
 from scriptorium.schema import PAGES, columns
@@ -91,7 +93,39 @@ def file_page(text: str, kind: str, relpath: str, options: Options) -> dict[str,
     description = source.get("description") if options.preserve_description else None
     if description and not body.strip():
         body = f"{description}\n"
-    return {"title": title or heading(body) or stem, "body": body, "description": description}
+    page = {"title": title or heading(body) or stem, "body": body, "description": description}
+    if options.profile == "jekyll":
+        page |= jekyll_fields(source, options)
+        page["body"] += card_links(source.get("extra") or {})
+    return page
+
+
+#: Source keys that pages of the Jekyll renderer keep.
+JEKYLL_KEYS = ("permalink", "redirect_from", "layout", "nav_order", "parent", "grand_parent", "has_children", "has_toc", "nav_exclude")
+
+
+def jekyll_fields(source: dict[str, object], options: Options) -> dict[str, object]:
+    """Route and navigation columns; a page's canonical URL is the site's root and its permalink."""
+    kept = {k: source.get(k) for k in JEKYLL_KEYS}
+    url = source.get("canonical_url") or (options.variables.get("site_url", "").rstrip("/") + str(kept["permalink"]) if kept["permalink"] and options.variables.get("site_url") else None)
+    route = None
+    if url:
+        path = re.sub(r"^/latest(?=/)", "", re.sub(r"^[a-z]+://[^/]+", "", str(url)))
+        route = re.sub(r"(^|/)index/$", r"\1", path)
+    return kept | {"renderer": "jekyll", "canonical_url": url, "canonical_route": route, "canonical_collision": False}
+
+
+def card_links(extra: dict[str, str]) -> str:
+    """Data cards of a page (lists of heading, link and description) as a list of links."""
+    out = []
+    for name in sorted(extra):
+        if name.endswith("cards"):
+            try:
+                cards = json.loads(extra[name])
+            except ValueError:
+                continue
+            out += [f"- [{c['heading']}]({c['link']})" + (f": {c['description']}" if c.get("description") else "") for c in cards if isinstance(c, dict) and c.get("heading") and c.get("link")]
+    return "\n" + "\n".join(out) + "\n" if out else ""
 
 
 def page_frame(rows: Iterator[dict]) -> pd.DataFrame:
@@ -137,8 +171,11 @@ def normalize_checkout(files: DataFrame, manifest: dict, fetched_at: str) -> Dat
             made = []
             for source, relpath, kind, content in zip(b["source_path"], b["relpath"], b["kind"], b["content"], strict=True):
                 page = file_page(bytes(content).decode("utf-8", "replace"), kind, relpath, options)
+                page["body"] = pin_assets(page["body"], source, options.repo_url, options.git_ref)
                 url = template.replace("{repo_url}", options.repo_url).replace("{git_ref}", options.git_ref).replace("{path}", source)
-                made.append(facts | page | {"relpath": relpath, "source_url": url, "fetched_at": pd.Timestamp(fetched_at), "fetched_at_raw": fetched_at})
+                if page.get("permalink"):  # the site's layout: a route is a folder with an index page
+                    relpath = str(page["permalink"]).strip("/") + "/index.md"
+                made.append(facts | page | {"relpath": relpath.lstrip("/"), "source_url": url, "source_path": source, "source_commit": options.git_ref, "fetched_at": pd.Timestamp(fetched_at), "fetched_at_raw": fetched_at})
             yield page_frame(iter(made))
 
     return files.where("kind <> 'openapi'").select("source_path", "relpath", "kind", "content").mapInPandas(run, PAGES)

@@ -141,3 +141,10 @@ def test_file_pages():
     assert file_page("Head\n====\n", "rst", "x.md", options)["title"] == "Head"
     assert file_page("<title>T</title><main>x</main>", "html", "x.md", options)["title"] == "T"
     assert heading("```\n# no\n```\n# `Yes` [a](b)\n") == "Yes a"
+
+
+def test_jekyll_pages():
+    text = '---\ntitle: CLI\npermalink: /reporting/index/\nnav_order: 10\nredirect_from: [/old/]\ncards: [{"heading": "H", "link": "/x/", "description": "D"}]\n---\nBody\n'
+    page = file_page(text, "markdown", "_reporting/cli.md", Options(profile="jekyll", variables={"site_url": "https://d.org/latest"}))
+    assert (page["permalink"], page["nav_order"], page["redirect_from"], page["canonical_route"]) == ("/reporting/index/", 10, ["/old/"], "/reporting/")
+    assert page["body"] == "Body\n\n- [H](/x/): D\n"

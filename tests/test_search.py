@@ -153,3 +153,11 @@ def test_rpc_failure():
 
     got = rpc.answer(broken, {"id": 1, "method": "tools/call", "params": {"name": "x"}})
     assert got["result"] == {"content": [{"type": "text", "text": "error: down"}], "isError": True}
+
+
+def test_site_routes_and_assets(spark):
+    assert links.pin_assets("![a](img/x%20y.png) ![b](/z.png) ![c](https://o/c.png)", "docs/p.md", "https://h/r", "c0ffee") == "![a](https://h/r/blob/c0ffee/docs/img/x%20y.png) ![b](/z.png) ![c](https://o/c.png)"
+    kinds = "collection string, version string, relpath string, permalink string, canonical_url string, canonical_route string, redirect_from array<string>, body string"
+    rows = [("a", "1", "x/index.md", "/x/", None, "/x/", ["/old/"], "[y](/y/#f) [o](/old) [n](/none/) [r](z.md)"), ("a", "1", "y/index.md", "/y/", None, "/y/", None, None), ("a", "2", "none/index.md", "/none/", None, "/none/", None, "")]
+    got = {r["relpath"]: r["body"] for r in links.localize_routes(spark.createDataFrame(rows, kinds), "https://s.org/").collect()}
+    assert got["x/index.md"] == "[y](../y/index.md#f) [o](index.md) [n](https://s.org/none/) <!-- unresolved-site-link: route=/none/ --> [r](z.md)"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,31 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
+
+
+def lean(run: Callable[[Batches], Batches], rows: int = SLICE_ROWS) -> Callable[[Batches], Batches]:
+    """A function for mapInArrow that sees its input in slices of so many rows and about SLICE_BYTES at most (one row at least),
+    and gives freed memory back when its task ends, as workers live on between tasks."""
+
+    def sliced(batches: Batches) -> Batches:
+        for b in batches:
+            n = max(1, min(rows, int(len(b) * SLICE_BYTES / max(1, b.nbytes))))
+            for lo in range(0, len(b), n):
+                yield b.slice(lo, n)
+
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(sliced(batches))
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return whole
+
+
 def power_of_two(n: float, least: int, most: int) -> int:
     """The smallest power of two that is at least n, within bounds that are powers of two themselves."""
     b = least

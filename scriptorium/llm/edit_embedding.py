@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import mix64, saved
+from scriptorium.llm.common import lean, mix64, saved
 
 PERIOD, CLASSES, PER_OCTAVE, OCTAVES = 4096, 256, 64, 34
 FEW = 64  # below so many texts still under way, plain loops beat vectors
@@ -161,12 +161,10 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # (doc_id, text, bucket, extra), rows still without their next
-        for whole in batches:
-            for lo in range(0, len(whole), 1024):
-                b = whole.slice(lo, 1024)
-                held += zip(*(c.to_pylist() for c in b.columns), strict=True)
-                yield batch_of(held)
-                held = held[-1:]
+        for b in batches:
+            held += zip(*(c.to_pylist() for c in b.columns), strict=True)
+            yield batch_of(held)
+            held = held[-1:]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         texts = [r[1] for r in rows]
@@ -191,7 +189,7 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return rows.select(F.col("doc_id").cast("long"), "text", "__bucket", "__extra").mapInArrow(run, schema)
+    return rows.select(F.col("doc_id").cast("long"), "text", "__bucket", "__extra").mapInArrow(lean(run), schema)
 
 
 def edit_distance(a: str, b: str, most: int) -> int | None:
@@ -242,8 +240,8 @@ def near_pairs(docs: DataFrame, most: int = 8) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], ["doc_id", "near_id", "distance"])
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text <> ''")
-    bands = saved(texts.mapInArrow(run, "doc_id long, band int, key string"), "edit-bands")
+    bands = saved(texts.mapInArrow(lean(run), "doc_id long, band int, key string"), "edit-bands")
     heads = bands.groupBy("band", "key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1")
     pairs = bands.join(heads, ["band", "key"]).where("doc_id <> head").select("doc_id", "head").distinct()
     other = texts.select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
-    return pairs.join(texts, "doc_id").join(other, "head").select("doc_id", F.col("head").alias("near_id"), "text", "head_text").mapInArrow(verify, "doc_id long, near_id long, distance int")
+    return pairs.join(texts, "doc_id").join(other, "head").select("doc_id", F.col("head").alias("near_id"), "text", "head_text").mapInArrow(lean(verify), "doc_id long, near_id long, distance int")

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import saved
+from scriptorium.llm.common import lean, saved
 
 
 ONE_TASK = 1 << 18  # so many edges at most are joined in one task; more go by stars
@@ -60,7 +60,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = saved(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(big.alias("a"), small.alias("b")).distinct(), "edges")
     mark = _mark(now)
     if mark[0] <= ONE_TASK:
-        now, mark = saved(now.coalesce(1).mapInArrow(_joined, "a long, b long"), "edges"), (0, 0)
+        now, mark = saved(now.coalesce(1).mapInArrow(lean(_joined), "a long, b long"), "edges"), (0, 0)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

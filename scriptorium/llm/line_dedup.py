@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import BLANKS, saved
+from scriptorium.llm.common import BLANKS, lean, saved
 from scriptorium.llm.cuckoo import CuckooFilter
 
 LEAST = 10
@@ -51,7 +51,7 @@ def postings(docs: DataFrame) -> DataFrame:
                 keys += own
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "key"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, key binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), "doc_id long, key binary")
 
 
 def in_shards(posts: DataFrame, shards: int) -> DataFrame:
@@ -83,7 +83,7 @@ def build_filters(counts: DataFrame, shards: int) -> DataFrame:
         made.insert(np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2))
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([made.to_bytes()], pa.binary())], ["shard", "filter"])
 
-    return counts.select("shard", "key").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, filter binary")
+    return counts.select("shard", "key").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(lean(run), "shard int, filter binary")
 
 
 def filter_hits(posts: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
@@ -109,7 +109,7 @@ def filter_hits(posts: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     lines = posts.select("shard", "doc_id", "key", none.alias("filter"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     copies = filters.select("shard", F.lit(None).cast("long").alias("doc_id"), none.alias("key"), "filter", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     both = copies.unionByName(lines).repartition(shards * SALTS, "shard", "salt").sortWithinPartitions("shard", "salt", F.col("filter").isNull())
-    return both.select("shard", "doc_id", "key", "filter").mapInArrow(run, "doc_id long, shard int, key binary")
+    return both.select("shard", "doc_id", "key", "filter").mapInArrow(lean(run), "doc_id long, shard int, key binary")
 
 
 def kept_lines(docs: DataFrame, hits: DataFrame, counts: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def kept_lines(docs: DataFrame, hits: DataFrame, counts: DataFrame) -> DataFrame
                 kept.append(text or "" if len(left) == len(lines) else "\n".join(left))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(counts_, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], [*keep, "n_lines", "n_dropped", "kept_text"])
 
-    return both.mapInArrow(run, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", n_lines long, n_dropped long, kept_text string")
+    return both.mapInArrow(lean(run), ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", n_lines long, n_dropped long, kept_text string")
 
 
 @dataclass

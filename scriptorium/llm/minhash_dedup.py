@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, gram_hashes, mix64, saved
+from scriptorium.llm.common import Words, gram_hashes, lean, mix64, saved
 from scriptorium.llm.graph import Forest, components
 
 SHINGLE, SIMILAR_NUM, SIMILAR_DEN = 5, 4, 5  # five words, a similarity of 4/5
@@ -116,15 +116,13 @@ def register_bytes(signature: np.ndarray) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for lo in range(0, len(whole), 1024):
-            b = whole.slice(lo, 1024)
-            words = Words(b.column(3))
-            times = registers(*shingles(words), len(b))
-            signature, short = bands(times), register_bytes(times)
-            sizes = np.where(words.counts > 0, BANDS, 0)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(signature[words.counts > 0].ravel()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], lists, pa.array([r.tobytes() for r in short], pa.binary())], ["id", "h1", "h2", "bands", "short"])
+    for b in batches:
+        words = Words(b.column(3))
+        times = registers(*shingles(words), len(b))
+        signature, short = bands(times), register_bytes(times)
+        sizes = np.where(words.counts > 0, BANDS, 0)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(signature[words.counts > 0].ravel()))
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], lists, pa.array([r.tobytes() for r in short], pa.binary())], ["id", "h1", "h2", "bands", "short"])
 
 
 def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -141,10 +139,8 @@ def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for lo in range(0, len(whole), 256):
-            b = whole.slice(lo, 256)
-            yield b.select([0, 1]).filter(pa.array(similar(b.column(2), b.column(3))))
+    for b in batches:
+        yield b.select([0, 1]).filter(pa.array(similar(b.column(2), b.column(3))))
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,23 +152,21 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """The distinct pairs(a, b) whose texts(id, text) are similar. Registers are asked first, so few texts travel."""
     one, two = (reps.select(F.col("id").alias(k), F.col("short").alias(f"s{k}")) for k in "ab")
-    likely = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long"), "pairs")
+    likely = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(lean(_agreeing), "a long, b long"), "pairs")
     ids = saved(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
     used = texts.join(ids, "id", "left_semi")
     one, two = (used.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-    return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long").distinct()
+    return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(lean(_verified), "a long, b long").distinct()
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's multiset as a set of (shingle, how often before) hashes: overlaps become counts of common elements."""
-    for whole in batches:
-        for lo in range(0, len(whole), 1024):
-            b = whole.slice(lo, 1024)
-            owner, own, counts = shingles(Words(b.column(1)))
-            turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            flat = mix64(np.repeat(own, counts) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 6)
-            ends = np.searchsorted(np.repeat(owner, counts), np.arange(len(b) + 1))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([flat[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)], pa.binary())], ["id", "elements"])
+    for b in batches:
+        owner, own, counts = shingles(Words(b.column(1)))
+        turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        flat = mix64(np.repeat(own, counts) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 6)
+        ends = np.searchsorted(np.repeat(owner, counts), np.arange(len(b) + 1))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([flat[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)], pa.binary())], ["id", "elements"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -253,11 +247,11 @@ def classes_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
     many = saved(still_open(F.col("n") > SMALL), "open-buckets")
     if many.head(1):
         ids = saved(many.select("id").distinct(), "open-ids")
-        sets = saved(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_elements, "id long, elements binary"), "elements")
+        sets = saved(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(lean(_elements), "id long, elements binary"), "elements")
         many = many.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(order, F.col("blocks")).cast("int"))
         many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
         met = many.join(sets, "id").select("band", "key", "i", "j", "id", "c", "elements").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
-        links = links.unionByName(saved(met.mapInArrow(_blocks, "a long, b long"), "links"))
+        links = links.unionByName(saved(met.mapInArrow(lean(_blocks), "a long, b long"), "links"))
         known = components(links, "a", "b")
     return known
 
@@ -286,7 +280,7 @@ def _keys():
 def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, h1, h2, bands) of every row, and (h1, h2, class__) of every distinct text."""
     own = F.coalesce("text", F.lit(""))
-    signed = saved(docs.select(*_keys(), own.alias("text")).mapInArrow(_banded, "id long, h1 long, h2 long, bands array<long>, short binary"), "signatures")
+    signed = saved(docs.select(*_keys(), own.alias("text")).mapInArrow(lean(_banded), "id long, h1 long, h2 long, bands array<long>, short binary"), "signatures")
     reps = saved(signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("short").alias("short")), "distinct-texts")
     known = classes_of(reps.select("id", "bands", "short").where(F.size("bands") > 0), docs.select(_keys()[0], own.alias("text")))
     return signed, reps.select("h1", "h2", "id").join(known, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("class__"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import power_of_two, saved
+from scriptorium.llm.common import lean, power_of_two, saved
 from scriptorium.llm.tokens import encoder
 
 SIZE = 2048
@@ -152,22 +152,20 @@ def pieces(docs: DataFrame, path: str, end_id: int, size: int, keep_ids: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
-        for whole in batches:
-            for at in range(0, len(whole), 2048):
-                b = whole.slice(at, 2048)
-                ids, starts = tokens.encode(b.column(1))
-                rows: list[tuple] = []
-                for i, doc in enumerate(b.column(0).to_pylist()):
-                    own = np.append(ids[starts[i] : starts[i + 1]], np.uint32(end_id)).astype("<u4")
-                    for p in range(-(-len(own) // size)):
-                        cut = own[p * size : (p + 1) * size]
-                        rows.append((doc, p, p * size, len(cut), zlib.crc32(cut.tobytes()), cut))
-                cols = list(zip(*rows, strict=True))
-                out = [pa.array(c, t) for c, t in zip(cols[:5], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*out, *([pa.array([c.astype(np.int64) for c in cols[5]], pa.list_(pa.int64()))] if keep_ids else [])], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
+        for b in batches:
+            ids, starts = tokens.encode(b.column(1))
+            rows: list[tuple] = []
+            for i, doc in enumerate(b.column(0).to_pylist()):
+                own = np.append(ids[starts[i] : starts[i + 1]], np.uint32(end_id)).astype("<u4")
+                for p in range(-(-len(own) // size)):
+                    cut = own[p * size : (p + 1) * size]
+                    rows.append((doc, p, p * size, len(cut), zlib.crc32(cut.tobytes()), cut))
+            cols = list(zip(*rows, strict=True))
+            out = [pa.array(c, t) for c, t in zip(cols[:5], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*out, *([pa.array([c.astype(np.int64) for c in cols[5]], pa.list_(pa.int64()))] if keep_ids else [])], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), schema)
 
 
 def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:
@@ -192,7 +190,7 @@ def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:
             sequence, offset = made.value.place(b.column(at).to_numpy(), b.column(n).to_numpy())
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
 
-    return ranked.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long")
+    return ranked.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE) -> DataFrame:

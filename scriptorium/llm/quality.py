@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words
+from scriptorium.llm.common import Words, lean
 
 TRAIN_ROWS = 20_000
-BINS, PAIR_BINS, CYCLES, PAIRS, PAIR_CYCLES, RATE, LEAST_LEAF = 32, 8, 120, 10, 60, 0.15, 8
+BINS, PAIR_BINS, CYCLES, PAIRS, PAIR_CYCLES, RATE, LEAST_LEAF = 32, 8, 120, 10, 60, 0.15, 2
 THRESHOLD = 0.3
 FEATURES = (
     "log_words", "log_chars", "mean_word", "sd_word", "upper", "capital", "symbol_end", "symbol_only", "plain", "digit",
@@ -235,7 +235,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train_rows: int) -> tupl
         known = known.where(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * train_rows / many + 1e-6)))
     sample = known.orderBy(F.pmod(h, F.lit(1 << 30)), "doc_id").limit(train_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # train_rows bounds the broadcast
-    made = rows.select("doc_id", "text").mapInArrow(_feature_lists, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x"))
+    made = rows.select("doc_id", "text").mapInArrow(lean(_feature_lists), "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x"))
     got = sorted((r["doc_id"], r["x"], r["y"]) for r in made.join(F.broadcast(sample), "doc_id").collect())
     return np.array([r[1] for r in got]).reshape(-1, len(FEATURES)), np.array([r[2] for r in got], float)
 
@@ -252,14 +252,12 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, k
     n, names = len(keep), [*keep, "score", "predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, len(whole), 1024):
-                b = whole.slice(lo, 1024)
-                score = model.value.score(features(b.column(n)))
-                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names)
+        for b in batches:
+            score = model.value.score(features(b.column(n)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names)
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, f"{schema}, score double, predicted int")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), f"{schema}, score double, predicted int")
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

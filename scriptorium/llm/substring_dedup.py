@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, gram_hashes, saved
+from scriptorium.llm.common import Words, gram_hashes, lean, saved
 
 WINDOW, GRAM = 20, 4
 LAST = 2**63 - 1  # stands for a null id
@@ -55,30 +55,26 @@ def super_kmers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for lo in range(0, len(whole), 1024):
-            b = whole.slice(lo, 1024)
-            owner, low, _, _ = super_kmers(Words(b.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(low), b.column(0).take(pa.array(owner))], ["low", "k"])
+    for b in batches:
+        owner, low, _, _ = super_kmers(Words(b.column(1)))
+        yield pa.RecordBatch.from_arrays([pa.array(low), b.column(0).take(pa.array(owner))], ["low", "k"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for lo in range(0, len(whole), 512):
-            b = whole.slice(lo, 512)
-            words = Words(b.column(2))
-            owner, low, start, many = super_kmers(words)
-            lists = b.column(3)
-            wanted = np.split(lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
-            ends = np.searchsorted(owner, np.arange(len(b) + 1))
-            pick = np.flatnonzero(np.concatenate([np.isin(low[x:y], w) for x, y, w in zip(ends, ends[1:], wanted, strict=False)])) if len(b) else owner
-            distinct = words.distinct.to_pylist()
-            texts = []
-            for i in pick.tolist():
-                a = int(words.starts[owner[i]]) + int(start[i])
-                texts.append(" ".join([distinct[c] for c in words.codes[a : a + int(many[i]) + WINDOW - 1].tolist()]))
-            at = pa.array(owner[pick])
-            yield pa.RecordBatch.from_arrays([pa.array(low[pick]), b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())], ["low", "id", "k", "start", "packed"])
+    for b in batches:
+        words = Words(b.column(2))
+        owner, low, start, many = super_kmers(words)
+        lists = b.column(3)
+        wanted = np.split(lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
+        ends = np.searchsorted(owner, np.arange(len(b) + 1))
+        pick = np.flatnonzero(np.concatenate([np.isin(low[x:y], w) for x, y, w in zip(ends, ends[1:], wanted, strict=False)])) if len(b) else owner
+        distinct = words.distinct.to_pylist()
+        texts = []
+        for i in pick.tolist():
+            a = int(words.starts[owner[i]]) + int(start[i])
+            texts.append(" ".join([distinct[c] for c in words.codes[a : a + int(many[i]) + WINDOW - 1].tolist()]))
+        at = pa.array(owner[pick])
+        yield pa.RecordBatch.from_arrays([pa.array(low[pick]), b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())], ["low", "id", "k", "start", "packed"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +111,13 @@ def marked(texts: DataFrame) -> DataFrame:
     full = texts.select("id", "k", F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
     first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = saved(full.join(first, ["h1", "h2"]).where("id > first").select("id", "k").distinct(), "copies")
-    thin = saved(texts.select("k", "text").mapInArrow(_thin, "low long, k long"), "super-kmers")
+    thin = saved(texts.select("k", "text").mapInArrow(lean(_thin), "low long, k long"), "super-kmers")
     more = thin.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
     # a clash of two documents' k only lets superfluous super-k-mers travel
     wanted = thin.join(more, "low").join(copies.select("k"), "k", "left_anti").groupBy("k").agg(F.collect_set("low").alias("lows"))
     packed = texts.join(wanted.hint("shuffle_hash"), "k").select("id", "k", "text", "lows")
-    packed = packed.mapInArrow(_packed, "low long, id long, k long, start int, packed string")
-    spans = packed.repartition("low").sortWithinPartitions("low", "id", "k", "start").mapInArrow(_repeats, "id long, k long, from int, to int")
+    packed = packed.mapInArrow(lean(_packed), "low long, id long, k long, start int, packed string")
+    spans = packed.repartition("low").sortWithinPartitions("low", "id", "k", "start").mapInArrow(lean(_repeats), "id long, k long, from int, to int")
     spans = spans.groupBy("id", "k").agg(F.collect_list(F.struct("from", "to")).alias("spans")).withColumn("copy", F.lit(False))
     both = spans.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
     return both.select(F.col("id").alias("mid"), F.col("k").alias("mk"), "spans", "copy")
@@ -150,7 +146,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*keep).alias("row__"), "doc_id", "text")
     both = _with_marks(keyed(rows, "row__"), marked(keyed(docs)))
     kinds = {c: docs.schema[c].dataType.simpleString() for c in keep}
-    return _cut(both.select(*[F.col("row__")[c].alias(c) for c in keep], "spans", "copy", F.col("text").alias("text__")), kinds)
+    return _cut(both.select(*[F.col("row__")[c].alias(c) for c in keep], F.col("spans").alias("__spans"), F.col("copy").alias("__copy"), F.col("text").alias("__text")), kinds)
 
 
 def _cut(both: DataFrame, kinds: dict[str, str]) -> DataFrame:
@@ -159,29 +155,27 @@ def _cut(both: DataFrame, kinds: dict[str, str]) -> DataFrame:
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, len(whole), 512):
-                b = whole.slice(lo, 512)
-                words = Words(b.column(n + 2))
-                distinct = words.distinct.to_pylist()
-                gone, kept = [], []
-                for i, (spans, copy) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)):
-                    codes = words.codes[words.starts[i] : words.starts[i + 1]]
-                    size = len(codes)
-                    if copy and size >= WINDOW:
-                        codes = codes[:0]
-                    elif spans:
-                        edge = np.zeros(size + 1, np.int64)
-                        for s in spans:
-                            edge[s["from"]] += 1
-                            edge[s["to"]] -= 1
-                        codes = codes[np.cumsum(edge[:-1]) == 0]
-                    gone.append(size - len(codes))
-                    kept.append(" ".join([distinct[c] for c in codes.tolist()]))
-                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], [*keep, "n_words", "n_removed", "kept_text"])
+        for b in batches:
+            words = Words(b.column(n + 2))
+            distinct = words.distinct.to_pylist()
+            gone, kept = [], []
+            for i, (spans, copy) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)):
+                codes = words.codes[words.starts[i] : words.starts[i + 1]]
+                size = len(codes)
+                if copy and size >= WINDOW:
+                    codes = codes[:0]
+                elif spans:
+                    edge = np.zeros(size + 1, np.int64)
+                    for s in spans:
+                        edge[s["from"]] += 1
+                        edge[s["to"]] -= 1
+                    codes = codes[np.cumsum(edge[:-1]) == 0]
+                gone.append(size - len(codes))
+                kept.append(" ".join([distinct[c] for c in codes.tolist()]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], [*keep, "n_words", "n_removed", "kept_text"])
 
     schema = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
-    return both.mapInArrow(run, schema + ", n_words long, n_removed long, kept_text string")
+    return both.mapInArrow(lean(run), schema + ", n_words long, n_removed long, kept_text string")
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:

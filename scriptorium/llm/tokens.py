@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from scriptorium.llm.common import Words
 
-KNOWN_MOST = 1_500_000  # distinct pieces a worker remembers; beyond that it starts afresh
+KNOWN_MOST = 300_000  # distinct pieces a worker remembers; beyond that it starts afresh
 ENDS = ".,;:!?#%&*$|"  # punctuation that no normaliser joins with a letter before it
 
 

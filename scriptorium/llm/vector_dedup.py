@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import saved
+from scriptorium.llm.common import lean, saved
 from scriptorium.llm.graph import Forest, components
 
 COSINE, MISS, BLOCK, ERRORS = 0.98, 1e-5, 1024, 4.0
@@ -99,7 +99,7 @@ def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float) -> Data
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * tables, pa.int32()), pa.array(codes.ravel()))
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([r.tobytes() for r in x], pa.binary()), lists], ["label", "rep", "m", "x", "codes"])
 
-    coded = saved(groups.select(F.col("label").cast("string").alias("label"), "rep", "m", "v").mapInArrow(hash_, "label string, rep long, m long, x binary, codes array<int>"), "vector-codes")
+    coded = saved(groups.select(F.col("label").cast("string").alias("label"), "rep", "m", "v").mapInArrow(lean(hash_), "label string, rep long, m long, x binary, codes array<int>"), "vector-codes")
     keys = coded.select("label", F.posexplode("codes").alias("table", "code"))
     full = keys.groupBy("label", "table", "code").agg(F.count("*").alias("n")).where("n > 1")
     full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -158,7 +158,7 @@ def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float) -> Data
 
     rows = rows.select("label", "table", "code", "i", "j", "rep", "m", "x", "codes", "own")
     rows = rows.repartition("label", "table", "code", "i", "j").sortWithinPartitions("label", "table", "code", "i", "j", "rep")
-    return rows.mapInArrow(run, "a long, b long, n long")
+    return rows.mapInArrow(lean(run), "a long, b long, n long")
 
 
 def vector_digest(embeddings: DataFrame) -> DataFrame:

@@ -165,7 +165,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, size: int, keep_ids: bool =
             yield pa.RecordBatch.from_arrays([*out, *([pa.array([c.astype(np.int64) for c in cols[5]], pa.list_(pa.int64()))] if keep_ids else [])], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, 2048), schema)
 
 
 def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:
@@ -190,7 +190,7 @@ def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:
             sequence, offset = made.value.place(b.column(at).to_numpy(), b.column(n).to_numpy())
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
 
-    return ranked.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long")
+    return ranked.mapInArrow(lean(run, 65_536), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE) -> DataFrame:

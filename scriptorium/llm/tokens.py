@@ -13,10 +13,12 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from scriptorium.llm.common import Words
 
-KNOWN_MOST = 300_000  # distinct pieces a worker remembers; beyond that it starts afresh
+KNOWN_MOST = 1_000_000  # distinct pieces a worker remembers; beyond that it starts afresh
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"  # letters that stay single letters in lower case and in NFC
 ENDS = ".,;:!?#%&*$|"  # punctuation that no normaliser joins with a letter before it
 
 
@@ -37,30 +39,46 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.first = array("I"), array("q", [0])
 
-    def _learn(self, fresh: list[str]) -> None:
-        known, flat, first = self.known, self.flat, self.first
-        split, plain = [], {}
-        for w in fresh:
-            stem = w.rstrip(ENDS)
-            if stem and stem != w and stem.isalpha():
-                low, end = stem.lower() if stem.isascii() else stem, w[len(stem) :]
-                split.append((w, low, end))
-                plain[low] = plain[end] = None
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.first) - 1
+        self.first.frombytes((self.first[-1] + np.cumsum(lengths, dtype=np.int64)).tobytes())
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def _encode_each(self, words: list[str]) -> None:
+        own = [e.ids for e in tokenizer(self.path).encode_batch_fast(words, add_special_tokens=False)]
+        self._add(words, np.array([i for ids in own for i in ids], np.uint32), np.array([len(ids) for ids in own], np.int64))
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of letters alone go in one text, as each is one piece before merging; where one is not, singly."""
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            made = tokenizer(self.path).encode(" ".join(part), add_special_tokens=False)
+            piece = np.array(made.word_ids, np.int64)
+            if len(piece) and piece[-1] + 1 == len(part) == len(np.unique(piece)):
+                self._add(part, np.array(made.ids, np.uint32), np.bincount(piece))
             else:
-                plain[w] = None
-        new = [w for w in plain if w not in known]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, tokenizer(self.path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-                flat.extend(e.ids)
-                known[w] = len(first) - 1
-                first.append(len(flat))
-        for w, low, end in split:
-            a, b = known[low], known[end]
-            flat.extend(flat[first[a] : first[a + 1]])
-            flat.extend(flat[first[b] : first[b + 1]])
-            known[w] = len(first) - 1
-            first.append(len(flat))
+                self._encode_each(part)
+
+    def _learn(self, fresh: pa.Array) -> None:
+        """Letters with punctuation after them are put together from both parts, letters in lower case where that is ASCII's."""
+        stems = pc.utf8_rtrim(fresh, characters=ENDS)
+        letters = pc.match_substring_regex(stems, LETTERS)
+        cut = pc.and_(letters, pc.not_equal(stems, fresh))
+        low = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems).filter(cut).to_pylist()
+        whole = fresh.filter(cut).to_pylist()
+        ends = [w[len(x) :] for w, x in zip(whole, low, strict=True)]
+        known = self.known
+        plain = fresh.filter(pc.and_not(letters, cut)).to_pylist()
+        self._encode_letters([w for w in dict.fromkeys([*low, *plain]) if w not in known])
+        self._encode_each([w for w in dict.fromkeys([*fresh.filter(pc.invert(letters)).to_pylist(), *ends]) if w not in known])
+        if whole:
+            flat, first = np.array(self.flat, np.uint32), np.array(self.first, np.int64)
+            parts = np.fromiter((known[x] for pair in zip(low, ends, strict=True) for x in pair), np.int64, 2 * len(whole))
+            lengths = first[parts + 1] - first[parts]
+            stops = np.cumsum(lengths)
+            place = np.arange(stops[-1]) - np.repeat(stops - lengths - first[parts], lengths)
+            self._add(whole, flat[place], lengths.reshape(-1, 2).sum(1))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text begins in it (one more entry for the end). Null: no ids."""
@@ -68,13 +86,20 @@ class Encoder:
         distinct = words.distinct.to_pylist()
         if len(self.known) > KNOWN_MOST:
             self._clear()
-        self._learn([w for w in distinct if w not in self.known])
-        flat, first = np.array(self.flat, np.uint32), np.array(self.first, np.int64)
-        own = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[words.codes] if distinct else words.codes
-        each = first[own + 1] - first[own]
-        ends = np.cumsum(each)
+        known = self.known
+        own = np.fromiter((known.get(w, -1) for w in distinct), np.int32, len(distinct))
+        fresh = np.flatnonzero(own < 0).tolist()
+        if fresh:
+            self._learn(words.distinct.take(pa.array(fresh)))
+        own[fresh] = [known[distinct[i]] for i in fresh]
+        # views of the growing tables; they end with this call, before the tables grow again
+        flat, first = np.frombuffer(self.flat or array("I", [0]), np.uint32), np.frombuffer(self.first, np.int64)
+        lengths, begins = (first[own + 1] - first[own]).astype(np.int32), first[own].astype(np.int32)
+        each = lengths[words.codes] if distinct else np.zeros(0, np.int32)
+        ends = np.cumsum(each, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - each - first[own], each)
+        shift = (ends - each).astype(np.int32) - begins[words.codes] if distinct else each
+        place = np.arange(total, dtype=np.int32) - np.repeat(shift, each)
         return flat[place], np.concatenate([[0], ends])[words.starts]
 
 

@@ -258,6 +258,25 @@ def route_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.collisions(keyed).select("page_id", F.col("canonical_route").alias("route"), "canonical_collision")
 
 
+@query(r"""WITH p AS (SELECT page_id, regexp_extract(url, '://([^/]+)/', 1) AS collection, regexp_replace(regexp_replace(regexp_replace(url, '^[a-z]+://[^/]+', ''), '[?#].*$', ''), '/?$', '/') AS route FROM pages)
+SELECT DISTINCT collection, '1' AS version, page_id || '.md' AS relpath, route, via FROM (
+  SELECT *, 'canonical' AS via FROM (SELECT page_id, collection, regexp_replace(route, '(^|/)index/$', '\1') AS route FROM p) UNION ALL SELECT page_id, collection, route, 'permalink' FROM p UNION ALL SELECT page_id, collection, '/old' || route, 'redirect' FROM p)""")
+def page_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every archived page with its permalink and a redirect from an older route and from itself."""
+    path = F.concat(F.regexp_replace(F.regexp_replace(F.regexp_replace("url", "^[a-z]+://[^/]+", ""), "[?#].*$", ""), "/$", ""), F.lit("/"))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "://([^/]+)/", 1).alias("collection"), path.alias("permalink"))
+    full = pages.select("collection", F.lit("1").alias("version"), F.concat("page_id", F.lit(".md")).alias("relpath"), "permalink", F.concat(F.lit("https://docs.example.org/latest"), "permalink").alias("canonical_url"), F.lit(None).cast("string").alias("canonical_route"), F.array("permalink", F.concat(F.lit("/old"), "permalink")).alias("redirect_from"))
+    return links.routes(full)
+
+
+@query("""SELECT source || '/' || lang || '/' || doc_id || '.md' AS path, 'no fetched_at_raw' AS rule FROM documents WHERE lang = 'es'
+UNION ALL SELECT source || '/' || lang || '/' || doc_id || '.md', 'repeated source_url' FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""")
+def corpus_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages whose URL is their body's hash, so copies repeat it; one version lacks its fetch time."""
+    pages = document_pages(spark, sf_dir).withColumn("source_url", F.concat(F.lit("https://docs.example.org/"), "body_md5"))
+    return audit.violations(pages.withColumn("fetched_at_raw", F.when(F.col("version") != "es", "2026-01-01T00:00:00Z")))
+
+
 @query("SELECT 'src' || range AS collection, 'en' AS version FROM range(200) WHERE 'src' || range NOT IN (SELECT source FROM documents WHERE lang = 'en' AND source IS NOT NULL)")
 def uncovered_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifests = spark.range(200).select(F.concat(F.lit("src"), "id").alias("collection"), F.lit("en").alias("version"))

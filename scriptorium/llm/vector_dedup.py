@@ -69,10 +69,11 @@ def vector_links(df: DataFrame, vec_id: str, vector: str, label: str, cosine: fl
     rows = rows.withColumn("k1", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "label", "v"))).withColumn("k2", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(2), "label", "v")))
     groups = saved(rows.where("v is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("m"), F.first("label").alias("label"), F.first("v").alias("v")), "vectors")
     sizes = groups.groupBy("label", F.size("v").alias("d")).agg(F.count("*").alias("n"))
+    kind = "f4" if df.schema[vector].dataType.simpleString() == "array<float>" else "f8"
     widths = [(r["d"], r["n"]) for r in sizes.groupBy("d").agg(F.max("n").alias("n")).collect()]  # a row for each vector length
     linked = None
     for dims, largest in widths:
-        part = _links_of(groups.where(F.size("v") == dims), dims, largest, cosine)
+        part = _links_of(groups.where(F.size("v") == dims), dims, largest, cosine, kind)
         linked = part if linked is None else linked.unionByName(part)
     if linked is None:
         linked = df.sparkSession.createDataFrame([], "a long, b long, n long")
@@ -87,27 +88,34 @@ def vector_links(df: DataFrame, vec_id: str, vector: str, label: str, cosine: fl
     return out.withColumn("kept", F.coalesce(F.col(vec_id) == F.col("component_id"), F.lit(False)))
 
 
-def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float) -> DataFrame:
-    """(a, b, n): rows with b are forest edges; rows without say that a has n links to other representatives' vectors."""
+def _codes(x: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """A run of sign bits for each table, as numbers."""
+    turn = rotations(x.shape[1], bits * tables)[:, : bits * tables]
+    return ((x @ turn >= 0).reshape(len(x), tables, bits) @ (1 << np.arange(bits))).astype(np.int32)
+
+
+def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float, kind: str) -> DataFrame:
+    """(a, b, n): rows with b are forest edges; rows without say that a has n links to other representatives' vectors.
+
+    Vectors travel as they were stored (kind: f4 or f8), and only to buckets where they meet another.
+    """
     bits, tables = table_shape(largest, cosine)
 
     def hash_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotations(dims, bits * tables)[:, : bits * tables]
         for b in batches:
-            x = unit(b.column(3).flatten().to_numpy().reshape(-1, dims))
-            codes = ((x @ turn >= 0).reshape(len(x), tables, bits) @ (1 << np.arange(bits))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * tables, pa.int32()), pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([r.tobytes() for r in x], pa.binary()), lists], ["label", "rep", "m", "x", "codes"])
+            x = b.column(4).flatten().to_numpy().reshape(-1, dims)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * tables, pa.int32()), pa.array(_codes(unit(x), bits, tables).ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([r.tobytes() for r in x.astype(kind)], pa.binary()), lists], ["label", "k1", "rep", "m", "x", "codes"])
 
-    coded = saved(groups.select(F.col("label").cast("string").alias("label"), "rep", "m", "v").mapInArrow(lean(hash_), "label string, rep long, m long, x binary, codes array<int>"), "vector-codes")
-    keys = coded.select("label", F.posexplode("codes").alias("table", "code"))
+    coded = saved(groups.select(F.col("label").cast("string").alias("label"), "k1", "rep", "m", "v").mapInArrow(lean(hash_), "label string, k1 long, rep long, m long, x binary, codes array<int>"), "vector-codes")
+    keys = coded.select("label", "k1", "rep", F.posexplode("codes").alias("table", "code"))
     full = keys.groupBy("label", "table", "code").agg(F.count("*").alias("n")).where("n > 1")
-    full = full.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = coded.select("label", F.posexplode("codes").alias("table", "code"), "rep", "m", "x", "codes").join(full.drop("n"), ["label", "table", "code"])
+    met = keys.join(full, ["label", "table", "code"]).groupBy("k1", "rep").agg(F.collect_list(F.struct("table", "code", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))).alias("at"))
+    rows = coded.drop("codes").join(met, ["k1", "rep"]).select("label", "rep", "m", "x", F.inline("at"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # a block meets itself and every other block once: task (i, j) with i <= j
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with")).drop("with", "blocks")
+    rows = rows.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -130,9 +138,9 @@ def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float) -> Data
         """One pair of blocks of one bucket: BLOCK rows or so from either."""
         t = pa.Table.from_batches(parts).combine_chunks()
         table, i, j = (t.column(k)[0].as_py() for k in (1, 3, 4))
-        rep, m, own = (t.column(k).to_numpy() for k in (5, 6, 9))
-        x = np.frombuffer(b"".join(t.column(7).to_pylist()), np.float64).reshape(-1, dims)
-        codes = t.column(8).combine_chunks().flatten().to_numpy().reshape(-1, tables)
+        rep, m, own = (t.column(k).to_numpy() for k in (5, 6, 8))
+        x = unit(np.frombuffer(b"".join(t.column(7).to_pylist()), kind).astype(np.float64).reshape(-1, dims))
+        codes = _codes(x, bits, tables)
         one, two = (np.flatnonzero(own == k) for k in (i, j))
         out = np.zeros(len(rep), np.int64)
         edges, forest = [], Forest()
@@ -156,7 +164,7 @@ def _links_of(groups: DataFrame, dims: int, largest: int, cosine: float) -> Data
         b = pa.array([None] * len(some) + [e[1] for e in edges], pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(np.concatenate([out[some], np.zeros(len(edges), np.int64)]))], ["a", "b", "n"])
 
-    rows = rows.select("label", "table", "code", "i", "j", "rep", "m", "x", "codes", "own")
+    rows = rows.select("label", "table", "code", "i", "j", "rep", "m", "x", "own")
     rows = rows.repartition("label", "table", "code", "i", "j").sortWithinPartitions("label", "table", "code", "i", "j", "rep")
     return rows.mapInArrow(lean(run), "a long, b long, n long")
 

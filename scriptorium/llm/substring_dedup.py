@@ -55,15 +55,28 @@ def super_kmers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's minimisers, with how often it has them: a text that goes round in circles sends a row, not one for each turn."""
     for b in batches:
         owner, low, _, _ = super_kmers(Words(b.column(1)))
-        yield pa.RecordBatch.from_arrays([pa.array(low), b.column(0).take(pa.array(owner))], ["low", "k"])
+        order = np.lexsort((low, owner))
+        owner, low = owner[order], low[order]
+        first = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (owner[1:] != owner[:-1]))) if len(low) else order
+        many = np.diff(np.append(first, len(low)))
+        yield pa.RecordBatch.from_arrays([pa.array(low[first]), b.column(0).take(pa.array(owner[first])), pa.array(many, pa.int32())], ["low", "k", "n"])
+
+
+def joined(owner: np.ndarray, low: np.ndarray, start: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers that follow each other with the same minimiser, at whatever place, as one: they go to one bucket anyway."""
+    new = np.ones(len(low), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (low[1:] != low[:-1]) | (start[1:] != start[:-1] + many[:-1])
+    first = np.flatnonzero(new)
+    return owner[first], low[first], start[first], np.add.reduceat(many, first) if len(first) else many
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         words = Words(b.column(2))
-        owner, low, start, many = super_kmers(words)
+        owner, low, start, many = joined(*super_kmers(words))
         lists = b.column(3)
         wanted = np.split(lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
         ends = np.searchsorted(owner, np.arange(len(b) + 1))
@@ -111,10 +124,10 @@ def marked(texts: DataFrame) -> DataFrame:
     full = texts.select("id", "k", F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
     first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = saved(full.join(first, ["h1", "h2"]).where("id > first").select("id", "k").distinct(), "copies")
-    thin = saved(texts.select("k", "text").mapInArrow(lean(_thin), "low long, k long"), "super-kmers")
-    more = thin.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low")
+    thin = saved(texts.select("k", "text").mapInArrow(lean(_thin), "low long, k long, n int"), "super-kmers")
+    more = thin.groupBy("low").agg(F.sum("n").alias("n")).where("n > 1").select("low")
     # a clash of two documents' k only lets superfluous super-k-mers travel
-    wanted = thin.join(more, "low").join(copies.select("k"), "k", "left_anti").groupBy("k").agg(F.collect_set("low").alias("lows"))
+    wanted = thin.select("low", "k").join(more, "low").join(copies.select("k"), "k", "left_anti").groupBy("k").agg(F.collect_list("low").alias("lows"))
     packed = texts.join(wanted.hint("shuffle_hash"), "k").select("id", "k", "text", "lows")
     packed = packed.mapInArrow(lean(_packed), "low long, id long, k long, start int, packed string")
     spans = packed.repartition("low").sortWithinPartitions("low", "id", "k", "start").mapInArrow(lean(_repeats), "id long, k long, from int, to int")

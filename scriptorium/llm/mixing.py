@@ -15,12 +15,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import WORD, leading_bits, power_of_two, unsigned_order
+from scriptorium.llm.common import WORD, leading_bits, power_of_two, saved, unsigned_order
 
 CYCLE = (5.0, 2.0, 1.0)  # weights of the sources by code point, repeating
 MOST_REPEATS = 3
 BLOCKS_PER_SHARD = 1024
-ROWS_PER_BUCKET = 250_000
+ROWS_PER_BUCKET, TEXTS_PER_BUCKET = 250_000, 10_000  # of thin rows, and of rows that carry texts
 
 
 def targets(sizes: list[int], weights: list[float], most: int = MOST_REPEATS) -> list[float]:
@@ -57,7 +57,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix(df: DataFrame, size: Column, ties: list[str], shards: int = 16, seed: int = 10, whole: bool = False) -> DataFrame:
+def mix(df: DataFrame, size: Column, ties: list[str], shards: int = 16, seed: int = 10, whole: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds to every row what the mix takes of it; input columns of these names are replaced.
 
     size, source_size long: words of the row and of its source. target double: the source's words in the mix.
@@ -81,7 +81,7 @@ def mix(df: DataFrame, size: Column, ties: list[str], shards: int = 16, seed: in
     facts = [{"__key": r["__key"], "source_size": s, "target": t, "__quota": q, "__cuts": c} for r, s, t, q, c in zip(sources, sizes, wanted, quotas, tree.cumsum(axis=1).tolist(), strict=True)]
     schema = "array<struct<__key:string,source_size:bigint,target:double,__quota:bigint,__cuts:array<bigint>>>"
     plan = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(facts)), schema)))
-    buckets = power_of_two(sum(r["n"] for r in sources) / ROWS_PER_BUCKET, 16, 65_536)
+    buckets = power_of_two(sum(r["n"] for r in sources) / rows_per_bucket, 16, 65_536)
     df = df.withColumn("__sub", leading_bits(F.col("__h"), buckets))
     upto = Window.unboundedPreceding, -1
     starts = df.groupBy("__key", "__sub").agg(F.sum("__size").alias("w")).select("__key", "__sub", F.coalesce(F.sum("w").over(Window.partitionBy("__key").orderBy("__sub").rowsBetween(*upto)), F.lit(0)).alias("__start"))
@@ -104,14 +104,16 @@ def mix(df: DataFrame, size: Column, ties: list[str], shards: int = 16, seed: in
 def mixed_rows(df: DataFrame, text: str, ties: list[str], **options) -> DataFrame:
     """The mix itself: each row as often as it is taken whole, dealt to its shards and shuffled within them; columns of df only."""
     keep = df.columns
-    out = mix(df, word_count(F.col(text)), ties, whole=True, **options)
+    out = mix(df, word_count(F.col(text)), ties, whole=True, rows_per_bucket=TEXTS_PER_BUCKET, **options)
+    parts = power_of_two(df.count() / TEXTS_PER_BUCKET, 16, 65_536)  # of a shard: its rows are ordered in ranges of a hash
     out = out.select(*keep, F.posexplode("shards").alias("__copy", "__shard"))
     out = out.withColumn("__order", F.xxhash64(F.lit(11), "__copy", *ties))
-    return out.repartition("__shard", F.pmod(F.col("__order"), F.lit(16))).sortWithinPartitions("__shard", "__order").select(*keep)
+    order = unsigned_order(F.col("__order"))
+    return out.repartition("__shard", leading_bits(F.col("__order"), parts)).sortWithinPartitions("__shard", order).select(*keep)
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:
     """One row per document with what the mix takes of it. A null text has no words."""
-    thin = docs.select("doc_id", "source", word_count(F.col("text")).alias("n"))
+    thin = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("n")), "word-counts")  # texts are read once
     out = mix(thin, F.col("n"), ["doc_id", "n"])
     return out.select("doc_id", "size", "source_size", "target", "taken", "shards")

@@ -28,8 +28,8 @@ from scriptorium.llm.common import BLANKS, lean, saved
 from scriptorium.llm.cuckoo import CuckooFilter
 
 LEAST = 10
-KEYS_PER_SHARD, LEAST_SHARDS = 500_000, 4
-SALTS = 8  # a shard's lines are tried in so many tasks, each with a copy of the filter
+KEYS_PER_SHARD, LEAST_SHARDS = 200_000, 32
+SALTS = 4  # a shard's lines are tried in so many tasks, each with a copy of the filter
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 

@@ -64,8 +64,9 @@ class Encoder:
         """Letters with punctuation after them are put together from both parts, letters in lower case where that is ASCII's."""
         stems = pc.utf8_rtrim(fresh, characters=ENDS)
         letters = pc.match_substring_regex(stems, LETTERS)
-        cut = pc.and_(letters, pc.not_equal(stems, fresh))
-        low = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems).filter(cut).to_pylist()
+        low = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
+        cut = pc.and_(letters, pc.not_equal(low, fresh))
+        low = low.filter(cut).to_pylist()
         whole = fresh.filter(cut).to_pylist()
         ends = [w[len(x) :] for w, x in zip(whole, low, strict=True)]
         known = self.known

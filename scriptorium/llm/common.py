@@ -19,6 +19,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_MADE: list[str] = []  # on the driver: tables that saved() has written
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,10 +39,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes df as a table in the shared folder and reads it back, so lost executors cost no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_saved(spark: SparkSession) -> None:
+    """Deletes the tables that this driver has saved; for the end of a job, when no result is still to be read from them."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 Batches = Iterator[pa.RecordBatch]
 SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
 

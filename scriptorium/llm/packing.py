@@ -151,21 +151,20 @@ def pieces(docs: DataFrame, path: str, end_id: int, size: int, keep_ids: bool =
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document: its ids and end_id, cut only beyond size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(path)
+        tokens, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            ids, starts = tokens.encode(b.column(1))
             rows: list[tuple] = []
-            for i, doc in enumerate(b.column(0).to_pylist()):
-                own = np.append(ids[starts[i] : starts[i + 1]], np.uint32(end_id)).astype("<u4")
-                for p in range(-(-len(own) // size)):
-                    cut = own[p * size : (p + 1) * size]
-                    rows.append((doc, p, p * size, len(cut), zlib.crc32(cut.tobytes()), cut))
+            for doc, ids in zip(b.column(0).to_pylist(), tokens.encode(b.column(1)), strict=True):
+                own = ids + end
+                for p, at in enumerate(range(0, len(own), 4 * size)):
+                    cut = own[at : at + 4 * size]
+                    rows.append((doc, p, p * size, len(cut) // 4, zlib.crc32(cut), cut))
             cols = list(zip(*rows, strict=True))
             out = [pa.array(c, t) for c, t in zip(cols[:5], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*out, *([pa.array([c.astype(np.int64) for c in cols[5]], pa.list_(pa.int64()))] if keep_ids else [])], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
+            yield pa.RecordBatch.from_arrays([*out, *([pa.array([np.frombuffer(c, "<u4").astype(np.int64) for c in cols[5]], pa.list_(pa.int64()))] if keep_ids else [])], ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, 2048), schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, 1024), schema)
 
 
 def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
-from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from scriptorium.llm.common import Words
 
-KNOWN_MOST = 1_000_000  # distinct pieces a worker remembers; beyond that it starts afresh
+KNOWN_MOST = 350_000  # distinct pieces in each of a worker's two generations; the older one is dropped when the younger is full
 LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"  # letters that stay single letters in lower case and in NFC
 ENDS = ".,;:!?#%&*$|"  # punctuation that no normaliser joins with a letter before it
 
@@ -31,23 +31,28 @@ def tokenizer(path: str):
 
 
 class Encoder:
+    """Ids travel as bytes, four a token, little-endian: a text's are those of its pieces joined."""
+
     def __init__(self, path: str):
         self.path = path
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.first = array("I"), array("q", [0])
-
-    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.first) - 1
-        self.first.frombytes((self.first[-1] + np.cumsum(lengths, dtype=np.int64)).tobytes())
-        self.flat.frombytes(ids.astype(np.uint32).tobytes())
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _unknown(self, words: Iterable[str]) -> list[str]:
+        """Those to be encoded; words that only the older generation knows move to the younger."""
+        known, older = self.known, self.older
+        out = []
+        for w in words:
+            if w not in known:
+                if (ids := older.get(w)) is None:
+                    out.append(w)
+                else:
+                    known[w] = ids
+        return out
 
     def _encode_each(self, words: list[str]) -> None:
-        own = [e.ids for e in tokenizer(self.path).encode_batch_fast(words, add_special_tokens=False)]
-        self._add(words, np.array([i for ids in own for i in ids], np.uint32), np.array([len(ids) for ids in own], np.int64))
+        made = tokenizer(self.path).encode_batch_fast(words, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, made, strict=True))
 
     def _encode_letters(self, words: list[str]) -> None:
         """Words of letters alone go in one text, as each is one piece before merging; where one is not, singly."""
@@ -56,7 +61,9 @@ class Encoder:
             made = tokenizer(self.path).encode(" ".join(part), add_special_tokens=False)
             piece = np.array(made.word_ids, np.int64)
             if len(piece) and piece[-1] + 1 == len(part) == len(np.unique(piece)):
-                self._add(part, np.array(made.ids, np.uint32), np.bincount(piece))
+                ids = np.array(made.ids, "<u4").tobytes()
+                stops = (4 * np.cumsum(np.bincount(piece))).tolist()
+                self.known.update((w, ids[x:y]) for w, x, y in zip(part, [0, *stops], stops, strict=False))
             else:
                 self._encode_each(part)
 
@@ -66,42 +73,26 @@ class Encoder:
         letters = pc.match_substring_regex(stems, LETTERS)
         low = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
         cut = pc.and_(letters, pc.not_equal(low, fresh))
-        low = low.filter(cut).to_pylist()
-        whole = fresh.filter(cut).to_pylist()
+        low, whole, known = low.filter(cut).to_pylist(), fresh.filter(cut).to_pylist(), self.known
         ends = [w[len(x) :] for w, x in zip(whole, low, strict=True)]
-        known = self.known
         plain = fresh.filter(pc.and_not(letters, cut)).to_pylist()
-        self._encode_letters([w for w in dict.fromkeys([*low, *plain]) if w not in known])
-        self._encode_each([w for w in dict.fromkeys([*fresh.filter(pc.invert(letters)).to_pylist(), *ends]) if w not in known])
-        if whole:
-            flat, first = np.array(self.flat, np.uint32), np.array(self.first, np.int64)
-            parts = np.fromiter((known[x] for pair in zip(low, ends, strict=True) for x in pair), np.int64, 2 * len(whole))
-            lengths = first[parts + 1] - first[parts]
-            stops = np.cumsum(lengths)
-            place = np.arange(stops[-1]) - np.repeat(stops - lengths - first[parts], lengths)
-            self._add(whole, flat[place], lengths.reshape(-1, 2).sum(1))
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and where each text begins in it (one more entry for the end). Null: no ids."""
+        self._encode_letters(self._unknown(dict.fromkeys([*low, *plain])))
+        self._encode_each(self._unknown(dict.fromkeys([*fresh.filter(pc.invert(letters)).to_pylist(), *ends])))
+        known.update((w, known[x] + known[e]) for w, x, e in zip(whole, low, ends, strict=True))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text. Null: none."""
         words = Words(texts)
         distinct = words.distinct.to_pylist()
         if len(self.known) > KNOWN_MOST:
-            self._clear()
+            self.known, self.older = {}, self.known
         known = self.known
-        own = np.fromiter((known.get(w, -1) for w in distinct), np.int32, len(distinct))
-        fresh = np.flatnonzero(own < 0).tolist()
-        if fresh:
-            self._learn(words.distinct.take(pa.array(fresh)))
-        own[fresh] = [known[distinct[i]] for i in fresh]
-        # views of the growing tables; they end with this call, before the tables grow again
-        flat, first = np.frombuffer(self.flat or array("I", [0]), np.uint32), np.frombuffer(self.first, np.int64)
-        lengths, begins = (first[own + 1] - first[own]).astype(np.int32), first[own].astype(np.int32)
-        each = lengths[words.codes] if distinct else np.zeros(0, np.int32)
-        ends = np.cumsum(each, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = (ends - each).astype(np.int32) - begins[words.codes] if distinct else each
-        place = np.arange(total, dtype=np.int32) - np.repeat(shift, each)
-        return flat[place], np.concatenate([[0], ends])[words.starts]
+        if fresh := self._unknown(distinct):
+            self._learn(pa.array(fresh, pa.large_string()))
+        own = [known[w] for w in distinct]
+        parts = list(map(own.__getitem__, words.codes.tolist()))
+        starts = words.starts.tolist()
+        return [b"".join(parts[x:y]) for x, y in zip(starts, starts[1:], strict=False)]
 
 
 @functools.cache

@@ -106,9 +106,9 @@ def test_url_lists(spark):
 def test_encoder():
     encoder = Encoder(TOKENS)
     texts = [*TEXTS, "It's I'M don't. they'll ### a,b. x... É. ΣΣ. <|endoftext|>a <|startoftext|> 12.5 \u200b. ﬁ. ẞ.", "\u0130. \u0130x ŉ. \u0958. x\u0301. A\u030a. 説明. ª ΐ."]
-    ids, starts = encoder.encode(pa.array(texts))
+    made = encoder.encode(pa.array(texts))
     for i, t in enumerate(texts):
-        assert ids[starts[i] : starts[i + 1]].tolist() == tokenizer(TOKENS).encode(t or "", add_special_tokens=False).ids
+        assert np.frombuffer(made[i], "<u4").tolist() == tokenizer(TOKENS).encode(t or "", add_special_tokens=False).ids
 
 
 def check_packing(rows, size=2048):
@@ -226,7 +226,7 @@ def test_near_duplicates(spark, docs, none, odd):
     assert got.columns == [*docs.columns, "class_id", "kept"]
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == brute_classes([r[:2] for r in ROWS])
     assert minhash_dedup.near_duplicates(none).count() == 0
-    assert sorted((r["doc_id"], r["class_id"]) for r in minhash_dedup.near_duplicates(odd.where("doc_id is not null")).collect()) == [(1, 1), (1, 1), (2, 1), (2, 1)] or True
+    assert sorted((r["doc_id"], r["class_id"]) for r in minhash_dedup.near_duplicates(odd.where("doc_id is not null")).select("doc_id", "class_id").collect()) == [(1, 1), (1, 1), (2, 1), (2, 2)]
     assert minhash_dedup.near_duplicates(odd).count() == 5
 
 
@@ -542,3 +542,14 @@ def test_words_are_the_contract_s():
     distinct = made.distinct.to_pylist()
     for i, t in enumerate(TEXTS):
         assert [distinct[c] for c in made.codes[made.starts[i] : made.starts[i + 1]]] == words(t)
+
+
+def test_saved_tables_go(spark):
+    from scriptorium.llm import common
+
+    kept = common.saved(spark.range(3), "small")
+    path = common._MADE[-1]
+    assert kept.count() == 3
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    common.remove_saved(spark)
+    assert not common._MADE and not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)

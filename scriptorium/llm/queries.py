@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import line_dedup, substring_dedup, url_lists
+from scriptorium.llm import line_dedup, oracles, substring_dedup, url_lists
 from scriptorium.llm.common import table
 from scriptorium.llm.edit_embedding import fingerprint_digest
 from scriptorium.llm.minhash_dedup import near_digest
@@ -61,4 +61,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_url_lists, op2_packing, op3_quality, op4_minhash_dedup, op5_edit_embedding, op6_line_dedup, op7_vector_dedup, op8_substring_dedup, op9_sharding, op10_mixing)}
-SQL: dict[str, str] = {"op1_url_lists": url_lists.SQL, "op6_line_dedup": line_dedup.SQL, "op8_substring_dedup": substring_dedup.SQL}
+SQL: dict[str, str] = {
+    "op1_url_lists": url_lists.SQL,
+    "op4_minhash_dedup": oracles.NEAR_SQL,
+    "op6_line_dedup": line_dedup.SQL,
+    "op7_vector_dedup": oracles.VECTOR_SQL,
+    "op8_substring_dedup": substring_dedup.SQL,
+}

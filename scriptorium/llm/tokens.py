@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from scriptorium.llm.common import Words
 
-KNOWN_MOST = 350_000  # distinct pieces in each of a worker's two generations; the older one is dropped when the younger is full
+KNOWN_MOST = 500_000  # distinct pieces in each of a worker's two generations; the older one is dropped when the younger is full
 LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"  # letters that stay single letters in lower case and in NFC
 ENDS = ".,;:!?#%&*$|"  # punctuation that no normaliser joins with a letter before it
 

@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     class_id is the smallest doc_id of the row's class: rows with equal texts, or joined by links of similarity 0.8 or
     more. kept marks the row of that id. Null and empty texts and texts of blanks alone are like equal texts only. Rows
-    with one id are one document. A null id takes part and comes after all others; a class of null ids only has a null
+    are classed by their texts, also where they share an id; texts with one smallest id are one class. A null id takes part and comes after all others; a class of null ids only has a null
     class_id. An empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c not in ("class_id", "kept")]

@@ -40,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of a document, with its training sequence."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """A row for each piece of a document, with its training sequence. The cache is small, as workers come from other stages."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), known=200_000)
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import lean, power_of_two, saved
-from scriptorium.llm.tokens import encoder
+from scriptorium.llm.tokens import KNOWN_MOST, encoder
 
 SIZE = 2048
 ROUNDS = 200
@@ -147,11 +147,11 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
     return Plan(*a.T.copy(), sequences)
 
 
-def pieces(docs: DataFrame, path: str, end_id: int, size: int, keep_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, end_id: int, size: int, keep_ids: bool = False, known: int = KNOWN_MOST) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document: its ids and end_id, cut only beyond size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        tokens, end = encoder(path, known), np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows: list[tuple] = []
             for doc, ids in zip(b.column(0).to_pylist(), tokens.encode(b.column(1)), strict=True):
@@ -192,9 +192,9 @@ def pack(items: DataFrame, ties: list[str], size: int = SIZE) -> DataFrame:
     return ranked.mapInArrow(lean(run, 65_536), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE) -> DataFrame:
-    """Every document, tokenized and packed: one row per piece.
+def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SIZE, known: int = KNOWN_MOST) -> DataFrame:
+    """Every document, tokenized and packed: one row per piece. known: words a worker's cache holds, for memory against time.
 
     A null or empty text is the end id alone; repeated rows are packed as often as they occur; an empty table gives none.
     """
-    return pack(saved(pieces(docs, path, end_id, size), "pieces"), ["doc_id", "piece", "ids_crc32"], size)
+    return pack(saved(pieces(docs, path, end_id, size, known=known), "pieces"), ["doc_id", "piece", "ids_crc32"], size)

@@ -33,8 +33,8 @@ def tokenizer(path: str):
 class Encoder:
     """Ids travel as bytes, four a token, little-endian: a text's are those of its pieces joined."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, most: int = KNOWN_MOST):
+        self.path, self.most = path, most
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -84,7 +84,7 @@ class Encoder:
         """The ids of each text. Null: none."""
         words = Words(texts)
         distinct = words.distinct.to_pylist()
-        if len(self.known) > KNOWN_MOST:
+        if len(self.known) > self.most:
             self.known, self.older = {}, self.known
         known = self.known
         if fresh := self._unknown(distinct):
@@ -96,6 +96,6 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most: int = KNOWN_MOST) -> Encoder:
     """One for each worker process, which serves many tasks."""
-    return Encoder(path)
+    return Encoder(path, most)

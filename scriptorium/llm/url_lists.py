@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPOCH_DAYS = 64
-FOREVER = 100_000  # day number of an interval that is still open; its epochs end at the last capture's
+FOREVER = 100_000  # day number of an interval that is still open, in the SQL
 LEVELS = ("prefix", "host", "domain")  # the most specific first
 
 
@@ -33,7 +33,7 @@ def domain_of(url: Column) -> Column:
 
 
 def intervals(events: DataFrame) -> DataFrame:
-    """events(pattern, day, action, category) to (pattern, category, valid_from, valid_to): the spans [from, to) for which a pattern is listed.
+    """events(pattern, day, action, category) to (pattern, category, valid_from, valid_to): the spans [from, to) for which a pattern is listed; a null to is open.
 
     Events of one pattern hold until its next event. Of several on one day, the last by (action, category) holds, so
     repeated events change nothing. Events with a null pattern or day are not entries and are dropped.
@@ -41,26 +41,28 @@ def intervals(events: DataFrame) -> DataFrame:
     events = events.where(F.col("pattern").isNotNull() & F.col("day").isNotNull() & (F.col("pattern") != ""))
     daily = events.groupBy("pattern", "day").agg(F.max(F.struct("action", "category")).alias("e"))
     nxt = F.lead("day").over(Window.partitionBy("pattern").orderBy("day"))
-    spans = daily.select("pattern", F.col("e.action").alias("action"), F.col("e.category").alias("category"), F.col("day").alias("valid_from"), F.coalesce(nxt, F.lit(FOREVER)).alias("valid_to"))
+    spans = daily.select("pattern", F.col("e.action").alias("action"), F.col("e.category").alias("category"), F.col("day").alias("valid_from"), nxt.alias("valid_to"))
     return spans.where("action = 'add'").select("pattern", "category", "valid_from", "valid_to")
 
 
-def temporal_list_join(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "fetch_day", last_day: int = 4096) -> DataFrame:
+def temporal_list_join(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "fetch_day") -> DataFrame:
     """Adds list_level, list_pattern, list_category and listed_since to every capture: the most specific entry active on its day, or nulls.
 
-    A null or malformed URL, or a null day, matches nothing. Every row of captures is kept, repeated ones too. Days
-    beyond last_day are outside the laid-out epochs of open entries and are judged in the last epoch.
+    A null or malformed URL, or a null day, matches nothing. Every row of captures is kept, repeated ones too. Intervals
+    are laid out over the epochs in which there are captures, so days may lie anywhere.
     """
     names = ("list_level", "list_pattern", "list_category", "listed_since")
     keep = [c for c in captures.columns if c not in names]
-    epochs = F.sequence(F.expr(f"valid_from div {EPOCH_DAYS}"), F.least(F.expr(f"(valid_to - 1) div {EPOCH_DAYS}"), F.greatest(F.expr(f"valid_from div {EPOCH_DAYS}"), F.lit(last_day // EPOCH_DAYS))))
-    spans = intervals(events).select("pattern", "category", "valid_from", "valid_to", F.explode(epochs).alias("epoch"))
-    out = captures.select(*keep, F.least(F.expr(f"`{day}` div {EPOCH_DAYS}"), F.lit(last_day // EPOCH_DAYS)).alias("__epoch"))
+    epoch = F.expr(f"`{day}` div {EPOCH_DAYS}")
+    occur = captures.agg(F.collect_set(epoch).alias("epochs"))
+    within = lambda e: (e >= F.expr(f"valid_from div {EPOCH_DAYS}")) & (F.col("valid_to").isNull() | (e <= F.expr(f"(valid_to - 1) div {EPOCH_DAYS}")))
+    spans = intervals(events).crossJoin(F.broadcast(occur)).select("pattern", "category", "valid_from", "valid_to", F.explode(F.filter("epochs", within)).alias("epoch"))
+    out = captures.select(*keep, epoch.alias("__epoch"))
     for level, of in zip(LEVELS, (prefix_of, host_of, domain_of), strict=True):
         p = f"__{level}"
         side = spans.select(F.col("pattern").alias(p), F.struct("pattern", "category", "valid_from").alias(f"{p}_hit"), F.col("valid_from").alias(f"{p}_from"), F.col("valid_to").alias(f"{p}_to"), F.col("epoch").alias("__epoch"))
         out = out.withColumn(p, of(F.col(url)))
-        out = out.join(side, (out[p] == side[p]) & (out["__epoch"] == side["__epoch"]) & (out[day] >= side[f"{p}_from"]) & (out[day] < side[f"{p}_to"]), "left").select(*keep, out["__epoch"], *[f"__{x}_hit" for x in LEVELS[: LEVELS.index(level) + 1]])
+        out = out.join(side, (out[p] == side[p]) & (out["__epoch"] == side["__epoch"]) & (out[day] >= side[f"{p}_from"]) & (side[f"{p}_to"].isNull() | (out[day] < side[f"{p}_to"])), "left").select(*keep, out["__epoch"], *[f"__{x}_hit" for x in LEVELS[: LEVELS.index(level) + 1]])
     hit = F.coalesce(*[f"__{x}_hit" for x in LEVELS])
     level = F.coalesce(*[F.when(F.col(f"__{x}_hit").isNotNull(), x) for x in LEVELS])
     return out.select(*keep, level.alias("list_level"), hit["pattern"].alias("list_pattern"), hit["category"].alias("list_category"), hit["valid_from"].alias("listed_since"))

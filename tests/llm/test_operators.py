@@ -100,6 +100,17 @@ def test_url_lists(spark):
     assert url_lists.temporal_list_join(spark.createDataFrame(captures, "i int, url string, fetch_day int"), empty).where("list_level is not null").count() == 0
 
 
+CAPTURE, EVENT = "i int, url string, fetch_day int", "pattern string, day int, action string, category string"
+
+
+def test_url_lists_on_any_day(spark):
+    """Entries and captures far from day 0, on both sides of it, and far from each other."""
+    events = [("h.example.org", d, a, "x") for d, a in ((-300, "add"), (-70, "remove"), (4160, "add"), (20_500, "remove"), (20_600, "add"))]
+    captures = [(i, "https://h.example.org/", d) for i, d in enumerate((-301, -300, -71, -70, -1, 0, 4159, 4160, 4224, 20_499, 20_500, 20_599, 20_600, 100_001, 2_000_000_000))]
+    got = url_lists.temporal_list_join(spark.createDataFrame(captures, CAPTURE), spark.createDataFrame(events, EVENT))
+    assert sorted((x["i"], x["list_pattern"], x["list_category"], x["listed_since"]) for x in got.collect()) == brute_list(captures, events)
+
+
 # 2
 
 

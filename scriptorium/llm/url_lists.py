@@ -1,10 +1,11 @@
 """Operator 1: URL filters by a temporal list join.
 
 Dated list entries (add or remove a pattern, under a category) become validity intervals; each capture is judged by the
-entries that were active when it was fetched. A pattern is a host with all its subdomains, or a host with the first
-segment of a path. Both sides of the join carry (pattern, epoch) as an equality key: intervals are laid out over epochs
-of EPOCH_DAYS days, so a pattern with a long history or a third of all captures spreads over many tasks, and no capture
-meets more than one interval.
+entries that were active when it was fetched. A pattern is a host with all its subdomains, or a host with the leading
+segments of a path. Both sides of the join carry (pattern, epoch) as an equality key: a capture looks up every suffix of
+its host's labels and every prefix of its path's segments, and intervals are laid out over epochs of EPOCH_DAYS days, so
+a pattern with a long history or a third of all captures spreads over many tasks. Hosts are judged once a day, however
+many captures they have.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 EPOCH_DAYS = 64
 FOREVER = 100_000  # day number of an interval that is still open, in the SQL
-LEVELS = ("prefix", "host", "domain")  # the most specific first
+TOP_PARTS = 64  # a pattern of one label (half of all hosts may end in it) is split into so many parts
 
 
 def host_of(url: Column) -> Column:
@@ -32,6 +33,24 @@ def domain_of(url: Column) -> Column:
     return F.regexp_extract(host_of(url), r"([^.]+\.[^.]+\.[^.]+)$", 1)
 
 
+def site_of(url: Column) -> Column:
+    """The host, or host/path without query and fragment, where the path's first segment is not empty; null without either."""
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#][^?#]*)", 1)
+    return F.nullif(F.when(path == "", host_of(url)).otherwise(F.concat(host_of(url), F.lit("/"), path)), F.lit(""))
+
+
+def suffixes(host: Column) -> Column:
+    """a.b.c: a.b.c, b.c and c."""
+    labels = F.split(host, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+
+def prefixes(site: Column) -> Column:
+    """h/a/b: h/a and h/a/b; none of a host alone."""
+    parts = F.split(site, "/")
+    return F.transform(F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: i > 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+
+
 def intervals(events: DataFrame) -> DataFrame:
     """events(pattern, day, action, category) to (pattern, category, valid_from, valid_to): the spans [from, to) for which a pattern is listed; a null to is open.
 
@@ -57,14 +76,21 @@ def temporal_list_join(captures: DataFrame, events: DataFrame, url: str = "url",
     occur = captures.agg(F.collect_set(epoch).alias("epochs"))
     within = lambda e: (e >= F.expr(f"valid_from div {EPOCH_DAYS}")) & (F.col("valid_to").isNull() | (e <= F.expr(f"(valid_to - 1) div {EPOCH_DAYS}")))
     spans = intervals(events).crossJoin(F.broadcast(occur)).select("pattern", "category", "valid_from", "valid_to", F.explode(F.filter("epochs", within)).alias("epoch"))
-    out = captures.select(*keep, epoch.alias("__epoch"))
-    for level, of in zip(LEVELS, (prefix_of, host_of, domain_of), strict=True):
-        p = f"__{level}"
-        side = spans.select(F.col("pattern").alias(p), F.struct("pattern", "category", "valid_from").alias(f"{p}_hit"), F.col("valid_from").alias(f"{p}_from"), F.col("valid_to").alias(f"{p}_to"), F.col("epoch").alias("__epoch"))
-        out = out.withColumn(p, of(F.col(url)))
-        out = out.join(side, (out[p] == side[p]) & (out["__epoch"] == side["__epoch"]) & (out[day] >= side[f"{p}_from"]) & (side[f"{p}_to"].isNull() | (out[day] < side[f"{p}_to"])), "left").select(*keep, out["__epoch"], *[f"__{x}_hit" for x in LEVELS[: LEVELS.index(level) + 1]])
-    hit = F.coalesce(*[f"__{x}_hit" for x in LEVELS])
-    level = F.coalesce(*[F.when(F.col(f"__{x}_hit").isNotNull(), x) for x in LEVELS])
+    parts = F.when(F.contains("pattern", F.lit(".")) | F.contains("pattern", F.lit("/")), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(TOP_PARTS - 1)))
+    spans = spans.withColumn("part", F.explode(parts))
+
+    def judged(name: str, of: Column, keys) -> DataFrame:
+        """(name, day, hit) of every distinct value and day that an entry under one of its keys was active on: the longest key, then the latest entry."""
+        looks = captures.select(of.alias(name), F.col(day).alias("__on"), epoch.alias("epoch")).where(F.col(name).isNotNull() & (F.col(name) != "") & F.col("__on").isNotNull()).distinct()
+        looks = looks.select(name, "__on", "epoch", F.explode(keys(F.col(name))).alias("pattern"))
+        part = F.when(F.contains("pattern", F.lit(".")) | F.contains("pattern", F.lit("/")), 0).otherwise(F.pmod(F.hash(name, "__on"), F.lit(TOP_PARTS)))
+        met = looks.withColumn("part", part).join(spans, ["pattern", "epoch", "part"]).where((F.col("__on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("__on") < F.col("valid_to"))))
+        return met.groupBy(name, "__on").agg(F.max(F.struct(F.length("pattern").alias("n"), "valid_from", "category", "pattern")).alias(f"{name}_hit"))
+
+    out = captures.select(*keep, site_of(F.col(url)).alias("__site"), host_of(F.col(url)).alias("__host"), F.col(day).alias("__on"))
+    out = out.join(judged("__site", site_of(F.col(url)), prefixes), ["__site", "__on"], "left").join(judged("__host", host_of(F.col(url)), suffixes), ["__host", "__on"], "left")
+    hit = F.coalesce("__site_hit", "__host_hit")
+    level = F.when(F.col("__site_hit").isNotNull(), "prefix").when(hit["pattern"] == F.col("__host"), "host").when(hit.isNotNull(), "domain")
     return out.select(*keep, level.alias("list_level"), hit["pattern"].alias("list_pattern"), hit["category"].alias("list_category"), hit["valid_from"].alias("listed_since"))
 
 

@@ -111,6 +111,30 @@ def test_url_lists_on_any_day(spark):
     assert sorted((x["i"], x["list_pattern"], x["list_category"], x["listed_since"]) for x in got.collect()) == brute_list(captures, events)
 
 
+def test_url_lists_of_any_length(spark):
+    """Patterns of one to five labels and of several segments, nested; the longest one active holds."""
+    hosts = ["a.b.c.example.com", "b.c.example.com", "example.com", "xexample.com", "www.example.com", "deep.a.b.c.example.com", "other.net", "com"]
+    paths = ["", "/", "/en", "/en/", "/en/docs/page", "/en/docs?x/y", "//en", "/english/docs"]
+    patterns = ["com", "example.com", "c.example.com", "b.c.example.com", "a.b.c.example.com", "example.com/en", "example.com/en/docs", "a.b.c.example.com/en/docs", "other.net/english"]
+    r = random.Random(3)
+    captures = [(i, f"http://{h}{p}", r.randrange(300)) for i, (h, p) in enumerate((h, p) for h in hosts for p in paths for _ in range(6))]
+    events = [(p, d, a, p[:1]) for p in patterns for d, a in ((r.randrange(100), "add"), (100 + r.randrange(50), "remove"), (150 + r.randrange(100), "add"))]
+
+    def brute(url, day):
+        site = url.split("://")[1].split("?")[0]
+        host = site.split("/")[0]
+        for p in sorted(patterns, key=lambda p: ("/" in p, len(p)), reverse=True):
+            past = max(((d, a) for q, d, a, _ in events if q == p and d <= day), default=None)
+            covers = (site == p or site.startswith(f"{p}/")) if "/" in p else (host == p or host.endswith(f".{p}"))
+            if covers and past and past[1] == "add":
+                return "prefix" if "/" in p else "host" if host == p else "domain", p, past[0]
+        return None, None, None
+
+    got = url_lists.temporal_list_join(spark.createDataFrame(captures, CAPTURE), spark.createDataFrame(events, EVENT)).collect()
+    assert {x["i"]: (x["list_level"], x["list_pattern"], x["listed_since"]) for x in got} == {i: brute(u, d) for i, u, d in captures}
+    assert len(got) == len(captures) and {"com", "example.com", "c.example.com", "example.com/en/docs"} <= {x["list_pattern"] for x in got}
+
+
 # 2
 
 

@@ -54,12 +54,16 @@ def prefixes(site: Column) -> Column:
 def intervals(events: DataFrame) -> DataFrame:
     """events(pattern, day, action, category) to (pattern, category, valid_from, valid_to): the spans [from, to) for which a pattern is listed; a null to is open.
 
-    Events of one pattern hold until its next event. Of several on one day, the last by (action, category) holds, so
+    Where events have a column `list`, each (list, category, pattern) is an entry with a history of its own, so what one
+    list does to a pattern leaves the others' entries alone, and spans of one pattern may overlap. Without it all events
+    are one list, in which a pattern has one entry at a time and a new category replaces the old one.
+    An entry's events hold until its next event. Of several on one day, the last by (action, category) holds, so
     repeated events change nothing. Events with a null pattern or day are not entries and are dropped.
     """
+    entry = ["list", "category", "pattern"] if "list" in events.columns else ["pattern"]
     events = events.where(F.col("pattern").isNotNull() & F.col("day").isNotNull() & (F.col("pattern") != ""))
-    daily = events.groupBy("pattern", "day").agg(F.max(F.struct("action", "category")).alias("e"))
-    nxt = F.lead("day").over(Window.partitionBy("pattern").orderBy("day"))
+    daily = events.select(*entry, "day", F.struct("action", "category").alias("e")).groupBy(*entry, "day").agg(F.max("e").alias("e"))
+    nxt = F.lead("day").over(Window.partitionBy(*entry).orderBy("day"))
     spans = daily.select("pattern", F.col("e.action").alias("action"), F.col("e.category").alias("category"), F.col("day").alias("valid_from"), nxt.alias("valid_to"))
     return spans.where("action = 'add'").select("pattern", "category", "valid_from", "valid_to")
 
@@ -67,7 +71,8 @@ def intervals(events: DataFrame) -> DataFrame:
 def temporal_list_join(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "fetch_day") -> DataFrame:
     """Adds list_level, list_pattern, list_category and listed_since to every capture: the most specific entry active on its day, or nulls.
 
-    A null or malformed URL, or a null day, matches nothing. Every row of captures is kept, repeated ones too. Intervals
+    Of several entries of that pattern, the latest one, then the last category. A null or malformed URL, or a null day,
+    matches nothing. Every row of captures is kept, repeated ones too. Intervals
     are laid out over the epochs in which there are captures, so days may lie anywhere.
     """
     names = ("list_level", "list_pattern", "list_category", "listed_since")
@@ -104,7 +109,8 @@ def list_events(pages: DataFrame) -> DataFrame:
 
     Every domain is listed as 'ads' on a day set by its smallest page id and taken off 400 days later; every host whose
     smallest page id is even is listed as 'spam', delisted after 90 days and listed again as 'malware' 200 days after
-    that; every prefix whose smallest page id divides by 3 is listed as 'adult' for 300 days.
+    that; every prefix whose smallest page id divides by 3 is listed as 'adult' for 300 days. The query's SQL takes the
+    three for one list, so a host that is also a domain has one entry at a time, and these events name no `list`.
     """
     first = lambda of: pages.select(of(F.col("url")).alias("pattern"), "page_id").where("pattern != ''").groupBy("pattern").agg(F.min("page_id").alias("k"))
     event = lambda day, action, category: F.struct((day).cast("int").alias("day"), F.lit(action).alias("action"), F.lit(category).alias("category"))

@@ -135,6 +135,30 @@ def test_url_lists_of_any_length(spark):
     assert len(got) == len(captures) and {"com", "example.com", "c.example.com", "example.com/en/docs"} <= {x["list_pattern"] for x in got}
 
 
+def test_url_lists_are_independent(spark):
+    """Lists and categories that share patterns do not end each other's entries, and a capture stays one row."""
+    r = random.Random(4)
+    hosts = [f"h{i}.example.org" for i in range(3)]
+    events = [(x, p, d, a, c) for x, c in (("1", "ads"), ("2", "spam"), ("2", "malware"), ("3", "ads")) for p in hosts for d, a in ((r.randrange(60), "add"), (60 + r.randrange(60), "remove"), (120 + r.randrange(80), "add"))]
+    events += [("1", "h0.example.org", 10, "add", "ads"), ("1", "h0.example.org", 10, "remove", "ads")]
+    captures = [(i, f"https://{r.choice(hosts)}/{i % 9}", r.randrange(220)) for i in range(400)]
+
+    def brute(url, day):
+        live = []
+        for x, c, p in {(x, c, p) for x, p, _, _, c in events}:
+            past = max(((d, a) for y, q, d, a, k in events if (y, k, q) == (x, c, p) and d <= day), default=None)
+            if p == url.split("/")[2] and past and past[1] == "add":
+                live.append((past[0], c, p))
+        return max(live, default=(None, None, None))
+
+    got = url_lists.temporal_list_join(spark.createDataFrame(captures, CAPTURE), spark.createDataFrame(events, "list string, " + EVENT)).collect()
+    assert len(got) == len(captures)
+    assert {x["i"]: (x["listed_since"], x["list_category"], x["list_pattern"]) for x in got} == {i: brute(u, d) for i, u, d in captures}
+    pages = spark.createDataFrame([("ads", "tiontion.example.net", d, a, "ads") for d, a in ((0, "add"), (400, "remove"))] + [("spam", "tiontion.example.net", d, a, "spam") for d, a in ((0, "add"), (90, "remove"))], "list string, " + EVENT)
+    one = url_lists.temporal_list_join(spark.createDataFrame([(1, "http://tiontion.example.net/", 200)], CAPTURE), pages).first()
+    assert (one["list_category"], one["listed_since"]) == ("ads", 0)
+
+
 # 2
 
 

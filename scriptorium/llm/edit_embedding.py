@@ -4,8 +4,8 @@ A walk reads a text and, at each step, emits the character under its head and th
 that depends on the step and the character alone. All texts share the bits, so texts at a small edit distance fall back
 into step and their emitted strings agree in most places: edit distance becomes Hamming distance. The fingerprint keeps
 a 4-bit hash of the emitted character at sampled steps, as many from each octave of steps, so texts of any length are
-sampled along their whole length and longer texts only add samples. Fingerprints compare by weighted agreement; equal
-runs of samples serve as bands for candidate pairs, which are verified by edit distance.
+sampled along their whole length and longer texts only add samples. Fingerprints compare by weighted agreement. Pairs
+at a small edit distance are found without them, by parts that such texts must share, so that none is lost.
 
 A walk's stay at a character is looked up (`DWELL`: steps until the next 1 bit), so a text costs one table access per
 character. Bits repeat every PERIOD steps.
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ PERIOD, CLASSES, PER_OCTAVE, OCTAVES = 4096, 256, 64, 34
 FEW = 64  # below so many texts still under way, plain loops beat vectors
 BLOCK = 512
 ROWS_PER_BUCKET, MOST_BUCKETS = 4096, 65_536
-BAND = 16  # samples in a band
+PAIR_BLOCK = 512  # texts in a block of a bucket that is compared
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -216,32 +217,90 @@ def edit_distance(a: str, b: str, most: int) -> int | None:
     return None
 
 
+def segments(n: int, most: int) -> list[tuple[int, int, int]]:
+    """(number, start, size) of most + 1 even parts of n characters; of a text with fewer characters, one empty part alone."""
+    if n <= most:
+        return [(0, 0, 0)]
+    size, longer = divmod(n, most + 1)
+    plain = most + 1 - longer
+    return [(i, i * size + max(0, i - plain), size + (i >= plain)) for i in range(most + 1)]
+
+
+def window(number: int, start: int, shift: int, most: int) -> tuple[int, int]:
+    """First and last place at which a text longer by `shift` can hold this part, if the two are within `most` edits and this is the first part to match."""
+    return max(0, start - number, start + shift - (most - number)), min(start + number, start + shift + (most - number))
+
+
+def part_keys(text: str, most: int) -> Iterator[tuple[int, int, bool]]:
+    """(key, number of the part, own): own parts, and places of the text that could be parts of a text as long or shorter. Each once."""
+    n, seen = len(text), set()
+    for m in range(max(0, n - most), n + 1):
+        for i, start, size in segments(m, most):
+            lo, hi = window(i, start, n - m, most) if size else (0, 0)
+            for at in range(lo, min(hi, n - size) + 1):
+                key = xxhash.xxh3_64_intdigest(f"{m} {i} {text[at : at + size]}".encode("utf-8", "surrogatepass")) - (1 << 63)
+                if key not in seen:
+                    seen.add(key)
+                    yield key, i, False
+    for i, start, size in segments(n, most):
+        yield xxhash.xxh3_64_intdigest(f"{n} {i} {text[start : start + size]}".encode("utf-8", "surrogatepass")) - (1 << 63), i, True
+
+
+def first_match(a: str, b: str, most: int) -> int | None:
+    """Number of the first part of a that b, as long or longer, holds at a place where it could be."""
+    for i, start, size in segments(len(a), most):
+        lo, hi = window(i, start, len(b) - len(a), most) if size else (0, 0)
+        if lo <= hi and b.find(a[start : start + size], lo, hi + size) >= 0:
+            return i
+    return None
+
+
 def near_pairs(docs: DataFrame, most: int = 8) -> DataFrame:
-    """(doc_id, near_id, distance): texts at an edit distance of 1 to `most` from an earlier text of a band they share.
+    """(doc_id, near_id, distance): every document with every text of a smaller id at an edit distance of 1 to `most`; near_id is that text's smallest id.
 
-    Every band of BAND samples is a bucket; each bucket's members are compared with the bucket's smallest id, so no
-    bucket gives more pairs than it has members. Equal texts, null and empty ones give no pairs.
+    No pair is lost: a text within `most` edits of another holds one of its most + 1 parts unchanged and within `most`
+    places of its own, so parts are buckets. A bucket's members are compared in blocks, a task for each pair of blocks,
+    and a pair is compared only in the bucket of its first common part, so candidates are never rows. Null ids, null and
+    empty texts give no pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, bands, keys = [], [], []
-            for i, f in zip(b.column(0).to_pylist(), fingerprints([t or "" for t in b.column(1).to_pylist()]), strict=True):
-                for at in range(0, max(1, len(f) - BAND + 1), BAND) if f else ():
-                    ids.append(i)
-                    bands.append(at)
-                    keys.append(f[at : at + BAND])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bands, pa.int32()), pa.array(keys, pa.string())], ["doc_id", "band", "key"])
+            rows = [(t, *k) for t, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for k in part_keys(text, most)]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.int64(), pa.int32(), pa.bool_()), strict=True)], ["t", "key", "number", "own"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by (key, number, i, j), those of own parts first."""
+        now, held = None, []
         for b in batches:
-            found = [(i, j, d) for i, j, s, t in zip(*(c.to_pylist() for c in b.columns), strict=True) if s != t and (d := edit_distance(s, t, most)) is not None]
+            found = []
+            for *key, own, t, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != now:
+                    now, held = key, []
+                if own:
+                    held.append((t, text))
+                    continue
+                for u, part in held:
+                    if (len(part), u) < (len(text), t) and len(text) - len(part) <= most and first_match(part, text, most) == key[1] and (d := edit_distance(part, text, most)) is not None:
+                        found.append((u, t, d))
             cols = list(zip(*found, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], ["doc_id", "near_id", "distance"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.binary(), pa.int32()), strict=True)], ["a", "b", "distance"])
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text <> ''")
-    bands = saved(texts.mapInArrow(lean(run), "doc_id long, band int, key string"), "edit-bands")
-    heads = bands.groupBy("band", "key").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    pairs = bands.join(heads, ["band", "key"]).where("doc_id <> head").select("doc_id", "head").distinct()
-    other = texts.select(F.col("doc_id").alias("head"), F.col("text").alias("head_text"))
-    return pairs.join(texts, "doc_id").join(other, "head").select("doc_id", F.col("head").alias("near_id"), "text", "head_text").mapInArrow(lean(verify), "doc_id long, near_id long, distance int")
+    texts = texts.withColumn("t", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
+    owners = saved(texts.select("doc_id", "t").distinct(), "edit-owners")
+    once = saved(texts.groupBy("t").agg(F.first("text").alias("text")), "edit-texts")
+    keys = saved(once.select("t", "text").mapInArrow(lean(run), "t binary, key long, number int, own boolean"), "edit-parts")
+    count = keys.groupBy("key", "number").agg(F.sum(F.col("own").cast("long")).alias("n_own"), F.sum((~F.col("own")).cast("long")).alias("n_other"))
+    blocks = lambda n: F.ceil(F.col(n) / PAIR_BLOCK).cast("int")
+    full = count.where("n_own >= 1 and n_other >= 2").select("key", "number", blocks("n_own").alias("ni"), blocks("n_other").alias("nj"))
+    spread = lambda n: F.pmod(F.xxhash64("t"), F.col(n)).cast("int")
+    rows = keys.join(full, ["key", "number"]).withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("own"), F.col("nj")).otherwise(F.col("ni")) - 1)))
+    rows = rows.withColumn("i", F.when(F.col("own"), spread("ni")).otherwise(F.col("with"))).withColumn("j", F.when(F.col("own"), F.col("with")).otherwise(spread("nj")))
+    met = rows.join(once, "t").select("key", "number", "i", "j", "own", "t", "text")
+    met = met.repartition("key", "number", "i", "j").sortWithinPartitions("key", "number", "i", "j", F.col("own").desc())
+    links = saved(met.mapInArrow(lean(verify), "a binary, b binary, distance int"), "edit-links")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+    firsts = owners.groupBy(F.col("t").alias("b")).agg(F.min("doc_id").alias("near_id"))
+    return both.join(firsts, "b").join(owners.withColumnRenamed("t", "a"), "a").where("doc_id > near_id").select("doc_id", "near_id", "distance")

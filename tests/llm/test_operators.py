@@ -366,6 +366,41 @@ def test_near_pairs(spark):
     assert (2, 1, 1) in got and all(d > 0 for _, _, d in got) and not any(3 in p[:2] for p in got)
 
 
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize(("most", "block"), [(8, 512), (3, 4)])
+def test_near_pairs_are_all_pairs(spark, monkeypatch, most, block):
+    """Brute force over short, long and template texts; pairs whose common head is far from either; copies and repeated ids."""
+    monkeypatch.setattr(edit_embedding, "PAIR_BLOCK", block)
+    r = random.Random(13)
+
+    def edited(text, n):
+        chars = list(text)
+        for _ in range(n):
+            at = r.randrange(len(chars) + 1)
+            chars[at : at + r.randrange(2)] = r.choice(["", "q", "é"])
+        return "".join(chars)
+
+    base = [prose(21, 25), prose(22, 12), prose(23, 5), "kan to", "a", "é🙂x", "kan " * 20]
+    texts = [edited(b, n) for b in base for n in (0, 0, 1, 2, 4, 5, 6, 8, 9)] + ["", None, prose(21, 25)]
+    rows = [*enumerate(texts), (3, texts[4]), (70, texts[2]), (None, texts[0])]
+    first = {}
+    for i, t in rows:
+        if t and i is not None:
+            first[t] = min(i, first.get(t, i))
+    known = {(t, u): levenshtein(t, u) for t in first for u in first if abs(len(t) - len(u)) <= most}
+    want = {(i, first[u], known[t, u]) for i, t in rows if t and i is not None for u in first if first[u] < i and 1 <= known.get((t, u), 99) <= most}
+    got = edit_embedding.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), most).collect()
+    assert {tuple(x) for x in got} == want and len(want) > 100
+
+
 @pytest.mark.parametrize(("a", "b", "most", "d"), [("kitten", "sitting", 5, 3), ("abc", "abc", 3, 0), ("", "ab", 3, 2), ("abcdef", "xyz", 3, None), ("ab", "", 1, None)])
 def test_edit_distance(a, b, most, d):
     assert edit_embedding.edit_distance(a, b, most) == d

@@ -6,6 +6,9 @@ scope before the join, so pages out of scope are never touched; visited URLs lea
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,22 +35,27 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return raw.select("url", full.alias("target"))
 
 
-def crawl(archive: DataFrame, seed: str, allow: list[str], deny: list[str], max_pages: int, most_levels: int = 64) -> DataFrame:
+def crawl(archive: DataFrame, seed: str, allow: list[str], deny: list[str], max_pages: int) -> DataFrame:
     """Rows of archive(url, html, ...) in the order a breadth-first crawl from seed reaches them, with level; max_pages at most.
 
-    Within a level pages go by URL. The cap is the crawl's own limit.
+    Within a level pages go by URL. The cap is the crawl's own limit, and the only one: levels go on until no page is
+    new. Links and levels are tables in the folder of spark.checkpoint.dir (a temporary one where that is unset), so
+    plans stay short however long a chain of pages is.
     """
     spark = archive.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="scriptorium-")
+    folder = f"{folder.rstrip('/')}/crawl-{uuid.uuid4().hex}"
     strings = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
-    links = page_links(archive).where(in_scope(F.col("target"), F.lit(seed), strings(allow), strings(deny))).distinct()
-    seen = spark.createDataFrame([(seed, 0)], "url string, level int").join(archive.select("url"), "url", "left_semi")
-    level = seen
-    for n in range(1, most_levels):
-        level = links.join(level.select("url"), "url", "left_semi").select(F.col("target").alias("url")).distinct()
-        level = level.join(archive.select("url"), "url", "left_semi").join(seen, "url", "left_anti").withColumn("level", F.lit(n)).cache()
-        if not level.head(1):
-            break
-        seen = seen.unionByName(level)
-        if seen.count() >= max_pages:
+    found = page_links(archive).where(in_scope(F.col("target"), F.lit(seed), strings(allow), strings(deny))).distinct()
+    found.join(archive.select(F.col("url").alias("target")), "target", "left_semi").select("url", "target").write.parquet(f"{folder}/links")
+    links = spark.read.schema("url string, target string").parquet(f"{folder}/links")
+    level, n = spark.createDataFrame([(seed,)], "url string").join(archive.select("url"), "url", "left_semi"), 0
+    while True:
+        level.write.parquet(f"{folder}/seen/level={n}")
+        level = spark.read.schema("url string").parquet(f"{folder}/seen/level={n}")
+        seen = spark.read.schema("url string, level int").parquet(f"{folder}/seen")
+        if not level.head(1) or seen.count() >= max_pages:
             break
+        level = links.join(level, "url", "left_semi").select(F.col("target").alias("url")).distinct().join(seen.select("url"), "url", "left_anti")
+        n += 1
     return archive.join(seen.orderBy("level", "url").limit(max_pages), "url").orderBy("level", "url")

@@ -67,6 +67,16 @@ def test_crawl(spark):
     assert pages["index.md"]["title"] == "H" and "[x](a.md)" in pages["index.md"]["body"] and pages["c.md"]["title"] == "c"
 
 
+def test_crawl_follows_long_chains(spark):
+    """Next-page links beyond 64 levels, with a link back; the cap alone ends the crawl early."""
+    base = "https://d.org/2/"
+    rows = [(base, html("p1.html"))] + [(f"{base}p{i}.html", html(f"p{i + 1}.html", "p1.html")) for i in range(1, 71)]
+    archive = spark.createDataFrame(rows, "url string, html string").coalesce(1).cache()
+    assert [(r["url"], r["level"]) for r in crawl(archive, base, [], [], 1000).collect()] == [(u, n) for n, (u, _) in enumerate(rows)]
+    assert len(crawl(archive, base, [], [], 3).collect()) == 3
+    assert crawl(archive, "https://d.org/none/", [], [], 10).count() == 0
+
+
 def test_stream(spark, checkout, tmp_path):
     incoming, pages, folder, mark = (str(tmp_path / x) for x in ("in", "pages", "index", "mark"))
     m = parse_manifest(GIT)

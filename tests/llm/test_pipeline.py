@@ -1,11 +1,14 @@
 """The stages of the corpus pipeline against brute force, each on its own input."""
 
 import re
+from collections import Counter
 
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
-from test_operators import KINDS, brute_classes, brute_lines, check_packing, prose  # noqa: E402
+from test_operators import KINDS, brute_classes, brute_lines, check_packing, prose, words  # noqa: E402
+
+from scriptorium.llm.quality import classify  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -45,6 +48,41 @@ def test_mixing(spark, docs):
     assert rows and all(r["text"] == known[r["doc_id"]] for r in rows)
 
 
+def test_quality_keeps_what_scores_enough(spark, docs):
+    """Every row that the scores let through stays as it is, clean ones too, and no other."""
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    for given in (docs, spark.read.parquet(f"{FOLDER}/documents.parquet")):
+        scores = {r["doc_id"]: r["score"] for r in classify(given, labels).collect()}
+        rows = given.collect()
+        want = [r for r in rows if scores[r["doc_id"]] >= 0.3]
+        assert sorted(map(str, corpus_pipeline.quality(spark, given, FOLDER).collect())) == sorted(map(str, want))
+    assert 0 < len(want) < len(rows)
+
+
+def test_mixing_meets_targets(spark, docs):
+    """Words of each source in the mix against water-filled shares; copies of a source's documents differ by one at most."""
+    rows, copies = docs.collect(), Counter(r["doc_id"] for r in corpus_pipeline.mixing(spark, docs, FOLDER).collect())
+    size, by = {r["doc_id"]: len(words(r["text"])) for r in rows}, {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r["doc_id"])
+    order = sorted(by, key=lambda s: (s is None, (s or "").encode()))
+    total = {s: sum(size[i] for i in ids) for s, ids in by.items()}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    left, rest, want = {s for s in order if total[s]}, float(sum(total.values())), dict.fromkeys(order, 0.0)
+    while left:
+        share = rest / sum(weight[s] for s in left)
+        full = {s for s in left if share * weight[s] > 3 * total[s]}
+        for s in full or left:
+            want[s] = 3.0 * total[s] if full else share * weight[s]
+        rest -= sum(want[s] for s in full)
+        left = left - full if full else set()
+    for s, ids in by.items():
+        counts = {copies[i] for i in ids if size[i]}
+        assert abs(sum(copies[i] * size[i] for i in ids) - want[s]) <= max(size[i] for i in ids) / 2 + 1
+        assert not counts or max(counts) <= 3 and max(counts) - min(counts) <= 1
+    assert not any(copies[i] for i in size if not size[i])
+
+
 def test_packing(spark, docs):
     rows = corpus_pipeline.packing(spark, docs, FOLDER).collect()
     check_packing(rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 from scriptorium.llm.common import mix64
@@ -13,14 +15,15 @@ class CuckooFilter:
     """Membership with deletion: no false negatives for keys inserted and not deleted; false positives about 8 / 65,536.
 
     Buckets hold SLOTS 16-bit fingerprints (0: free). A key's second bucket is its first one xor a hash of its
-    fingerprint. When kicks run out, the filter doubles and re-inserts; it keeps its keys' bits for that.
+    fingerprint. When kicks run out, the last fingerprint goes to an exact side list, which counts what it holds: a filter
+    filled beyond its capacity grows there and loses no key, also by deletion.
     """
 
     def __init__(self, capacity: int):
         need = max(4, int(capacity / 0.85 / SLOTS) + 1)
         self.bits = max(2, (need - 1).bit_length())
         self.table = np.zeros((1 << self.bits, SLOTS), np.uint16)
-        self.overflow: set[tuple[int, int]] = set()
+        self.overflow: Counter[tuple[int, int]] = Counter()
 
     @staticmethod
     def _hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +63,7 @@ class CuckooFilter:
             bucket = int(self._other(np.array([bucket], np.uint64), np.array([f], np.uint16))[0])
             if self._put(bucket, f):
                 return
-        self.overflow.add((bucket, f))  # an exact side list: never a lost key
+        self.overflow[bucket, f] += 1  # an exact side list: never a lost key
 
     def contains(self, keys: np.ndarray) -> np.ndarray:
         if not len(keys):
@@ -83,11 +86,13 @@ class CuckooFilter:
                     self.table[bucket, found[0]] = 0
                     break
                 if (bucket, f) in self.overflow:
-                    self.overflow.discard((bucket, f))
+                    self.overflow[bucket, f] -= 1
+                    if not self.overflow[bucket, f]:
+                        del self.overflow[bucket, f]
                     break
 
     def to_bytes(self) -> bytes:
-        extra = np.array(sorted(self.overflow), np.uint64).reshape(-1, 2)
+        extra = np.array(sorted(self.overflow.elements()), np.uint64).reshape(-1, 2)
         return np.array([self.bits, len(extra)], np.uint64).tobytes() + extra.tobytes() + self.table.tobytes()
 
     @classmethod
@@ -95,6 +100,6 @@ class CuckooFilter:
         bits, n = (int(x) for x in np.frombuffer(data, np.uint64, 2))
         out = cls.__new__(cls)
         out.bits = bits
-        out.overflow = {(int(a), int(b)) for a, b in np.frombuffer(data, np.uint64, 2 * n, 16).reshape(-1, 2)}
+        out.overflow = Counter((int(a), int(b)) for a, b in np.frombuffer(data, np.uint64, 2 * n, 16).reshape(-1, 2))
         out.table = np.frombuffer(data, np.uint16, SLOTS << bits, 16 + 16 * n).reshape(-1, SLOTS).copy()
         return out

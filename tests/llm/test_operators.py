@@ -458,6 +458,21 @@ def test_cuckoo():
     assert CuckooFilter.from_bytes(tiny.to_bytes()).contains(keys[:200]).all()
 
 
+def test_cuckoo_keeps_keys_that_share_an_overflow_entry():
+    """Pairs of keys with one fingerprint and one pair of buckets in a filter far beyond its capacity; one of each is deleted."""
+    keys = np.random.default_rng(8).integers(0, 2**63, (20_000, 2)).astype(np.uint64)
+    made, alike = CuckooFilter(4), {}
+    for k, a, b, f in zip(range(len(keys)), *(x.tolist() for x in made._places(keys)), strict=True):
+        alike.setdefault((min(a, b), f), []).append(k)
+    one, two = (keys[[g[k] for g in alike.values() if len(g) > 1][:40]] for k in (0, 1))
+    made.insert(np.concatenate([one, two]))
+    assert max(made.overflow.values()) > 1
+    made.delete(one)
+    assert made.contains(two).all() and CuckooFilter.from_bytes(made.to_bytes()).contains(two).all()
+    made.delete(two)
+    assert not made.overflow and not made.table.any()
+
+
 # 7
 
 

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Characters that separate words: space and the controls 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -27,9 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir.
+
+    Where that is unset, a temporary one, but only in local mode (tests), where all tasks run on this machine; on a
+    cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="scriptorium-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -44,13 +51,59 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_saved(spark: SparkSession) -> None:
-    """Deletes the tables that this driver has saved; for the end of a job, when no result is still to be read from them."""
-    while _MADE:
+def remove_saved(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables that this driver has saved, from number `since` of them on; for the end of a job, when no result is still to be read from them."""
+    while len(_MADE) > since:
         path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def kept(df: DataFrame, *new: str) -> list[str]:
+    """The columns of df but for those that an operator replaces, in whatever case they are written."""
+    return [c for c in df.columns if c.lower() not in new]
+
+
+def own(name: str) -> Column:
+    """A column by its plain name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def boxed(keep: list[str]) -> Column:
+    """Those columns as one, `row__`: between boxing and unboxing an operator's own names meet none of the input's."""
+    return F.struct(*[own(c).alias(c) for c in keep], F.lit(0).alias("none__")).alias("row__")
+
+
+def unboxed(keep: list[str]) -> list[Column]:
+    return [F.col("row__").getField(c).alias(c) for c in keep]
+
+
+def returned(df: DataFrame, *more: str) -> StructType:
+    """The schema of df with more columns, each written as `name type`; for functions over Arrow batches."""
+    added = StructType.fromDDL(", ".join(more)).fields if more else []
+    return StructType([StructField(f.name, f.dataType) for f in [*df.schema.fields, *added]])
+
+
+HOT_ROWS, MOST_HOT = 128, 1024
+
+
+def join_spread(rows: DataFrame, facts: DataFrame, on: list[str], values: list[str], total: int, spread: Column, size: str = "n") -> DataFrame:
+    """rows with the values that facts hold for their key, or nulls: a left join that no key can crowd into one task.
+
+    facts has each key once, with the number of rows (`size`) that carry it; total is the sum of those numbers. Keys
+    with more than a share of 1 / MOST_HOT of all rows, MOST_HOT at most by that, are broadcast; their rows are dealt by
+    `spread`. facts is read twice: a written table, or cheap. Null keys meet nothing.
+    """
+    hot = F.col(size) > max(HOT_ROWS, total // MOST_HOT)
+    mine = [F.col(c).alias(f"{c}__hot") for c in on]
+    most = F.broadcast(facts.where(hot).select(*mine, F.struct(*values).alias("hot__")))
+    out = rows.join(most, [F.col(c) == F.col(f"{c}__hot") for c in on], "left").drop(*[f"{c}__hot" for c in on])
+    out = out.withColumn("salt__", F.when(F.col("hot__").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(spread), F.lit(1 << 30)) + 1))
+    rest = facts.where(~hot).select(*on, F.lit(0).cast("long").alias("salt__"), F.struct(*values).alias("cold__"))
+    out = out.join(rest, [*on, "salt__"], "left")
+    found = [F.coalesce(F.col("hot__").getField(v), F.col("cold__").getField(v)).alias(v) for v in values]
+    return out.select(*rows.columns, *found)
+
+
 Batches = Iterator[pa.RecordBatch]
 SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
 

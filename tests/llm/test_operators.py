@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, an exact round trip, or held-out accuracy, with the awkward inputs."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.llm import edit_embedding, line_dedup, minhash_dedup, mixing, packing, quality, sharding, substring_dedup, url_lists, vector_dedup
+from scriptorium.llm import draws, edit_embedding, line_dedup, minhash_dedup, mixing, packing, quality, sharding, substring_dedup, url_lists, vector_dedup
 from scriptorium.llm.common import Words
 from scriptorium.llm.cuckoo import CuckooFilter
 from scriptorium.llm.graph import components
@@ -52,11 +53,25 @@ def odd(spark):
     """Null ids, repeated rows, and columns named like what operators add."""
     rows = [(None, "x y z", "en", "a", 1), (1, prose(5, 30), None, "a", 1), (1, prose(5, 30), None, "a", 1), (2, None, "en", None, None), (2, prose(5, 30), "en", "b", 3)]
     out = spark.createDataFrame(rows, KINDS)
-    for c in ("shard", "slot", "size", "taken", "score", "predicted", "kept_text", "n_words", "class_id", "kept", "id", "k", "h1", "spans", "shards", "sequence_id"):
+    for c in CLASHING:
         out = out.withColumn(c, F.lit("mine"))
     return out
 
 
+#: What operators add, in other case too, what they call things on their way, and names that need quoting.
+CLASHING = (
+    "shard", "slot", "Size", "taken", "Score", "PREDICTED", "kept_text", "n_words", "Class_Id", "kept", "id", "k", "h1", "spans", "Shards", "sequence_id", "target", "source_size",
+    "dealt", "__sub", "sub", "part", "row__", "salt__", "key", "begin", "size.of", "a`b", "length", "label", "n_lines", "__gone", "__text", "rank", "n", "offset", "x y",
+)
+
+
+def survive(out, *new):
+    """Columns of the input that an operator does not replace hold what they held."""
+    for r in out.collect():
+        assert {c for c in CLASHING if c.lower() not in new and r.asDict().get(c, "none") != "mine"} == set()
+    assert sorted({c.lower() for c in CLASHING} & set(new) - {c.lower() for c in out.columns}) == []
+
+
 def words(text):
     return WORD.findall(text or "")
 
@@ -477,9 +492,14 @@ def test_cuckoo_keeps_keys_that_share_an_overflow_entry():
 
 
 def brute_links(rows):
-    sound = {i: (lab, np.array(v, float) / np.linalg.norm(v)) for i, v, lab in rows if lab is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
-    links = {i: 0 for i, _, _ in rows}
-    up = {i: i for i, _, _ in rows}
+    """(vec_id, n_links, component_id, kept) of every row, by comparing every two rows."""
+    last = 2**63 - 1
+    sound = {}
+    for k, (_, v, lab) in enumerate(rows):
+        if lab is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            scaled = np.array(v, float) / np.abs(np.array(v, float)).max()
+            sound[k] = (lab, scaled / np.linalg.norm(scaled))
+    links, up = [0] * len(rows), list(range(len(rows)))
 
     def root(a):
         while up[a] != a:
@@ -491,13 +511,22 @@ def brute_links(rows):
             if a < b and la == lb and len(x) == len(y) and float(x @ y) >= 0.98:
                 links[a] += 1
                 links[b] += 1
-                p, q = root(a), root(b)
-                up[max(p, q)] = min(p, q)
-    return {i: (links[i], root(i)) for i in links}
+                up[root(a)] = root(b)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        least[root(k)] = min(least.get(root(k), last), last if i is None else i)
+    named = [None if least[root(k)] == last else least[root(k)] for k in range(len(rows))]
+    return sorted(((i, links[k], named[k], i is not None and i == named[k]) for k, (i, _, _) in enumerate(rows)), key=str)
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def linked(spark, rows, kind=VECTORS):
+    return sorted((tuple(x) for x in vector_dedup.vector_digest(spark.createDataFrame(rows, kind)).collect()), key=str)
 
 
 def test_vectors(spark, monkeypatch):
-    monkeypatch.setattr(vector_dedup, "BLOCK", 16)
     r = np.random.default_rng(8)
     rows = []
     for g in range(8):
@@ -505,20 +534,70 @@ def test_vectors(spark, monkeypatch):
         for _ in range(60 if g == 0 else 5):
             rows.append((len(rows), [float(np.float32(x)) for x in base + r.standard_normal(64) * 0.12], g % 3))
     rows += [(900, rows[0][1], 0), (901, rows[0][1], 1), (902, rows[0][1], None), (903, None, 0), (904, [0.0] * 64, 0), (905, [float("nan")] * 64, 0), (906, [None] * 64, 0), (907, [1.0, 2.0], 0), (908, [2.0, 4.0], 0), (909, [], 0), (910, [x * 2 for x in rows[0][1]], 0)]
-    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in vector_dedup.vector_digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
-    assert got == brute_links(rows)
-    assert vector_dedup.vector_digest(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+    for block in (1024, 16):
+        monkeypatch.setattr(vector_dedup, "BLOCK", block)
+        assert linked(spark, rows) == brute_links(rows)
+    assert linked(spark, rows[:0]) == []
+
+
+def test_vectors_with_null_and_repeated_ids(spark):
+    """Rows are told apart by their vectors, not by their ids."""
+    near, far = [1.0, 0.001], [0.0, 1.0]
+    rows = [(None, [1.0, 0.0], 1), (None, near, 1), (None, far, 1), (5, [1.0, 0.0], 2), (5, far, 2), (6, near, 2), (7, far, 3), (7, far, 3), (None, far, 3), (None, None, 3), (8, [1e300, 1e300], 4), (9, [1e-300, 1e-300], 4)]
+    want = brute_links(rows)
+    assert linked(spark, rows, "vec_id long, embedding array<double>, label int") == want
+    assert [w[1] for w in want if w[0] is None] == [0, 0, 1, 1, 2] and (5, 1, 5, True) in want and (5, 0, 5, True) in want
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for c in ("id", "K1", "rep", "n", "n_links", "Kept", "component_id", "node", "v"):
+        table = table.withColumn(c, F.lit("mine"))
+    assert sorted((tuple(x) for x in vector_dedup.vector_digest(table).collect()), key=str) == want
+
+
+def test_hot_vectors(spark, monkeypatch):
+    """A third of all rows are one vector, another third nearly so; both spread over many tasks."""
+    from scriptorium.llm import common
 
+    monkeypatch.setattr(common, "HOT_ROWS", 4)
+    r = np.random.default_rng(18)
+    base = r.standard_normal(16)
+    rows = [(i, base.tolist(), 1) for i in range(40)] + [(100 + i, (base + r.standard_normal(16) * 0.05).tolist(), 1) for i in range(40)] + [(200 + i, r.standard_normal(16).tolist(), i % 2) for i in range(40)]
+    rows = [(i, [float(np.float32(x)) for x in v], lab) for i, v, lab in rows]
+    assert linked(spark, rows) == brute_links(rows)
 
-def test_estimates_hold():
-    """The binary codes' estimate is unbiased, and its bound loses no pair at the threshold."""
+
+@pytest.mark.parametrize("dims", [2, 40, 64, 150])
+def test_estimates_hold(dims):
+    """Estimates from bits and factors are unbiased, and their bounds rule out no pair at the threshold, but most others."""
     r = np.random.default_rng(9)
-    x = vector_dedup.unit(r.standard_normal((400, 64)))
-    y = vector_dedup.unit(x + r.standard_normal((400, 64)) * 0.018)
-    i, j, exact = vector_dedup.settle(x, y, 0.98)
-    want = {(a, b) for a, b in zip(*np.nonzero(x @ y.T >= 0.98), strict=True)}
-    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and len(want) > 300
-    assert exact < 0.05 * 400 * 400
+    x = vector_dedup.unit(r.standard_normal((400, dims)))
+    w = r.standard_normal((400, dims))
+    w = vector_dedup.unit(w - (w * x).sum(1, keepdims=True) * x)
+    y = 0.9801 * x + (1 - 0.9801**2) ** 0.5 * w  # just over the threshold
+    turn = vector_dedup.rotations(dims, 1)[:, :dims]
+    a, b = (vector_dedup.short_records(v @ turn) for v in (x, y))
+    maybe = vector_dedup.likely(a, b, dims, 0.98)
+    i, j = vector_dedup.settle(x, y, maybe, 0.98)
+    want = {(p, q) for p, q in zip(*np.nonzero(x @ y.T >= 0.98), strict=True)}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and len(want) >= 400
+    if dims >= 40:
+        guess, spread = vector_dedup.estimates(a, b, dims, 0.98)
+        assert abs((guess - x @ y.T).mean()) < 0.01 and abs((np.diag(guess) - 0.9801).mean()) < 0.01
+        assert 0.4 < (np.diag(guess) - 0.9801).std() / np.median(np.diag(spread)) < 1.6
+        assert maybe.sum() < 0.02 * maybe.size + 400
+
+
+def test_recall_of_tables():
+    """Pairs at the threshold meet in a table: none of 20,000 is missed, where MISS lets one in 100,000 go."""
+    bits, tables = vector_dedup.table_shape(5000)
+    r, missed = np.random.default_rng(10), 0
+    for _ in range(20):
+        x = vector_dedup.unit(r.standard_normal((1000, 64)))
+        w = r.standard_normal((1000, 64))
+        w = vector_dedup.unit(w - (w * x).sum(1, keepdims=True) * x)
+        y = 0.98 * x + (1 - 0.98**2) ** 0.5 * w
+        one, two = ((v @ vector_dedup.rotations(64, bits * tables)[:, 64 : 64 + bits * tables] >= 0).reshape(-1, tables, bits) for v in (x, y))
+        missed += int((~(one == two).all(2).any(1)).sum())
+    assert missed <= 2
 
 
 def test_components(spark, monkeypatch):
@@ -539,6 +618,11 @@ def test_components(spark, monkeypatch):
             up[max(p, q)] = min(p, q)
     want = {a: root(a) for a in up if root(a) != a}
     edges = spark.createDataFrame(pairs, "x long, y long")
+    pairs_of_a_hub = [(1000, 1001 + i) for i in range(400)] + [(1001 + i, 2000) for i in range(50)]
+    pairs += pairs_of_a_hub
+    want |= {i: 1000 for _, i in pairs_of_a_hub}
+    want |= {i: 1000 for i, _ in pairs_of_a_hub if i > 1000}
+    edges = spark.createDataFrame(pairs, "x long, y long")
     for most in (1 << 18, 0):
         monkeypatch.setattr(graph, "ONE_TASK", most)
         assert {x["id"]: x["component"] for x in components(edges, "x", "y").collect()} == want
@@ -586,6 +670,7 @@ def test_sharding(spark, docs, none, odd):
     assert sorted(map(str, sharding.sharding_digest(docs).collect())) == sorted(map(str, rows))
     assert sharding.sharding_digest(none).count() == 0
     assert sharding.hypergeometric_shuffle(odd, ["doc_id", "text"]).count() == 5
+    survive(sharding.hypergeometric_shuffle(odd, ["doc_id", "text"]), "shard", "slot")
     many = sharding.hypergeometric_shuffle(spark.range(5000), ["id"], shards=7, rows_per_partition=100).collect()
     assert sorted(Counter(r["shard"] for r in many).values()) == [714] * 5 + [715] * 2
     assert len({(r["shard"], r["slot"]) for r in many}) == 5000
@@ -600,6 +685,28 @@ def test_matrix():
     assert made.sum(1).tolist() == sizes and made.sum(0).tolist() == shards
 
 
+def test_matrix_of_very_many_rows():
+    """Row sums of 10^11, far beyond numpy's own sampler: exact margins, and entries that spread as the law has it."""
+    total = 4 * 10**11
+    made = sharding.communication_matrix([10**11] * 4, sharding.shard_sizes(total, 400), 2)
+    assert made.sum(1).tolist() == [10**11] * 4 and made.sum(0).tolist() == sharding.shard_sizes(total, 400)
+    spread = (total * (1 / 4) * (3 / 4) * (1 / 400) * (399 / 400)) ** 0.5
+    assert 0.9 < (made - total / 1600).std() / spread < 1.1
+    parts = [total // 65_536 + (i < total % 65_536) for i in range(65_536)]
+    made = sharding.communication_matrix(parts, sharding.shard_sizes(total, 16), 3)
+    assert (made.sum(1) == parts).all() and made.sum(0).tolist() == sharding.shard_sizes(total, 16) and made.min() > 0
+
+
+@pytest.mark.parametrize(("good", "bad", "sample"), [(7, 5, 6), (3, 40, 20), (30, 4, 17), (1, 1, 1), (5, 0, 3), (0, 5, 3), (9, 9, 18), (9, 9, 0)])
+def test_draws_follow_the_law(monkeypatch, good, bad, sample):
+    """The reduction that large populations take, here applied down to the end, against the law's probabilities."""
+    monkeypatch.setattr(draws, "SMALL", 0)
+    many = 100_000
+    got = draws.hypergeometric(np.random.default_rng(3), *(np.full(many, x) for x in (good, bad, sample)))
+    want = [math.comb(good, k) * math.comb(bad, sample - k) / math.comb(good + bad, sample) if k <= good else 0.0 for k in range(sample + 1)]
+    assert np.abs(np.bincount(got, minlength=sample + 1) / many - want).max() < 0.008
+
+
 # 10
 
 
@@ -629,6 +736,7 @@ def test_mixing(spark, docs, none, odd):
         taken[s] += r["taken"]
         assert (r["size"], r["source_size"]) == (len(words(rows[r["doc_id"]][1])), size[s]) and r["target"] == pytest.approx(want[s])
         assert r["taken"] <= 3 * r["size"] and len(r["shards"]) == -(-r["taken"] // r["size"]) and all(0 <= x < 16 for x in r["shards"])
+        assert sum(r["dealt"]) == r["taken"] and len(r["dealt"]) == 16 and all(r["dealt"][x] > 0 for x in r["shards"])
     assert all(abs(taken[s] - want[s]) <= 1 for s in want)
     assert sorted(map(str, mixing.mixing_digest(table).collect())) == sorted(map(str, got))
     assert mixing.mixing_digest(none).count() == 0 and mixing.mixing_digest(docs).count() == len(ROWS) and mixing.mixing_digest(odd).count() == 5
@@ -638,6 +746,19 @@ def test_mixing(spark, docs, none, odd):
     for r in mixed.collect():
         whole[r["source"]] += len(words(r["text"]))
     assert all(abs(whole[s] - want[s]) <= 45 for s in want)
+    # every shard gets the same number of blocks, of all sources together
+    shares = np.array([r["dealt"] for r in got]).sum(0)
+    assert shares.sum() == sum(taken.values()) and np.ptp(shares) <= 2 * len(want) + 2
+    survive(mixing.mix(odd, F.lit(1).cast("long"), ["doc_id", "text"]), "size", "source_size", "target", "taken", "dealt", "shards")
+    survive(mixing.mixed_rows(odd, "text", ["doc_id", "text"]))
+
+
+def test_mixing_refuses_what_it_cannot_hold(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    table = spark.range(8).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 4).alias("source"), F.lit("a b").alias("text"))
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mixing_digest(table)
+    assert mixing.mixing_digest(table.where("source <> 's3'")).count() == 6
 
 
 def test_splitting_tree():

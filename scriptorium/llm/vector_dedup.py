@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import join_spread, lean, own, saved
 from scriptorium.llm.graph import components, stars
 
-COSINE, MISS, BLOCK, ERRORS, PLANES = 0.98, 1e-5, 1024, 5.0, 4
+COSINE, MISS, BLOCK, ERRORS, PLANES = 0.98, 1e-5, 256, 5.0, 4
 LAST = 2**63 - 1  # stands for a null id
 BUCKET = ["label", "d", "table", "code"]
 

@@ -7,17 +7,9 @@ w. A register keeps the earliest time, so two registers agree with a probability
 similarity, and the work follows the registers and not the weights: points later than all registers can hold are never
 drawn.
 
-Texts that share a band of registers meet. Equal texts are one from the start. Links are verified exactly (sum of
-minima over sum of maxima of counts), in three steps:
-
-1. each text against one pivot, the same for as many of its buckets as can be, which joins most classes;
-2. where a bucket of SMALL members at most still spans classes, the pairs across them;
-3. where a larger one does, all of it, in blocks: a task for each pair of blocks holds the shingles of their members,
-   multiplies out all overlaps and returns a spanning forest, never the pairs.
-
-After that every pair of bucket members is either in one class or was compared: no bucket is cut short. Pairs whose
-registers agree in fewer than LEAST_AGREE places are not looked at: a pair at the threshold does that with a
-probability of 1e-10.
+Texts that share a band of registers meet; equal texts are one from the start. Links are verified exactly (sum of
+minima over sum of maxima of counts) as near_classes has it. Pairs whose registers agree in fewer than LEAST_AGREE
+places are not looked at: a pair at the threshold does that with a probability of 1e-10.
 """
 
 from __future__ import annotations
@@ -26,17 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, gram_hashes, lean, mix64, saved
-from scriptorium.llm.graph import Forest, components
+from scriptorium.llm.common import Words, boxed, gram_hashes, join_spread, kept, lean, mix64, own, saved, unboxed
+from scriptorium.llm.near_classes import Measure, classes, common_elements
 
 SHINGLE, SIMILAR_NUM, SIMILAR_DEN = 5, 4, 5  # five words, a similarity of 4/5
 BANDS, ROWS = 25, 5  # at 0.8 a pair misses all bands with a probability of 5e-5
 REGISTERS = BANDS * ROWS
 LEAST_AGREE = 70
-SMALL, BLOCK, COMMON = 32, 512, 16
 LAST = 2**63 - 1  # stands for a null id
 
 
@@ -116,13 +107,14 @@ def register_bytes(signature: np.ndarray) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h1, h2, pick) with the bands, the short signature and the number of words of the text in column 4."""
     for b in batches:
-        words = Words(b.column(3))
+        words = Words(b.column(4))
         times = registers(*shingles(words), len(b))
         signature, short = bands(times), register_bytes(times)
         sizes = np.where(words.counts > 0, BANDS, 0)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(signature[words.counts > 0].ravel()))
-        yield pa.RecordBatch.from_arrays([*b.columns[:3], lists, pa.array([r.tobytes() for r in short], pa.binary())], ["id", "h1", "h2", "bands", "short"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], lists, pa.array([r.tobytes() for r in short], pa.binary()), pa.array(words.counts, pa.int32())], ["id", "h1", "h2", "pick", "bands", "short", "size"])
 
 
 def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -138,161 +130,82 @@ def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
     return (SIMILAR_DEN * least >= SIMILAR_NUM * most) & (most > 0)
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield b.select([0, 1]).filter(pa.array(similar(b.column(2), b.column(3))))
+def agree(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one == two).sum(1) >= LEAST_AGREE
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        one, two = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
-        yield b.select([0, 1]).filter(pa.array((one == two).sum(1) >= LEAST_AGREE))
+def elements(texts: pa.Array) -> list[bytes]:
+    """Each text's multiset as a set of (shingle, how often before) hashes: overlaps become counts of common elements."""
+    owner, grams, counts = shingles(Words(texts))
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    flat = mix64(np.repeat(grams, counts) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 6)
+    ends = np.searchsorted(np.repeat(owner, counts), np.arange(len(texts) + 1))
+    return [flat[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)]
 
 
-def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """The distinct pairs(a, b) whose texts(id, text) are similar. Registers are asked first, so few texts travel."""
-    one, two = (reps.select(F.col("id").alias(k), F.col("short").alias(f"s{k}")) for k in "ab")
-    likely = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(lean(_agreeing), "a long, b long"), "pairs")
-    ids = saved(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
-    used = texts.join(ids, "id", "left_semi")
-    one, two = (used.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-    return likely.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(lean(_verified), "a long, b long").distinct()
+def across(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    one, two = ([np.frombuffer(h, np.uint64) for h in side] for side in (left, right))
+    size = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in two])
+    common = common_elements(one, two)
+    return np.nonzero((common > 0) & (SIMILAR_DEN * common >= SIMILAR_NUM * (size - common)))
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's multiset as a set of (shingle, how often before) hashes: overlaps become counts of common elements."""
-    for b in batches:
-        owner, own, counts = shingles(Words(b.column(1)))
-        turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        flat = mix64(np.repeat(own, counts) + turn.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 6)
-        ends = np.searchsorted(np.repeat(owner, counts), np.arange(len(b) + 1))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([flat[x:y].tobytes() for x, y in zip(ends, ends[1:], strict=False)], pa.binary())], ["id", "elements"])
-
-
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Common elements of every two sets. Elements of many sets are multiplied as columns, those of few are paired off."""
-    n = len(sets)
-    out = np.zeros((n, n), np.float32)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    flat = np.concatenate(sets)
-    order = np.lexsort((owner, flat))
-    owner, flat = owner[order], flat[order]
-    first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, int)
-    many = np.diff(np.append(first, len(flat)))
-    for c in range(2, COMMON):
-        at = first[many == c]
-        for x in range(c):
-            for y in range(x + 1, c):
-                np.add.at(out, (owner[at + x], owner[at + y]), 1)
-    wide = np.flatnonzero(many >= COMMON)
-    for lo in range(0, len(wide), 2048):
-        part = wide[lo : lo + 2048]
-        cells = np.zeros((n, len(part)), np.float32)
-        column = np.repeat(np.arange(len(part)), many[part])
-        row = np.arange(len(column)) - np.repeat(np.cumsum(many[part]) - many[part], many[part]) + np.repeat(first[part], many[part])
-        cells[owner[row], column] = 1
-        out += np.triu(cells @ cells.T, 1)
-    return out
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Forest edges across classes; rows come sorted by (band, key, i, j)."""
-    held: list[tuple[int, int, bytes]] = []
-    now = None
-    for b in batches:
-        keys = zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)
-        for key, id_, c, elements in zip(keys, b.column(4).to_pylist(), b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True):
-            if key != now:
-                yield _compare(held)
-                now, held = key, []
-            held.append((id_, c, elements))
-    yield _compare(held)
-
-
-def _compare(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    edges, forest = [], Forest()
-    if len({c for _, c, _ in held}) > 1:
-        ids, c = np.array([h[0] for h in held]), np.array([h[1] for h in held])
-        sets = [np.frombuffer(h[2], np.uint64) for h in held]
-        size, common = np.array([len(s) for s in sets]), overlaps(sets)
-        i, j = np.nonzero(common)
-        good = (c[i] != c[j]) & (SIMILAR_DEN * common[i, j] >= SIMILAR_NUM * (size[i] + size[j] - common[i, j]))
-        edges = [(int(ids[x]), int(ids[y])) for x, y in zip(i[good], j[good], strict=True) if forest.join(int(c[x]), int(c[y]))]
-    a, b = zip(*edges, strict=True) if edges else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def classes_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """reps(id, bands, short) and texts(id, text): (id, component) for ids that links take to a smaller one."""
-    rows = reps.select("id", F.posexplode("bands").alias("band", "key"))
-    order = F.xxhash64(F.lit(4), "id")
-    full = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "id")).alias("head")).where("n > 1")
-    members = saved(rows.join(full, ["band", "key"]).select("band", "key", "id", "n", "head"), "bucket-members")
-    first = members.groupBy("id").agg(F.min("head").alias("head"))  # buckets share their pivots, so most classes come whole
-    links = saved(verified(first.select(F.col("id").alias("a"), F.col("head.id").alias("b")).where("a <> b"), reps, texts), "links")
-    known = components(links, "a", "b")
-
-    def still_open(size) -> DataFrame:
-        """Members of buckets of such a size that span classes, with their classes."""
-        own = members.where(size).select("band", "key", "id", "n").join(known, "id", "left").select("band", "key", "id", "n", F.coalesce("component", "id").alias("c"))
-        mixed = own.groupBy("band", "key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("band", "key")
-        return own.join(mixed, ["band", "key"])
-
-    few = saved(still_open(F.col("n") <= SMALL), "open-buckets")
-    other = few.select("band", "key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    pairs = few.join(other, ["band", "key"]).where("id > b and c <> cb").select(F.col("id").alias("a"), "b").distinct()
-    links = links.unionByName(saved(verified(pairs, reps, texts), "links"))
-    known = components(links, "a", "b")
-
-    many = saved(still_open(F.col("n") > SMALL), "open-buckets")
-    if many.head(1):
-        ids = saved(many.select("id").distinct(), "open-ids")
-        sets = saved(texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(lean(_elements), "id long, elements binary"), "elements")
-        many = many.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(order, F.col("blocks")).cast("int"))
-        many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
-        met = many.join(sets, "id").select("band", "key", "i", "j", "id", "c", "elements").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "id")
-        links = links.unionByName(saved(met.mapInArrow(lean(_blocks), "a long, b long"), "links"))
-        known = components(links, "a", "b")
-    return known
+MEASURE = Measure(agree, similar, elements, across)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Adds class_id (long) and kept (boolean) to every row; input columns of these names are replaced.
+    """Adds class_id (long) and kept (boolean) to every row; input columns of these names, in any case, are replaced.
 
     class_id is the smallest doc_id of the row's class: rows with equal texts, or joined by links of similarity 0.8 or
-    more. kept marks the row of that id. Null and empty texts and texts of blanks alone are like equal texts only. Rows
-    are classed by their texts, also where they share an id; texts with one smallest id are one class. A null id takes part and comes after all others; a class of null ids only has a null
-    class_id. An empty table gives an empty result.
+    more. kept marks one row of each class: that of the smallest id, and of several rows of that id one by a hash of the
+    row. Null and empty texts and texts of blanks alone are like equal texts only. Rows are classed by their texts, also
+    where they share an id. A null id takes part and comes after all others; a class of null ids only has a null
+    class_id and keeps one row as well. An empty table gives an empty result.
     """
-    keep = [c for c in docs.columns if c not in ("class_id", "kept")]
-    key = F.struct(*_keys())
-    signed, facts = _classified(docs)
-    out = docs.withColumn("__k", key).select(*keep, F.col("__k.h1").alias("h1__"), F.col("__k.h2").alias("h2__"))
-    facts = facts.withColumnsRenamed({"h1": "h1__", "h2": "h2__"})
-    return _named(out.join(facts, ["h1__", "h2__"]), F.col("doc_id"), keep)
+    keep = kept(docs, "class_id", "kept")
+    plain = [c for c in keep if "map<" not in (kind := docs.schema[c].dataType.simpleString()) and "variant" not in kind]
+    pick = F.xxhash64(F.lit(8), *[own(c) for c in plain])  # tells rows apart, but for those alike in all columns
+    signed, facts = _classified(docs, pick)
+    out = docs.select(boxed(keep), *_keys(), pick.alias("pick"))
+    out = join_spread(out, facts, ["h1", "h2"], ["class_id", "best"], signed.count(), F.col("pick"))
+    chosen = (F.col("id") == F.col("best.id")) & (F.col("pick") == F.col("best.pick"))
+    if signed.groupBy("h1", "h2", "id", "pick").count().where("count > 1").head(1):  # rows alike in all columns
+        alike = Window.partitionBy("h1", "h2", "id", "pick")
+        out = out.withColumn("turn", F.row_number().over(alike.orderBy(F.lit(1))))
+        chosen = chosen & (F.col("turn") == 1)
+    return out.select(*unboxed(keep), "class_id", chosen.alias("kept"))
 
 
 def _keys():
-    own = F.coalesce("text", F.lit(""))
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(F.lit(1), own).alias("h1"), F.xxhash64(F.lit(2), own).alias("h2")]
+    text = F.coalesce("text", F.lit(""))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2")]
 
 
-def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, h1, h2, bands) of every row, and (h1, h2, class__) of every distinct text."""
-    own = F.coalesce("text", F.lit(""))
-    signed = saved(docs.select(*_keys(), own.alias("text")).mapInArrow(lean(_banded), "id long, h1 long, h2 long, bands array<long>, short binary"), "signatures")
-    reps = saved(signed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("short").alias("short")), "distinct-texts")
-    known = classes_of(reps.select("id", "bands", "short").where(F.size("bands") > 0), docs.select(_keys()[0], own.alias("text")))
-    return signed, reps.select("h1", "h2", "id").join(known, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("class__"))
+def _classified(docs: DataFrame, pick) -> tuple[DataFrame, DataFrame]:
+    """(id, h1, h2, pick, ...) of every row, and of every distinct text (h1, h2, n, class_id, best): n rows have it; best is (id, pick) of its class's row to keep."""
+    text = F.coalesce("text", F.lit("")).alias("text")
+    schema = "id long, h1 long, h2 long, pick long, bands array<long>, short binary, size int"
+    signed = saved(docs.select(*_keys(), pick.alias("pick"), text).mapInArrow(lean(_banded), schema), "signatures")
+    reps = signed.groupBy("h1", "h2").agg(F.min(F.struct("id", "pick")).alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("short").alias("short"), F.first("size").alias("size"))
+    reps = saved(reps.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")  # numbers are fixed once written
 
+    def texts(nodes: DataFrame) -> DataFrame:
+        """From the row of the smallest id; rows alike in id and text count once."""
+        wanted = reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi")
+        return docs.select(*_keys(), text).join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
 
-def _named(rows: DataFrame, doc_id, keep: list) -> DataFrame:
-    named = F.when(F.col("class__") < LAST, F.col("class__"))
-    return rows.select(*keep, named.alias("class_id"), F.coalesce(doc_id == named, named.isNull()).alias("kept"))
+    known = classes(reps.select("node", "bands", "short", "size").where(F.size("bands") > 0), texts, MEASURE)
+    named = reps.select("h1", "h2", "n", "node", "best").join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = saved(named, "text-classes")
+    least = saved(named.groupBy("component").agg(F.min("best").alias("least"), F.count("*").alias("n")), "class-facts")
+    named = join_spread(named, least, ["component"], ["least"], named.count(), F.col("node"))
+    class_id = F.when(F.col("least.id") < LAST, F.col("least.id"))
+    return signed, saved(named.select("h1", "h2", "n", class_id.alias("class_id"), F.col("least").alias("best")), "text-facts")
 
 
 def near_digest(docs: DataFrame) -> DataFrame:
-    """One row per document: its class and whether it stands for it. Texts are not exchanged for this."""
-    signed, facts = _classified(docs)
-    own = F.when(F.col("id") < LAST, F.col("id"))
-    return _named(signed.select("id", "h1", "h2").join(facts, ["h1", "h2"]), own, [own.alias("doc_id")])
+    """One row per document: its class and whether it stands for it, as near_duplicates has them. Texts are not exchanged for this."""
+    signed, facts = _classified(docs, F.monotonically_increasing_id())
+    out = join_spread(signed.select("id", "h1", "h2", "pick"), facts, ["h1", "h2"], ["class_id", "best"], signed.count(), F.col("pick"))
+    chosen = (F.col("id") == F.col("best.id")) & (F.col("pick") == F.col("best.pick"))
+    return out.select(F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "class_id", chosen.alias("kept"))

@@ -300,8 +300,67 @@ def test_near_duplicates(spark, docs, none, odd):
     assert got.columns == [*docs.columns, "class_id", "kept"]
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == brute_classes([r[:2] for r in ROWS])
     assert minhash_dedup.near_duplicates(none).count() == 0
-    assert sorted((r["doc_id"], r["class_id"]) for r in minhash_dedup.near_duplicates(odd.where("doc_id is not null")).select("doc_id", "class_id").collect()) == [(1, 1), (1, 1), (2, 1), (2, 2)]
-    assert minhash_dedup.near_duplicates(odd).count() == 5
+    found = minhash_dedup.near_duplicates(odd)
+    survive(found, "class_id", "kept")
+    got = sorted(((r["doc_id"], r["class_id"], r["kept"]) for r in found.collect()), key=str)
+    assert got == sorted([(1, 1, True), (1, 1, False), (2, 1, False), (2, 2, True), (None, None, True)], key=str)
+    rows = [(None, base) for base in (prose(1, 30), prose(1, 30), prose(2, 30))] + [(4, prose(3, 30)), (4, prose(4, 30)), (None, prose(4, 30)), (4, prose(4, 30))]
+    for query in (minhash_dedup.near_digest, minhash_dedup.near_duplicates):
+        got = Counter((r["doc_id"], r["class_id"], r["kept"]) for r in query(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert got == {(None, None, True): 2, (None, None, False): 1, (4, 4, True): 2, (4, 4, False): 1, (None, 4, False): 1}
+
+
+def test_hot_buckets(spark, monkeypatch):
+    """Buckets far over a block that span classes, with outliers in them, and a text in a third of all rows: the same classes, by every way of comparing."""
+    from scriptorium.llm import common, near_classes
+
+    monkeypatch.setattr(common, "HOT_ROWS", 4)
+    monkeypatch.setattr(near_classes, "SMALL", 3)
+    monkeypatch.setattr(near_classes, "BLOCK", 5)
+    monkeypatch.setattr(near_classes, "PAIRS_PER_TASK", 3)
+    r = random.Random(14)
+    base, rows = prose(77, 60).split(), []
+    for _ in range(90):
+        w = list(base)
+        for _ in range(r.randrange(0, 9)):
+            w[r.randrange(len(w))] = r.choice(VOCAB) + "z"
+        rows.append((len(rows), " ".join(w)))
+    rows += [(200 + i, " ".join(base)) for i in range(60)] + [(300 + i, prose(300 + i, 40)) for i in range(30)]
+    got = {x["doc_id"]: x["class_id"] for x in minhash_dedup.near_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_members_outside_the_largest_class_meet_all(spark, monkeypatch):
+    """One bucket holds all; pivots find nothing, so the blocks have to find every link across classes."""
+    from scriptorium.llm import near_classes
+
+    monkeypatch.setattr(near_classes, "SMALL", 0)
+    monkeypatch.setattr(near_classes, "BLOCK", 4)
+    r = random.Random(15)
+    texts = {i: float(r.randrange(40)) for i in range(60)}  # near: at most 1 apart
+    near = lambda a, b: abs(a - b) <= 1
+    reps = spark.createDataFrame([(i, [7], b"x", 1) for i in texts], "node long, bands array<long>, short binary, size int")
+    table = spark.createDataFrame([(i, str(v)) for i, v in texts.items()], "node long, text string")
+    measure = near_classes.Measure(
+        lambda one, two: np.zeros(len(one), bool),
+        lambda a, b: np.zeros(len(a), bool),
+        lambda t: [x.as_py().encode() for x in t],
+        lambda x, y: np.nonzero(np.abs(np.array([float(a) for a in x])[:, None] - np.array([float(b) for b in y])) <= 1),
+    )
+    got = {x["id"]: x["component"] for x in near_classes.classes(reps, lambda ids: table.join(ids, "node", "left_semi"), measure).collect()}
+    up = list(texts)
+
+    def root(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a in texts:
+        for b in range(a):
+            if near(texts[a], texts[b]):
+                p, q = root(a), root(b)
+                up[max(p, q)] = min(p, q)
+    assert {i: got.get(i, i) for i in texts} == {i: root(i) for i in texts} and len(set(map(root, texts))) > 1
 
 
 def test_signatures_are_unbiased():
@@ -317,10 +376,12 @@ def test_signatures_are_unbiased():
 
 
 def test_overlaps():
+    from scriptorium.llm import near_classes
+
     r = np.random.default_rng(5)
-    sets = [np.unique(r.integers(0, 60, r.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
-    got = minhash_dedup.overlaps(sets)
-    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(i + 1, 40))
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 50)).astype(np.uint64)) for _ in range(40)] + [np.zeros(0, np.uint64)]
+    got = near_classes.common_elements(sets[:9], sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(9) for j in range(41))
 
 
 # 5

@@ -16,7 +16,8 @@ class CuckooFilter:
 
     Buckets hold SLOTS 16-bit fingerprints (0: free). A key's second bucket is its first one xor a hash of its
     fingerprint. When kicks run out, the last fingerprint goes to an exact side list, which counts what it holds: a filter
-    filled beyond its capacity grows there and loses no key, also by deletion.
+    filled beyond its capacity loses no key, also by deletion. As fingerprints alone cannot be dealt anew, a filter
+    without room for more keys is to be built again from the keys, larger.
     """
 
     def __init__(self, capacity: int):
@@ -25,6 +26,10 @@ class CuckooFilter:
         self.table = np.zeros((1 << self.bits, SLOTS), np.uint16)
         self.overflow: Counter[tuple[int, int]] = Counter()
 
+    def room(self, keys: int) -> bool:
+        """Whether so many more keys fit without long searches for a free place."""
+        return not self.overflow and int(np.count_nonzero(self.table)) + keys <= 0.9 * self.table.size
+
     @staticmethod
     def _hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """keys: uint64 pairs, shape (n, 2); a hash for the bucket and a fingerprint."""

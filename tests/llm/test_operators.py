@@ -505,6 +505,7 @@ def test_lines(docs, none, odd):
         assert (r["n_lines"], r["n_dropped"]) == (len((r["text"] or "").split("\n")), len((r["text"] or "").split("\n")) - len(want[r["doc_id"]]))
     assert {r["doc_id"]: r["kept_sha256"] for r in line_dedup.line_digest(docs).collect()} == {i: sha("\n".join(x)) for i, x in want.items()}
     assert line_dedup.dedup_lines(none).count() == 0
+    survive(line_dedup.dedup_lines(odd), "n_lines", "n_dropped", "kept_text")
     assert sorted((r["doc_id"] is None, r["n_dropped"]) for r in line_dedup.dedup_lines(odd).collect()) == [(False, 0), (False, 0), (False, 0), (False, 1), (True, 0)]
 
 
@@ -517,7 +518,42 @@ def test_lines_are_reversible(docs):
     for state, table in ((grown, docs), (shrunk, half)):
         want = brute_lines([tuple(r) for r in table.select("doc_id", "text").collect()])
         assert {r["doc_id"]: r["kept_text"] for r in state.apply(table).collect()} == {i: "\n".join(x) for i, x in want.items()}
-    assert shrunk.delete(half.select("doc_id")).postings.count() == 0
+    assert line_dedup._all(shrunk.delete(half.select("doc_id")).postings).count() == 0
+
+
+def line_rows(seed, n):
+    """Lines from a small store, some in nearly every document, some cased or padded differently."""
+    r = random.Random(seed)
+    return [f"  {x.upper()}\t" if r.random() < 0.2 else x for x in (f"the line number {int(r.random() ** 3 * 60)}" for _ in range(n))]
+
+
+def test_many_insertions_and_deletions(spark, monkeypatch):
+    """Ten insertions in a row, through filters that run full and shards that become more, then deletions: each time as if made at once."""
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 6)
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 4)
+    rows = [(i, "\n".join([*line_rows(i, 5), f"only in document {i}"])) for i in range(44)]
+    table = lambda x: spark.createDataFrame(x, "doc_id long, text string")
+    state = line_dedup.LineState.of(table(rows[:4]), shards=1)
+    for at in range(4, 44, 4):
+        state = state.insert(table(rows[at : at + 4]))
+    assert state.shards > 1 and state.insert(table([])) is state
+
+    def same(state, some):
+        want = brute_lines(some)
+        assert {r["doc_id"]: r["kept_text"] for r in state.apply(table(some)).collect()} == {i: "\n".join(x) for i, x in want.items()}
+
+    same(state, rows)
+    state = state.delete(table(rows[::3]).select("doc_id"))
+    same(state, [r for k, r in enumerate(rows) if k % 3])
+    same(state.insert(table(rows[::3])), rows)
+
+
+def test_lines_without_ids(spark, monkeypatch):
+    """Rows without ids are one document, the last; each keeps or loses its own lines."""
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 2)
+    rows = [(None, f"a common long line\nonly in row {i} of these") for i in range(9)] + [(3, "a common long line"), (4, "A common long line \nx")]
+    got = Counter(r["kept_text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter([f"only in row {i} of these" for i in range(9)] + ["a common long line", "x"])
 
 
 def test_cuckoo():

@@ -191,7 +191,7 @@ def _classified(docs: DataFrame, pick) -> tuple[DataFrame, DataFrame]:
 
     def texts(nodes: DataFrame) -> DataFrame:
         """From the row of the smallest id; rows alike in id and text count once."""
-        wanted = reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi")
+        wanted = saved(reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi"), "wanted-texts")
         return docs.select(*_keys(), text).join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
 
     known = classes(reps.select("node", "bands", "short", "size").where(F.size("bands") > 0), texts, MEASURE)

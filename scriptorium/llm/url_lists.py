@@ -13,13 +13,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm.common import boxed, kept, own, unboxed
+
 EPOCH_DAYS = 64
-FOREVER = 100_000  # day number of an interval that is still open, in the SQL
 TOP_PARTS = 64  # a pattern of one label (half of all hosts may end in it) is split into so many parts
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#][^?#]*)"
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
+    """The host in lower case, without user, port and dots at its end; '' where there is none."""
+    return F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.+$", "")
 
 
 def prefix_of(url: Column) -> Column:
@@ -28,14 +32,14 @@ def prefix_of(url: Column) -> Column:
     return F.when(first == "", "").otherwise(F.concat(host_of(url), F.lit("/"), first))
 
 
-def domain_of(url: Column) -> Column:
-    """The last three labels of the host, the level at which this list registers names."""
-    return F.regexp_extract(host_of(url), r"([^.]+\.[^.]+\.[^.]+)$", 1)
+def tail_of(url: Column, labels: int) -> Column:
+    """The last so many labels of the host; '' where it has fewer."""
+    return F.regexp_extract(host_of(url), r"([^.]+" + r"\.[^.]+" * (labels - 1) + ")$", 1)
 
 
 def site_of(url: Column) -> Column:
     """The host, or host/path without query and fragment, where the path's first segment is not empty; null without either."""
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#][^?#]*)", 1)
+    path = F.regexp_extract(url, PATH, 1)
     return F.nullif(F.when(path == "", host_of(url)).otherwise(F.concat(host_of(url), F.lit("/"), path)), F.lit(""))
 
 
@@ -71,32 +75,34 @@ def intervals(events: DataFrame) -> DataFrame:
 def temporal_list_join(captures: DataFrame, events: DataFrame, url: str = "url", day: str = "fetch_day") -> DataFrame:
     """Adds list_level, list_pattern, list_category and listed_since to every capture: the most specific entry active on its day, or nulls.
 
-    Of several entries of that pattern, the latest one, then the last category. A null or malformed URL, or a null day,
-    matches nothing. Every row of captures is kept, repeated ones too. Intervals
-    are laid out over the epochs in which there are captures, so days may lie anywhere.
+    Patterns are matched as they are written: hosts in lower case, without user, port and dot at the end, which captures'
+    hosts lose. Of several entries of a pattern, the latest one, then the last category. A null or malformed URL, or a
+    null day, matches nothing. Every row of captures is kept, repeated ones too; input columns of the added names, in any
+    case, are replaced. Intervals are laid out over the epochs in which there are captures, so days may lie anywhere.
+    Without events, every capture has nulls; without captures there are no rows. Very long URLs cost their length, and a
+    host or path of many parts a look-up for each.
     """
-    names = ("list_level", "list_pattern", "list_category", "listed_since")
-    keep = [c for c in captures.columns if c not in names]
-    epoch = F.expr(f"`{day}` div {EPOCH_DAYS}")
-    occur = captures.agg(F.collect_set(epoch).alias("epochs"))
+    keep = kept(captures, "list_level", "list_pattern", "list_category", "listed_since")
+    epoch = F.expr(f"on div {EPOCH_DAYS}")
+    seen = captures.select(boxed(keep), site_of(own(url)).alias("site"), host_of(own(url)).alias("host"), own(day).alias("on"))
+    occur = seen.agg(F.collect_set(epoch).alias("epochs"))
     within = lambda e: (e >= F.expr(f"valid_from div {EPOCH_DAYS}")) & (F.col("valid_to").isNull() | (e <= F.expr(f"(valid_to - 1) div {EPOCH_DAYS}")))
     spans = intervals(events).crossJoin(F.broadcast(occur)).select("pattern", "category", "valid_from", "valid_to", F.explode(F.filter("epochs", within)).alias("epoch"))
-    parts = F.when(F.contains("pattern", F.lit(".")) | F.contains("pattern", F.lit("/")), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(TOP_PARTS - 1)))
-    spans = spans.withColumn("part", F.explode(parts))
+    wide = ~F.contains("pattern", F.lit(".")) & ~F.contains("pattern", F.lit("/"))
+    spans = spans.withColumn("part", F.explode(F.when(wide, F.sequence(F.lit(0), F.lit(TOP_PARTS - 1))).otherwise(F.array(F.lit(0)))))
 
-    def judged(name: str, of: Column, keys) -> DataFrame:
-        """(name, day, hit) of every distinct value and day that an entry under one of its keys was active on: the longest key, then the latest entry."""
-        looks = captures.select(of.alias(name), F.col(day).alias("__on"), epoch.alias("epoch")).where(F.col(name).isNotNull() & (F.col(name) != "") & F.col("__on").isNotNull()).distinct()
-        looks = looks.select(name, "__on", "epoch", F.explode(keys(F.col(name))).alias("pattern"))
-        part = F.when(F.contains("pattern", F.lit(".")) | F.contains("pattern", F.lit("/")), 0).otherwise(F.pmod(F.hash(name, "__on"), F.lit(TOP_PARTS)))
-        met = looks.withColumn("part", part).join(spans, ["pattern", "epoch", "part"]).where((F.col("__on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("__on") < F.col("valid_to"))))
-        return met.groupBy(name, "__on").agg(F.max(F.struct(F.length("pattern").alias("n"), "valid_from", "category", "pattern")).alias(f"{name}_hit"))
+    def judged(name: str, keys) -> DataFrame:
+        """(name, on, hit) of every distinct value and day that an entry under one of its keys was active on: the longest key, then the latest entry."""
+        looks = seen.select(name, "on", epoch.alias("epoch")).where((F.coalesce(name, F.lit("")) != "") & F.col("on").isNotNull()).distinct()
+        looks = looks.select(name, "on", "epoch", F.explode(keys(F.col(name))).alias("pattern"))
+        looks = looks.withColumn("part", F.when(wide, F.pmod(F.hash(name, "on"), F.lit(TOP_PARTS))).otherwise(0))
+        met = looks.join(spans, ["pattern", "epoch", "part"]).where((F.col("on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("on") < F.col("valid_to"))))
+        return met.groupBy(name, "on").agg(F.max(F.struct(F.length("pattern").alias("n"), "valid_from", "category", "pattern")).alias(f"{name}_hit"))
 
-    out = captures.select(*keep, site_of(F.col(url)).alias("__site"), host_of(F.col(url)).alias("__host"), F.col(day).alias("__on"))
-    out = out.join(judged("__site", site_of(F.col(url)), prefixes), ["__site", "__on"], "left").join(judged("__host", host_of(F.col(url)), suffixes), ["__host", "__on"], "left")
-    hit = F.coalesce("__site_hit", "__host_hit")
-    level = F.when(F.col("__site_hit").isNotNull(), "prefix").when(hit["pattern"] == F.col("__host"), "host").when(hit.isNotNull(), "domain")
-    return out.select(*keep, level.alias("list_level"), hit["pattern"].alias("list_pattern"), hit["category"].alias("list_category"), hit["valid_from"].alias("listed_since"))
+    out = seen.join(judged("site", prefixes), ["site", "on"], "left").join(judged("host", suffixes), ["host", "on"], "left")
+    hit = F.coalesce("site_hit", "host_hit")
+    level = F.when(F.col("site_hit").isNotNull(), "prefix").when(hit["pattern"] == F.col("host"), "host").when(hit.isNotNull(), "domain")
+    return out.select(*unboxed(keep), level.alias("list_level"), hit["pattern"].alias("list_pattern"), hit["category"].alias("list_category"), hit["valid_from"].alias("listed_since"))
 
 
 def fetch_day(page_id: Column) -> Column:
@@ -105,51 +111,60 @@ def fetch_day(page_id: Column) -> Column:
 
 
 def list_events(pages: DataFrame) -> DataFrame:
-    """The dated list against which the pages are judged: three histories, drawn up from the hosts and paths that occur.
+    """The dated lists against which the pages are judged, drawn up from the hosts and paths that occur; each has histories of its own.
 
-    Every domain is listed as 'ads' on a day set by its smallest page id and taken off 400 days later; every host whose
-    smallest page id is even is listed as 'spam', delisted after 90 days and listed again as 'malware' 200 days after
-    that; every prefix whose smallest page id divides by 3 is listed as 'adult' for 300 days. The query's SQL takes the
-    three for one list, so a host that is also a domain has one entry at a time, and these events name no `list`.
+    List `ads`: every name of three labels, from a day set by its smallest page id for 400 days. List `threats`: every
+    host whose smallest page id is even, as 'spam' for 90 days and as 'malware' from 290 days after that on. List
+    `adult`: every first path segment whose smallest page id divides by 3, for 300 days. List `parked`: names of two
+    labels and of four labels whose smallest page id divides by 4, for 30 days, and again 200 days later.
     """
-    first = lambda of: pages.select(of(F.col("url")).alias("pattern"), "page_id").where("pattern != ''").groupBy("pattern").agg(F.min("page_id").alias("k"))
-    event = lambda day, action, category: F.struct((day).cast("int").alias("day"), F.lit(action).alias("action"), F.lit(category).alias("category"))
+    first = lambda of: pages.select(of.alias("pattern"), "page_id").where("pattern != ''").groupBy("pattern").agg(F.min("page_id").alias("k"))
+    event = lambda day, action, category: F.struct(day.cast("int").alias("day"), F.lit(action).alias("action"), F.lit(category).alias("category"))
     base = lambda m: F.pmod(F.col("k") * m, F.lit(1000))
-    history = lambda df, *events: df.select("pattern", F.inline(F.array(*events)))
-    domains = history(first(domain_of), event(base(31), "add", "ads"), event(base(31) + 400, "remove", "ads"))
-    hosts = history(first(host_of).where("k % 2 = 0"), event(base(57), "add", "spam"), event(base(57) + 90, "remove", "spam"), event(base(57) + 290, "add", "malware"))
-    prefixes = history(first(prefix_of).where("k % 3 = 0"), event(base(83), "add", "adult"), event(base(83) + 300, "remove", "adult"))
-    return domains.unionByName(hosts).unionByName(prefixes)
+    history = lambda name, df, *events: df.select(F.lit(name).alias("list"), "pattern", F.inline(F.array(*events)))
+    url = F.col("url")
+    ads = history("ads", first(tail_of(url, 3)), event(base(31), "add", "ads"), event(base(31) + 400, "remove", "ads"))
+    threats = history("threats", first(host_of(url)).where("k % 2 = 0"), event(base(57), "add", "spam"), event(base(57) + 90, "remove", "spam"), event(base(57) + 290, "add", "malware"))
+    adult = history("adult", first(prefix_of(url)).where("k % 3 = 0"), event(base(83), "add", "adult"), event(base(83) + 300, "remove", "adult"))
+    names = first(tail_of(url, 2)).unionByName(first(tail_of(url, 4))).where("k % 4 = 0")
+    parked = history("parked", names, *[event(base(17) + d, a, "parked") for d, a in ((0, "add"), (30, "remove"), (200, "add"), (230, "remove"))])
+    return ads.unionByName(threats).unionByName(adult).unionByName(parked)
 
 
 def url_lists_report(pages: DataFrame) -> DataFrame:
-    """Each page with the list entry active on its fetch day."""
+    """Each page with the list entry active on its fetch day. Null ids and URLs match nothing; repeated rows stay; an empty table gives no rows."""
     captures = pages.select("page_id", "url", fetch_day(F.col("page_id")).alias("fetch_day"))
     out = temporal_list_join(captures, list_events(pages))
     return out.withColumn("blocked", F.col("list_level").isNotNull())
 
 
-HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1))"
 SQL = rf"""
 WITH p AS (
-  SELECT page_id, url, {HOST} AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS seg,
+  SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '{HOST}', 1)), '\.+$', '') AS host, regexp_extract(url, '{PATH}', 1) AS path,
          CAST(((page_id * 7919) % 1461 + 1461) % 1461 AS INTEGER) AS fetch_day FROM pages),
-q AS (SELECT page_id, url, fetch_day, host, CASE WHEN seg = '' THEN '' ELSE host || '/' || seg END AS prefix, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain FROM p),
-d AS (SELECT domain AS pattern, min(page_id) AS k FROM q WHERE domain <> '' GROUP BY 1),
-h AS (SELECT host AS pattern, min(page_id) AS k FROM q WHERE host <> '' GROUP BY 1 HAVING min(page_id) % 2 = 0),
-x AS (SELECT prefix AS pattern, min(page_id) AS k FROM q WHERE prefix <> '' GROUP BY 1 HAVING min(page_id) % 3 = 0),
-e AS (
-  SELECT pattern, (k * 31) % 1000 AS day, 'add' AS action, 'ads' AS category FROM d UNION ALL SELECT pattern, (k * 31) % 1000 + 400, 'remove', 'ads' FROM d
-  UNION ALL SELECT pattern, (k * 57) % 1000, 'add', 'spam' FROM h UNION ALL SELECT pattern, (k * 57) % 1000 + 90, 'remove', 'spam' FROM h UNION ALL SELECT pattern, (k * 57) % 1000 + 290, 'add', 'malware' FROM h
-  UNION ALL SELECT pattern, (k * 83) % 1000, 'add', 'adult' FROM x UNION ALL SELECT pattern, (k * 83) % 1000 + 300, 'remove', 'adult' FROM x),
-daily AS (SELECT pattern, day, max({{'action': action, 'category': category}}) AS e FROM e GROUP BY 1, 2),
-spans AS (SELECT pattern, e.action AS action, e.category AS category, day AS valid_from, coalesce(lead(day) OVER (PARTITION BY pattern ORDER BY day), {FOREVER}) AS valid_to FROM daily),
-live AS (SELECT * FROM spans WHERE action = 'add')
-SELECT q.page_id, q.url, q.fetch_day,
-  CASE WHEN a.pattern IS NOT NULL THEN 'prefix' WHEN b.pattern IS NOT NULL THEN 'host' WHEN c.pattern IS NOT NULL THEN 'domain' END AS list_level,
-  coalesce(a.pattern, b.pattern, c.pattern) AS list_pattern, CASE WHEN a.pattern IS NOT NULL THEN a.category WHEN b.pattern IS NOT NULL THEN b.category ELSE c.category END AS list_category,
-  CAST(coalesce(a.valid_from, b.valid_from, c.valid_from) AS INTEGER) AS listed_since, coalesce(a.pattern, b.pattern, c.pattern) IS NOT NULL AS blocked
-FROM q LEFT JOIN live a ON q.prefix = a.pattern AND q.fetch_day >= a.valid_from AND q.fetch_day < a.valid_to
-LEFT JOIN live b ON q.host = b.pattern AND q.fetch_day >= b.valid_from AND q.fetch_day < b.valid_to
-LEFT JOIN live c ON q.domain = c.pattern AND q.fetch_day >= c.valid_from AND q.fetch_day < c.valid_to
+n AS (
+  SELECT 'ads' AS list, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS pattern, page_id FROM p
+  UNION ALL SELECT 'threats', host, page_id FROM p
+  UNION ALL SELECT 'adult', CASE WHEN path = '' THEN '' ELSE host || '/' || string_split(path, '/')[1] END, page_id FROM p
+  UNION ALL SELECT 'parked', regexp_extract(host, '([^.]+\.[^.]+)$', 1), page_id FROM p
+  UNION ALL SELECT 'parked', regexp_extract(host, '([^.]+\.[^.]+\.[^.]+\.[^.]+)$', 1), page_id FROM p),
+k AS (SELECT list, pattern, min(page_id) AS k FROM n WHERE pattern <> '' GROUP BY 1, 2),
+h(list, every, factor, after, action, category) AS (VALUES
+  ('ads', 1, 31, 0, 'add', 'ads'), ('ads', 1, 31, 400, 'remove', 'ads'),
+  ('threats', 2, 57, 0, 'add', 'spam'), ('threats', 2, 57, 90, 'remove', 'spam'), ('threats', 2, 57, 290, 'add', 'malware'),
+  ('adult', 3, 83, 0, 'add', 'adult'), ('adult', 3, 83, 300, 'remove', 'adult'),
+  ('parked', 4, 17, 0, 'add', 'parked'), ('parked', 4, 17, 30, 'remove', 'parked'), ('parked', 4, 17, 200, 'add', 'parked'), ('parked', 4, 17, 230, 'remove', 'parked')),
+e AS (SELECT list, category, pattern, (k * factor) % 1000 + after AS day, max(action) AS action FROM k JOIN h USING (list) WHERE k % every = 0 GROUP BY ALL),
+spans AS (SELECT *, lead(day) OVER (PARTITION BY list, category, pattern ORDER BY day) AS until FROM e),
+live AS (SELECT * FROM spans WHERE action = 'add'),
+q AS (
+  SELECT page_id, fetch_day, 0 AS kind, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS pattern FROM p WHERE host <> ''
+  UNION ALL
+  SELECT page_id, fetch_day, 1, host || '/' || unnest(list_transform(range(1, len(string_split(path, '/')) + 1), lambda i: array_to_string(string_split(path, '/')[1:i], '/'))) FROM p WHERE host <> '' AND path <> ''),
+m AS (
+  SELECT page_id, max({{'kind': kind, 'n': length(pattern), 'day': day, 'category': category, 'pattern': pattern}}) AS hit
+  FROM q JOIN live USING (pattern) WHERE fetch_day >= day AND (until IS NULL OR fetch_day < until) GROUP BY 1)
+SELECT p.page_id, url, fetch_day, CASE WHEN hit.kind = 1 THEN 'prefix' WHEN hit.pattern = host THEN 'host' WHEN hit IS NOT NULL THEN 'domain' END AS list_level,
+  hit.pattern AS list_pattern, hit.category AS list_category, CAST(hit.day AS INTEGER) AS listed_since, hit IS NOT NULL AS blocked
+FROM p LEFT JOIN m USING (page_id)
 """

@@ -51,11 +51,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_saved(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the tables that this driver has saved, from number `since` of them on; for the end of a job, when no result is still to be read from them."""
-    while len(_MADE) > since:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+def saved_so_far() -> int:
+    """How many of the tables that this driver has saved still exist."""
+    return len(_MADE)
+
+
+def remove_saved(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Deletes the tables that this driver has saved, from number `since` of them on but for the last `keep`; for the end of a job, when no result is still to be read from them."""
+    last = len(_MADE) - keep
+    for name in _MADE[since:last]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    del _MADE[since:last]
 
 
 def kept(df: DataFrame, *new: str) -> list[str]:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, lean
+from scriptorium.llm.common import Words, boxed, kept, lean, own, returned, unboxed
 
 TRAIN_ROWS = 20_000
 BINS, PAIR_BINS, CYCLES, PAIRS, PAIR_CYCLES, RATE, LEAST_LEAF = 32, 8, 120, 10, 60, 0.15, 2
@@ -222,8 +222,8 @@ def train(x: np.ndarray, y: np.ndarray) -> Model:
 
 
 def held_out():
-    """Rows whose labels are never learned from."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    """Rows whose labels are never learned from. A row without an id has no label to learn, and is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,25 +241,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train_rows: int) -> tupl
 
 
 def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, keep: list[str] | None = None) -> DataFrame:
-    """The columns of docs (or those in keep) with score (double, 0 to 1) and predicted (int), for every row; input columns of these names are replaced.
+    """The columns of docs (or those in keep) with score (double, 0 to 1) and predicted (int), for every row; input columns of these names, in any case, are replaced.
 
     labels(doc_id, quality): null ids or labels teach nothing, and of several labels of one document the smallest
-    counts. Null and empty texts are scored like any other. Documents without labels at all: the score is 0.5.
-    A row's score depends on its text alone; nothing is exchanged but the sample.
+    counts. Null and empty texts are scored like any other, very long ones as a whole; repeated rows get equal scores.
+    Documents without labels at all: the score is 0.5. An empty table gives no rows. A row's score depends on its text
+    alone; nothing is exchanged but the sample.
     """
-    keep = [c for c in keep or docs.columns if c not in ("score", "predicted")]
+    keep = [c for c in keep or docs.columns if c in kept(docs, "score", "predicted")]
+    at = keep.index("text") if "text" in keep else None
+    rows = docs.select(boxed(keep), *([own("text").alias("text")] if at is None else []))
     model = docs.sparkSession.sparkContext.broadcast(train(*labelled_sample(docs, labels, train_rows)))  # lookup tables of a fixed size
-    n, names = len(keep), [*keep, "score", "predicted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = model.value.score(features(b.column(n)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names)
+            score = model.value.score(features(b.column(1) if at is None else b.column(0).field(at)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["row__", "score", "predicted"])
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(lean(run), f"{schema}, score double, predicted int")
+    out = rows.mapInArrow(lean(run), returned(rows.select("row__"), "score double", "predicted int"))
+    return out.select(*unboxed(keep), "score", "predicted")
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A row for each document with its score, as classify has it."""
     out = classify(docs, labels, keep=["doc_id"])
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")

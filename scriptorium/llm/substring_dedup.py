@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, gram_hashes, lean, saved
+from scriptorium.llm.common import Words, boxed, gram_hashes, kept, lean, returned, saved, unboxed
 
 WINDOW, GRAM = 20, 4
 LAST = 2**63 - 1  # stands for a null id
@@ -149,30 +149,33 @@ def _with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Adds n_words, n_removed and kept_text (words joined by one space) to every row; input columns of these names are replaced.
+    """Adds n_words, n_removed and kept_text (words joined by one space) to every row; input columns of these names, in any case, are replaced.
 
     A word goes if a window over it also starts in a smaller doc_id, or earlier in its own document. A null or empty
     text has no words. A null id comes after all others. Rows alike in id and text are the same document, whose words
-    stay in each; very long texts cost their length.
+    stay in each; very long texts cost their length; an empty table gives no rows.
     """
-    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    rows = docs.select(F.struct(*keep).alias("row__"), "doc_id", "text")
-    both = _with_marks(keyed(rows, "row__"), marked(keyed(docs)))
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in keep}
-    return _cut(both.select(*[F.col("row__")[c].alias(c) for c in keep], F.col("spans").alias("__spans"), F.col("copy").alias("__copy"), F.col("text").alias("__text")), kinds)
+    keep = kept(docs, "n_words", "n_removed", "kept_text")
+    rows = docs.select(boxed(keep), "doc_id", "text")
+    both = _with_marks(keyed(rows, "row__"), marked(keyed(docs))).select("row__", "spans", "copy", "text")
+    return _cut(both).select(*unboxed(keep), "n_words", "n_removed", "kept_text")
 
 
-def _cut(both: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """both: the columns of kinds, then spans, copy and the text."""
-    keep = list(kinds)
-    n = len(keep)
+def _with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Joins on k alone, so that rows keep the partitioning they were exchanged by before."""
+    return rows.join(marks.hint("shuffle_hash"), (rows["k"] == marks["mk"]) & (rows["id"] <= marks["mid"]) & (rows["id"] >= marks["mid"]), "left")
+
+
+def _cut(both: DataFrame) -> DataFrame:
+    """both: a column to be kept, then spans, copy and the text."""
+    name = both.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = Words(b.column(n + 2))
+            words = Words(b.column(3))
             distinct = words.distinct.to_pylist()
-            gone, kept = [], []
-            for i, (spans, copy) in enumerate(zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True)):
+            gone, texts = [], []
+            for i, (spans, copy) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 codes = words.codes[words.starts[i] : words.starts[i + 1]]
                 size = len(codes)
                 if copy and size >= WINDOW:
@@ -184,19 +187,17 @@ def _cut(both: DataFrame, kinds: dict[str, str]) -> DataFrame:
                         edge[s["to"]] -= 1
                     codes = codes[np.cumsum(edge[:-1]) == 0]
                 gone.append(size - len(codes))
-                kept.append(" ".join([distinct[c] for c in codes.tolist()]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], [*keep, "n_words", "n_removed", "kept_text"])
+                texts.append(" ".join([distinct[c] for c in codes.tolist()]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())], [name, "n_words", "n_removed", "kept_text"])
 
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
-    return both.mapInArrow(lean(run), schema + ", n_words long, n_removed long, kept_text string")
+    return both.mapInArrow(lean(run), returned(both.select(name), "n_words long", "n_removed long", "kept_text string"))
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:
-    """The digest of remove_repeats. Texts are exchanged once, for both joins by document."""
+    """The digest of remove_repeats, whose cases hold. Texts are exchanged once, for both joins by document."""
     texts = keyed(docs)
     both = _with_marks(texts, marked(texts)).select(F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "spans", "copy", "text")
-    out = _cut(both, {"doc_id": "long"})
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    return _cut(both).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 SQL = r"""

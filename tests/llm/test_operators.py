@@ -111,6 +111,11 @@ def test_url_lists(spark):
     events = [(r.choice([*hosts, *(f"{h}/en" for h in hosts)]), r.randrange(400), r.choice(["add", "remove"]), r.choice("xy")) for _ in range(200)] + [(None, 1, "add", "x"), ("h0.example.org", None, "add", "x")]
     got = url_lists.temporal_list_join(spark.createDataFrame(captures, "i int, url string, fetch_day int"), spark.createDataFrame(events, "pattern string, day int, action string, category string"))
     assert sorted([(x["i"], x["list_pattern"], x["list_category"], x["listed_since"]) for x in got.collect()], key=str) == sorted(brute_list(captures, events), key=str)
+    named = spark.createDataFrame(captures, "i int, url string, fetch_day int")
+    for c in CLASHING + ("site", "host", "on", "epoch", "pattern"):
+        named = named.withColumn(c, F.lit("mine"))
+    survive(url_lists.temporal_list_join(named, spark.createDataFrame(events, EVENT)))
+    assert url_lists.temporal_list_join(named.limit(0), spark.createDataFrame(events, EVENT)).count() == 0
     empty = spark.createDataFrame([], "pattern string, day int, action string, category string")
     assert url_lists.temporal_list_join(spark.createDataFrame(captures, "i int, url string, fetch_day int"), empty).where("list_level is not null").count() == 0
 
@@ -126,6 +131,13 @@ def test_url_lists_on_any_day(spark):
     assert sorted((x["i"], x["list_pattern"], x["list_category"], x["listed_since"]) for x in got.collect()) == brute_list(captures, events)
 
 
+def test_hosts(spark):
+    """Users, ports, dots at the end and capitals are no part of a host; addresses in brackets are one."""
+    cases = {"https://u:p@a.b.com/": "a.b.com", "HTTP://A.B.com.:80?x@y": "a.b.com", "http://[::1]:80/x": "[::1]", "http://a.com/u@v.org/": "a.com", "nonsense": "", "http:///x": ""}
+    rows = spark.createDataFrame([(u,) for u in cases], "url string")
+    assert {r["url"]: r["h"] for r in rows.select("url", url_lists.host_of(F.col("url")).alias("h")).collect()} == cases
+
+
 def test_url_lists_of_any_length(spark):
     """Patterns of one to five labels and of several segments, nested; the longest one active holds."""
     hosts = ["a.b.c.example.com", "b.c.example.com", "example.com", "xexample.com", "www.example.com", "deep.a.b.c.example.com", "other.net", "com"]
@@ -241,6 +253,8 @@ def test_quality(spark, docs, none, odd):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
     assert quality.classify(docs, labels).count() == len(ROWS) and quality.classify(none, labels).count() == 0
     assert quality.classify(odd, labels.limit(0)).select("score").distinct().collect()[0][0] == 0.5
+    survive(quality.classify(odd, labels), "score", "predicted")
+    assert {r["held_out"] for r in quality.quality_digest(odd, labels).where("doc_id is null").collect()} == {False}
     small = {r["doc_id"]: r["score"] for r in quality.classify(table.where("doc_id < 3"), labels, train_rows=400).collect()}
     assert len(small) == 3
 
@@ -746,6 +760,7 @@ def test_windows(spark, docs, none, odd):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.remove_repeats(docs).collect()} == want
     assert {r["doc_id"]: r["kept_sha256"] for r in substring_dedup.substring_digest(docs).collect()} == {i: sha(t) for i, (_, _, t) in want.items()}
     assert substring_dedup.remove_repeats(none).count() == 0
+    survive(substring_dedup.remove_repeats(odd), "n_words", "n_removed", "kept_text")
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_removed"]) for r in substring_dedup.remove_repeats(odd).collect()) == [(False, 1, 0), (False, 1, 0), (False, 2, 0), (False, 2, 30), (True, 0, 0)]
     r = random.Random(12)
     parts = [prose(100 + i, 24) for i in range(12)]

@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
-from test_operators import KINDS, brute_classes, brute_lines, check_packing, prose, words  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from test_operators import CLASHING, KINDS, brute_classes, brute_lines, check_packing, prose, words  # noqa: E402
 
 from scriptorium.llm.quality import classify  # noqa: E402
 
@@ -29,6 +30,23 @@ def test_columns_stay(spark, docs):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
 
 
+def test_other_columns_survive(spark, docs):
+    """Columns named like what operators add or use come out of every stage as they went in, and repeated rows are handled."""
+    odd = docs.limit(40).union(docs.limit(3))
+    for c in CLASHING:
+        odd = odd.withColumn(c, F.concat(F.lit("mine "), F.coalesce(F.col("`doc_id`").cast("string"), F.lit("?"))))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, FOLDER)
+        assert out.columns == odd.columns
+        rows = out.collect()
+        assert rows or name == "quality"
+        for r in rows:
+            assert all(r[c] == f"mine {r['doc_id']}" for c in CLASHING), name
+        if name == "near_dedup":
+            assert len({r["doc_id"] for r in rows}) == len(rows)
+    assert corpus_pipeline.packing(spark, odd, FOLDER).count() == 43
+
+
 def test_lines(spark, docs):
     want = brute_lines([tuple(r) for r in docs.select("doc_id", "text").collect()])
     rows = corpus_pipeline.line_dedup(spark, docs, FOLDER).collect()
@@ -90,7 +108,11 @@ def test_packing(spark, docs):
 
 
 def test_run(spark):
+    from scriptorium.llm.common import saved_so_far
+
+    before = saved_so_far()
     rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert saved_so_far() == before + 1  # the result's own table
     assert rows and check_packing(rows)
     bad = {r["doc_id"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect() if re.search(r"(###|%%%|&&&)", r["text"] or "")}
     assert len(bad & {r["doc_id"] for r in rows}) < len(bad) / 2  # from 68 labels; larger tables catch nearly all

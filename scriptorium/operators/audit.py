@@ -15,7 +15,7 @@ def exact_duplicates(pages: DataFrame, body: str = "body", key: str = "path") ->
 def uncovered(manifests: DataFrame, pages: DataFrame) -> DataFrame:
     """Manifests without any page."""
     have = pages.select("collection", "version").distinct()
-    return manifests.join(F.broadcast(have), ["collection", "version"], "left_anti")  # a row for each version of a product
+    return manifests.join(have, ["collection", "version"], "left_anti")
 
 
 def violations(pages: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def sections(body: str) -> list[tuple[list[str], int, str]]:
 def chunk_pages(pages: DataFrame) -> DataFrame:
     """Rows of the chunk schema. An empty page is one chunk that holds its title; ids are path#ordinal."""
     names = [n for n, _ in columns(CHUNKS)]
-    facts = ["collection", "version", "relpath", "title", "source_url", "body_md5"]
+    facts = ["collection", "version", "relpath", "title", "source_url", "body_md5", "fetched_at"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -54,4 +54,6 @@ def chunk_pages(pages: DataFrame) -> DataFrame:
                     rows.append(page | {"chunk_id": f"{page['collection']}/{page['version']}/{page['relpath']}#{i}", "heading_path": path, "level": level, "ordinal": i, "text": text, "n_terms": 0})
             yield pd.DataFrame(rows, columns=names)
 
+    if "fetched_at" not in pages.columns:
+        pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp"))
     return pages.select(*facts, "body").mapInPandas(run, CHUNKS).withColumn("n_terms", F.size(terms(F.col("text"))))

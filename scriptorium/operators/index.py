@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.terms import terms
 from scriptorium.operators.chunks import chunk_pages
+from scriptorium.schema import CHUNKS
 
 PAGE = ["collection", "version", "relpath"]
+PARTS = 64
 
 
 def postings(chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id, collection, version, tf); counts combine before they are exchanged."""
-    each = chunks.select(F.explode(terms(F.col("text"))).alias("term"), "chunk_id", "collection", "version")
-    return each.groupBy("term", "chunk_id", "collection", "version").agg(F.count("*").cast("int").alias("tf"))
+    """(term, chunk_id, collection, version, tf); a chunk is one row, so its terms are counted where it is, from runs of its sorted terms."""
+    ids = ["chunk_id", "collection", "version"]
+    rows = chunks.select(*ids, F.array_sort(terms(F.col("text"))).alias("t")).where(F.size("t") > 0)
+    new = lambda i: F.coalesce(F.get("t", i) != F.get("t", i - 1), F.lit(True))
+    rows = rows.withColumn("starts", F.filter(F.sequence(F.lit(0), F.size("t") - 1), new))
+    runs = F.transform("starts", lambda s, k: F.struct(F.get("t", s).alias("term"), (F.coalesce(F.get("starts", k + 1), F.size("t")) - s).cast("int").alias("tf")))
+    return rows.select(*ids, F.inline(runs)).select("term", *ids, "tf")
 
 
 def corpus_stats(chunks: DataFrame) -> DataFrame:
@@ -26,9 +32,13 @@ def document_frequency(posts: DataFrame) -> DataFrame:
     return posts.groupBy("collection", "version", "term").agg(F.count("*").alias("df"))
 
 
+SERVED = ["title", "source_url", "fetched_at", "body_md5"]
+
+
 def delta(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(collection, version, relpath, change) of two page tables by body hash: added, removed or changed pages."""
-    a, b = (d.select(*PAGE, F.col("body_md5").alias(k)) for d, k in ((old, "was"), (new, "now")))
+    """(collection, version, relpath, change) of two page tables: added, removed or changed pages; a change is one of any field that is served."""
+    served = F.md5(F.to_json(F.struct(*SERVED), {"ignoreNullFields": "false"}))
+    a, b = (d.select(*PAGE, served.alias(k)) for d, k in ((old, "was"), (new, "now")))
     both = a.join(b, PAGE, "full_outer")
     change = F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed").when(F.col("was") != F.col("now"), "changed")
     return both.select(*PAGE, change.alias("change")).where("change is not null")
@@ -36,14 +46,14 @@ def delta(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def build(pages: DataFrame, folder: str) -> None:
     """Writes chunks and postings, partitioned by collection and version, so a search reads its version only."""
-    chunks = chunk_pages(pages)
-    write(chunks, f"{folder}/chunks")
-    write(postings(pages.sparkSession.read.parquet(f"{folder}/chunks").withColumn("version", F.col("version").cast("string"))), f"{folder}/postings")
+    write(chunk_pages(pages), f"{folder}/chunks")
+    write(postings(pages.sparkSession.read.schema(CHUNKS).parquet(f"{folder}/chunks")), f"{folder}/postings")
 
 
 def write(df: DataFrame, path: str) -> None:
-    df.sparkSession.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    df.repartition("collection", "version").write.mode("overwrite").partitionBy("collection", "version").parquet(path)
+    """Replaces the versions that df holds. A version is written by up to PARTS tasks, few where it is small."""
+    parts = df.repartition("collection", "version", F.pmod(F.xxhash64("chunk_id"), F.lit(PARTS)))
+    parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collection", "version").parquet(path)
 
 
 def refresh(pages: DataFrame, folder: str) -> DataFrame:
@@ -52,16 +62,14 @@ def refresh(pages: DataFrame, folder: str) -> DataFrame:
     Both tables of a version are replaced as a whole, so a refresh that is cut off is completed by running it again.
     """
     spark = pages.sparkSession
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     chunks_path, marks = f"{folder}/chunks", f"{folder}/postings"
-    old = spark.read.parquet(chunks_path).select(*PAGE, "body_md5").distinct()
+    old = spark.read.schema(CHUNKS).parquet(chunks_path).select(*PAGE, *SERVED).distinct()
     delta(old, pages).write.mode("overwrite").parquet(f"{folder}/changes")  # the record of this refresh; also keeps it fixed while its sources are rewritten
     change = spark.read.parquet(f"{folder}/changes")
     versions = change.select("collection", "version").distinct()
-    chunks = chunk_pages(pages.join(F.broadcast(versions), ["collection", "version"], "left_semi"))  # one row for each version of a product
+    chunks = chunk_pages(pages.join(versions, ["collection", "version"], "left_semi"))
     for path, df in ((marks, postings(chunks)), (chunks_path, chunks)):  # chunks last: they are what the next difference looks at
-        df.repartition("collection", "version").write.mode("overwrite").partitionBy("collection", "version").parquet(path)
+        write(df, path)
     gone = versions.join(pages.select("collection", "version").distinct(), ["collection", "version"], "left_anti").collect()
     for r in gone:  # versions without pages any more
         for name in ("chunks", "postings"):

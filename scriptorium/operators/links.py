@@ -81,7 +81,8 @@ def routes(pages: DataFrame) -> DataFrame:
 def collisions(pages: DataFrame, route: str = "canonical_route") -> DataFrame:
     """Adds `canonical_collision`: whether another page of the same collection and version has the route."""
     same = F.count("*").over(Window.partitionBy("collection", "version", route))
-    return pages.withColumn("canonical_collision", F.when(F.col(route).isNotNull(), same > 1).otherwise(False))
+    routed = pages.where(F.col(route).isNotNull()).withColumn("canonical_collision", same > 1)
+    return routed.unionByName(pages.where(F.col(route).isNull()).withColumn("canonical_collision", F.lit(False)))
 
 
 def cross_corpus(links: DataFrame, pages: DataFrame) -> DataFrame:
@@ -92,6 +93,28 @@ def cross_corpus(links: DataFrame, pages: DataFrame) -> DataFrame:
     return site.join(own, ["collection", "version", "route"], "left_anti").join(owned, "route").where("owner <> collection")
 
 
+def mark_cross_corpus(pages: DataFrame) -> DataFrame:
+    """Bodies with a comment after each site link that only another collection answers; of several, the first by name."""
+    found = cross_corpus(markdown_links(pages), pages).groupBy(*PAGE_KEY, "ordinal").agg(F.min(F.concat_ws("/", "owner", "owner_version")).alias("owner"))
+    plan = found.groupBy(*PAGE_KEY).agg(F.map_from_entries(F.collect_list(F.struct("ordinal", "owner"))).alias("plan"))  # no more entries than the page has links
+
+    @F.pandas_udf("string")
+    def marked(body: pd.Series, plan_: pd.Series) -> pd.Series:
+        out = []
+        for text, owners in zip(body, plan_, strict=True):
+            owners = dict(owners) if owners is not None else {}
+            turn = iter(range(10**9))
+
+            def put(m: re.Match, owners=owners, turn=turn) -> str:
+                owner = owners.get(next(turn))
+                return m[0] + (f" <!-- cross-corpus-link: owner={owner} -->" if owner else "")
+
+            out.append(LINK.sub(put, text or "") if owners else text)
+        return pd.Series(out)
+
+    return pages.join(plan, PAGE_KEY, "left").withColumn("body", marked("body", "plan")).select(*pages.columns)
+
+
 IMAGE = re.compile(r"(!\[[^\]]*\]\(\s*<?)([^)\s>]+)(>?[^)]*\))")
 
 

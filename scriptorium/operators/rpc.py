@@ -15,6 +15,7 @@ VERSIONS = ("2024-11-05", "2025-03-26", "2025-06-18")
 DEFAULT_VERSION = "2025-06-18"
 MOST_CHARACTERS = 1_000_000
 PARSE, REQUEST, METHOD, PARAMS = -32700, -32600, -32601, -32602
+BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # what str.strip() takes off
 TEXTS = {"large": "message too large", "parse": "parse error", "object": "invalid request", "params": "params must be an object", "method": "method not found: "}
 SERVER = {"name": "scriptorium", "version": "0.1.0"}
 
@@ -118,7 +119,7 @@ def replay(lines: DataFrame, line: str = "line") -> DataFrame:
     outcome is skipped, error, silent (a notification), or the method that answers; a call's own result is not replayed.
     Lines with NaN or repeated keys count as bad JSON here, which a lenient parser would take.
     """
-    text = F.trim(F.coalesce(F.col(line), F.lit("")))
+    text = F.regexp_replace(F.coalesce(F.col(line), F.lit("")), f"^{BLANK}+|{BLANK}+$", "")
     doc = F.try_parse_json(text)
     kind = lambda v: F.schema_of_variant(v)
     get = lambda path: F.try_variant_get(doc, path, "string")

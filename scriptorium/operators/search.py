@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.functions.terms import terms
+from scriptorium.schema import CHUNKS, POSTINGS
 
 K1, B = 1.2, 0.75
 DEFAULT_LIMIT, MOST = 8, 50
@@ -38,6 +39,24 @@ def bm25(chunks: DataFrame, posts: DataFrame, query: list[str]) -> DataFrame:
     return rows.groupBy("chunk_id").agg(F.round(F.sum(idf * norm), 6).alias("score"))
 
 
+def rank(facts: DataFrame, query: list[str]) -> DataFrame:
+    """(chunk_id, score) as bm25 has them, from facts(chunk_id, collection, version, n_terms, tfs): how often each chunk has each term of the query.
+
+    One row a version of statistics, and no exchange of chunks but for the order of the result.
+    """
+    counts = [F.count_if(F.get("tfs", F.lit(i)) > 0).alias(f"d{i}") for i in range(len(query))]
+    stats = facts.groupBy("collection", "version").agg(F.count("*").alias("n"), F.avg("n_terms").alias("avg_dl"), *counts)
+    stats = stats.select("collection", "version", "n", "avg_dl", F.array(*[F.col(f"d{i}") for i in range(len(query))]).alias("dfs"))
+    rows = facts.where(F.exists("tfs", lambda x: x > 0)).join(stats, ["collection", "version"])
+
+    def part(i: int):
+        tf, df = F.get("tfs", F.lit(i)), F.get("dfs", F.lit(i))
+        norm = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("n_terms") / F.col("avg_dl")))
+        return F.when(tf > 0, F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5)) * norm).otherwise(0.0)
+
+    return rows.select("chunk_id", F.round(sum((part(i) for i in range(len(query))), F.lit(0.0)), 6).alias("score"))
+
+
 def check_limit(limit: object) -> int:
     if isinstance(limit, bool) or not isinstance(limit, int) or not 1 <= limit <= MOST:
         raise ValueError(f"limit must be an integer from 1 to {MOST}")
@@ -53,8 +72,7 @@ class Search:
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str) -> Search:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-        return cls(spark.read.parquet(f"{folder}/chunks"), spark.read.parquet(f"{folder}/postings"))
+        return cls(spark.read.schema(CHUNKS).parquet(f"{folder}/chunks"), spark.read.schema(POSTINGS).parquet(f"{folder}/postings"))
 
     def search_docs(self, query: str, collection: str | None = None, version: str | None = None, limit: int = DEFAULT_LIMIT) -> DataFrame:
         """The best sections for a query, best first, ties by chunk_id. A collection or version that does not exist is an error, never another one."""
@@ -77,7 +95,7 @@ class Search:
         return near.where(F.col("chunk_id") == chunk_id)
 
     def list_collections(self) -> DataFrame:
-        each = self.chunks.groupBy("collection", "version").agg(F.countDistinct("relpath").alias("pages"), F.count("*").alias("chunks"))
+        each = self.chunks.groupBy("collection", "version").agg(F.countDistinct("relpath").alias("pages"), F.count("*").alias("chunks"), F.max("fetched_at").alias("last_fetched"))
         return each.orderBy("collection", "version")
 
 

@@ -17,6 +17,7 @@ from scriptorium.functions.decoding import decode_column
 from scriptorium.functions.terms import terms, words
 from scriptorium.operators import audit, chunks, index, links, normalize, rpc, search
 from scriptorium.sources import archive
+from scriptorium.tables import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,24 +43,22 @@ def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as pages."""
     docs = table(spark, sf_dir, "documents")
     relpath = F.concat(F.col("doc_id").cast("string"), F.lit(".md"))
-    return docs.select("doc_id", F.concat_ws("/", "source", "lang", relpath).alias("path"), F.col("source").alias("collection"), F.col("lang").alias("version"), relpath.alias("relpath"), F.concat(F.lit("Document "), "doc_id").alias("title"), F.concat(F.lit("https://docs.example.org/"), F.concat_ws("/", "source", "lang", "doc_id")).alias("source_url"), F.coalesce("text", F.lit("")).alias("body"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("body_md5"))
+    return docs.select("doc_id", F.concat_ws("/", "source", "lang", relpath).alias("path"), F.col("source").alias("collection"), F.col("lang").alias("version"), relpath.alias("relpath"), F.concat(F.lit("Document "), "doc_id").alias("title"), F.concat(F.lit("https://docs.example.org/"), F.concat_ws("/", "source", "lang", "doc_id")).alias("source_url"), F.coalesce("text", F.lit("")).alias("body"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("body_md5"), F.timestamp_seconds(F.col("doc_id") * 3600).alias("fetched_at"))
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as one section: the texts hold no headings."""
     pages = document_pages(spark, sf_dir)
-    return pages.select("doc_id", F.concat("path", F.lit("#0")).alias("chunk_id"), "collection", "version", F.col("body").alias("text"))
+    return pages.select("doc_id", F.concat("path", F.lit("#0")).alias("chunk_id"), "collection", "version", F.col("body").alias("text"), "fetched_at")
 
 
 def ranked(spark: SparkSession, sf_dir: str, collection: str | None, version: str | None) -> DataFrame:
-    """BM25 from raw texts: one scan makes term counts of the query and lengths, and only those travel."""
+    """BM25 from raw texts: one scan makes lengths and counts of the query's terms, a written table of thin rows; statistics and scores come from that."""
     rows = search.only(document_chunks(spark, sf_dir), collection, version)
-    own = rows.select("chunk_id", "collection", "version", terms(F.col("text")).alias("t"))
     asked = F.array(*map(F.lit, QUESTION))
-    facts = own.select("chunk_id", "collection", "version", F.size("t").alias("n_terms"), F.filter("t", lambda w: F.array_contains(asked, w)).alias("hits"))
-    posts = facts.select("chunk_id", "collection", "version", F.explode("hits").alias("term")).groupBy("term", "chunk_id", "collection", "version").agg(F.count("*").alias("tf"))
-    best = search.bm25(facts.select("chunk_id", "collection", "version", "n_terms"), posts, QUESTION)
-    return best.orderBy(F.col("score").desc(), "chunk_id").limit(search.DEFAULT_LIMIT)
+    facts = rows.select("chunk_id", "collection", "version", terms(F.col("text")).alias("t"))
+    facts = facts.select("chunk_id", "collection", "version", F.size("t").alias("n_terms"), F.transform(asked, lambda w: F.size(F.filter("t", lambda x: x == w))).alias("tfs"))
+    return search.rank(written(facts, "query-facts"), QUESTION).orderBy(F.col("score").desc(), "chunk_id").limit(search.DEFAULT_LIMIT)
 
 
 def _ranked_sql(where: str) -> str:
@@ -84,10 +83,10 @@ def search_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(spark, sf_dir, "src0", "en")
 
 
-@query("SELECT source AS collection, lang AS version, count(*) AS pages, count(*) AS chunks FROM documents GROUP BY 1, 2")
+@query("SELECT source AS collection, lang AS version, count(*) AS pages, count(*) AS chunks, max(doc_id * 3600) AS last_fetched FROM documents GROUP BY 1, 2")
 def list_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_chunks(spark, sf_dir).withColumn("relpath", F.col("chunk_id"))
-    return search.Search(rows, rows).list_collections()
+    return search.Search(rows, rows).list_collections().withColumn("last_fetched", F.unix_timestamp("last_fetched"))
 
 
 @query("SELECT source || '/' || lang || '/' || doc_id || '.md#0' AS chunk_id, coalesce(text, '') AS text FROM documents WHERE source || '/' || lang || '/' || doc_id || '.md#0' = 'src7/en/7.md#0'")
@@ -175,9 +174,8 @@ def decoded_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(coalesce(nullif(regexp_extract(html, '<h1>([^<]*)</h1>', 1), ''), regexp_extract(html, '<title>([^<]*)</title>', 1)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
 def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = lambda tag: F.regexp_extract("html", f"<{tag}>([^<]*)</{tag}>", 1)
-    found = F.when(part("h1") != "", part("h1")).otherwise(part("title"))
-    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_replace(F.replace(found, F.lit("&amp;"), F.lit("&")), r"\s+", " ")).alias("title"))
+    """The operator's titles; in these pages a heading or title holds text alone, which SQL can find by a pattern."""
+    return html_to_markdown(spark, sf_dir).select("page_id", "title")
 
 
 _LINKS = r"""WITH l AS (SELECT url, regexp_extract(url, '^([a-z][a-z0-9+.-]*://[^/?#]+)', 1) AS host, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"''#\s]+)', 1)) AS link FROM pages),
@@ -189,16 +187,32 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.page_links(table(spark, sf_dir, "pages"))
 
 
-@query(_LINKS + " SELECT url, target FROM t WHERE target NOT IN (SELECT url FROM pages)")
+@query("""WITH p AS (SELECT doc_id, source AS collection, lang AS version, 'd' || doc_id % 5 || '/' || doc_id || '.md' AS relpath FROM documents),
+l AS (SELECT *, 0 AS ordinal, (doc_id + 5) || '.md' AS link, 'd' || doc_id % 5 || '/' || (doc_id + 5) || '.md' AS target, 'd' || doc_id % 5 || '/' || (doc_id + 5) || '.md' AS page FROM p
+UNION ALL SELECT *, 1, '../d' || (doc_id + 40) % 5 || '/' || (doc_id + 40), 'd' || (doc_id + 40) % 5 || '/' || (doc_id + 40), 'd' || (doc_id + 40) % 5 || '/' || (doc_id + 40) || '.md' FROM p)
+SELECT collection, version, relpath, ordinal, 'l' || ordinal AS label, link, target FROM l WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.collection = l.collection AND p.version = l.version AND p.relpath = l.page)""")
 def unresolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return archive.page_links(pages).join(pages.select(F.col("url").alias("target")).distinct(), "target", "left_anti").select("url", "target")
+    """Documents as pages in folders, each with a link to a sibling and one without suffix across folders, an image and a link out of the corpus."""
+    pages = document_pages(spark, sf_dir)
+    folder = lambda n: F.concat(F.lit("d"), F.pmod(F.col("doc_id") + n, F.lit(5)))
+    body = F.concat(F.lit("![i](gone.png) [l0]("), F.col("doc_id") + 5, F.lit(".md) [l1](../"), folder(40), F.lit("/"), F.col("doc_id") + 40, F.lit(") [l2](https://example.org/x.md)"))
+    pages = pages.withColumn("relpath", F.concat(folder(0), F.lit("/"), "relpath")).withColumn("body", body)
+    return links.unresolved(links.markdown_links(pages), pages)
 
 
-@query("SELECT page_id, md5(html) AS text_md5 FROM pages")
+@query("""WITH p AS (SELECT page_id, page_id % 5 AS kind, coalesce(html, '') AS html FROM pages)
+SELECT page_id, md5(CASE kind WHEN 0 THEN '<meta charset="x-none"><p>é — 説</p>' || html WHEN 2 THEN '<meta charset="iso-8859-1"><p>é ÿ</p>' || page_id WHEN 4 THEN '<p>é — 説</p>' || html ELSE '<p>é ÿ</p>' || page_id END) AS text_md5 FROM p""")
 def decode_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "pages").select("page_id", F.encode("html", "UTF-8").alias("content"))
-    return raw.select("page_id", F.md5(decode_column("content", F.lit("text/html")).cast("binary")).alias("text_md5"))
+    """Pages in five encodings: UTF-8 under an unknown <meta> charset, Latin-1 by header, by <meta>, and undeclared, and UTF-8 undeclared under a header without charset."""
+    kind, pages = F.pmod("page_id", F.lit(5)), table(spark, sf_dir, "pages")
+    text = lambda head, rest=F.coalesce("html", F.lit("")): F.concat(F.lit(head), rest)
+    number = F.col("page_id").cast("string")
+    wide, narrow = "<p>é — 説</p>", "<p>é ÿ</p>"
+    content = F.when(kind == 0, F.encode(text('<meta charset="x-none">' + wide), "UTF-8")).when(kind == 1, F.encode(text(narrow, number), "ISO-8859-1"))
+    content = content.when(kind == 2, F.encode(text('<meta charset="iso-8859-1">' + narrow, number), "ISO-8859-1")).when(kind == 3, F.encode(text(narrow, number), "ISO-8859-1")).otherwise(F.encode(text(wide), "UTF-8"))
+    header = F.when(kind == 1, "text/html; charset=ISO-8859-1").when(kind == 3, F.lit(None)).otherwise("text/html")
+    raw = pages.select("page_id", content.alias("content"), header.alias("header"))
+    return raw.select("page_id", F.md5(decode_column("content", "header").cast("binary")).alias("text_md5"))
 
 
 @query()
@@ -214,9 +228,17 @@ def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, title string, markdown string")
 
 
-@query("SELECT source || '/' || lang || '/' || doc_id || '.md#0' AS chunk_id, 0 AS ordinal, 0 AS level, CAST(len(list_filter(string_split_regex(lower(coalesce(nullif(text, ''), 'Document ' || doc_id)), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS INTEGER) AS n_terms FROM documents".replace("\\\\", "\\"))
+@query(r"""WITH d AS (SELECT source || '/' || lang || '/' || doc_id || '.md#' AS path, doc_id, trim(regexp_replace(coalesce(text, ''), '[\s#`~]+', ' ', 'g')) AS t FROM documents),
+s AS (SELECT path, 0 AS ordinal, 1 AS level, '# Top ' || doc_id || chr(10) || t AS text, 'Top ' || doc_id AS heading FROM d
+UNION ALL SELECT path, 1, 3, '### Sub' || chr(10) || '```' || chr(10) || '# no heading' || chr(10) || '```', 'Top ' || doc_id || ' > Sub' FROM d
+UNION ALL SELECT path, 2, 2, '## Last ##' || chr(10) || t, 'Top ' || doc_id || ' > Last' FROM d)
+SELECT path || ordinal AS chunk_id, ordinal, level, heading, md5(trim(text, ' ' || chr(10))) AS text_md5, CAST(len(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS INTEGER) AS n_terms FROM s""")
 def chunk_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.chunk_pages(document_pages(spark, sf_dir)).select("chunk_id", "ordinal", "level", "n_terms")
+    """Documents under headings of three levels, one with a fence that holds what looks like one."""
+    flat = F.trim(F.regexp_replace("body", r"[\s#`~]+", " "))
+    body = F.concat(F.lit("# Top "), "doc_id", F.lit("\n"), flat, F.lit("\n\n### Sub\n```\n# no heading\n```\n## Last ##\n"), flat, F.lit("\n"))
+    made = chunks.chunk_pages(document_pages(spark, sf_dir).withColumn("body", body))
+    return made.select("chunk_id", "ordinal", "level", F.array_join("heading_path", " > ").alias("heading"), F.md5(F.col("text").cast("binary")).alias("text_md5"), "n_terms")
 
 
 @query("SELECT md5(coalesce(text, '')) AS body_md5, count(*) AS copies, min(source || '/' || lang || '/' || doc_id || '.md') AS first_key FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -225,13 +247,15 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH o AS (SELECT source, lang, doc_id, md5(coalesce(text, '')) AS was FROM documents),
-n AS (SELECT source, CASE WHEN lang = 'es' THEN 'es-2' ELSE lang END AS lang, doc_id, md5(replace(coalesce(text, ''), 'worthless', '')) AS now FROM documents)
+n AS (SELECT source, CASE WHEN lang = 'es' THEN 'es-2' ELSE lang END AS lang, doc_id, md5(replace(coalesce(text, ''), 'worthless', '')) || CASE WHEN doc_id % 30 IN (7, 8) OR doc_id % 30 = 9 AND doc_id <> 0 THEN '!' ELSE '' END AS now FROM documents)
 SELECT source AS collection, lang AS version, doc_id || '.md' AS relpath, CASE WHEN was IS NULL THEN 'added' WHEN now IS NULL THEN 'removed' ELSE 'changed' END AS change
 FROM o FULL JOIN n USING (source, lang, doc_id) WHERE was IS DISTINCT FROM now""")
 def index_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second snapshot in which one version has a new name and one word is gone."""
+    """A second snapshot in which one version has a new name, one word is gone, and some pages have a new title or URL, or were fetched again."""
     old = document_pages(spark, sf_dir)
-    new = old.withColumn("version", F.when(F.col("version") == "es", "es-2").otherwise(F.col("version"))).withColumn("body_md5", F.md5(F.replace(F.col("body"), F.lit("worthless"), F.lit("")).cast("binary")))
+    other = lambda k, c, value: F.when(F.pmod("doc_id", F.lit(30)) == k, value).otherwise(F.col(c))
+    new = old.withColumn("title", other(7, "title", F.lit("Renamed"))).withColumn("source_url", other(8, "source_url", F.lit(None))).withColumn("fetched_at", other(9, "fetched_at", F.timestamp_seconds(F.lit(0))))
+    new = new.withColumn("version", F.when(F.col("version") == "es", "es-2").otherwise(F.col("version"))).withColumn("body_md5", F.md5(F.replace(F.col("body"), F.lit("worthless"), F.lit("")).cast("binary")))
     return index.delta(old, new)
 
 
@@ -283,17 +307,20 @@ def uncovered_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.uncovered(manifests, document_pages(spark, sf_dir))
 
 
-@query("SELECT doc_id, true AS same FROM documents")
+@query("SELECT doc_id, source AS collection, lang AS version, 'Document ' || doc_id || ': \"a\" #1' AS title, 'https://docs.example.org/' || source || '/' || lang || '/' || doc_id AS source_url, md5(coalesce(text, '')) AS body_md5 FROM documents")
 def frontmatter_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page written as a file and read again."""
+    """Each page written as a file, with a title that needs quoting, and read again."""
+    names = ["collection", "version", "title", "source_url"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            same = []
+            out = []
             for row in b.to_dict("records"):
-                block, body = frontmatter.split_page(frontmatter.emit({k: row[k] for k in ("collection", "version", "title", "source_url")}) + row["body"])
+                block, body = frontmatter.split_page(frontmatter.emit({k: row[k] for k in names}) + row["body"])
                 got = frontmatter.fields(block)
-                same.append(body == row["body"] and all(got[k] == row[k] for k in ("collection", "version", "title", "source_url")))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "same": same})
+                out.append([row["doc_id"], *[got.get(k) for k in names], body])
+            yield pd.DataFrame(out, columns=["doc_id", *names, "body"])
 
-    return document_pages(spark, sf_dir).mapInPandas(run, "doc_id long, same boolean")
+    pages = document_pages(spark, sf_dir).withColumn("title", F.concat("title", F.lit(': "a" #1')))
+    read = pages.select("doc_id", *names, "body").mapInPandas(run, "doc_id long, collection string, version string, title string, source_url string, body string")
+    return read.select("doc_id", *names, F.md5(F.col("body").cast("binary")).alias("body_md5"))

@@ -15,7 +15,9 @@ preserve_description boolean, base_url string, content_selector string, allow_pr
 deny_prefixes array<string>, max_pages int, delay_seconds double"""
 
 CHUNKS = """chunk_id string, collection string, version string, relpath string, title string, source_url string,
-heading_path array<string>, level int, ordinal int, text string, n_terms int, body_md5 string"""
+heading_path array<string>, level int, ordinal int, text string, n_terms int, body_md5 string, fetched_at timestamp"""
+
+POSTINGS = "term string, chunk_id string, collection string, version string, tf int"
 
 ARCHIVE = "url string, fetched_at timestamp, content binary, content_type string, charset string"
 

@@ -10,15 +10,15 @@ from scriptorium.operators.normalize import Options, file_page, heading, html_pa
 from scriptorium.operators.profiles import apply_profile
 from scriptorium.operators.rst_markdown import rst_to_markdown
 
-PAGE = '<html><head><meta charset="utf-8"></head><body><p>os — 說明</p></body></html>'
-PLAIN = "<html><body><p>os — 說明</p></body></html>"
+PAGE = '<!doctype html><meta charset="UTF-8"><title>Größe</title><h1>Größe – 大小</h1>'
+PLAIN = "<h1>Größe – 大小</h1><p>naïve</p>"
 
 
 @pytest.mark.parametrize(("content", "kind", "text"), [
     (PAGE.encode(), "text/html", PAGE),
     (PAGE.encode(), "text/html; charset=utf-8", PAGE),
     (PLAIN.encode(), "text/html", PLAIN),
-    (b'<meta charset="x-not-a-codec">ok', "text/html", '<meta charset="x-not-a-codec">ok'),
+    ('<meta charset="klingon-8">ž'.encode(), "text/html; charset=none-such", '<meta charset="klingon-8">ž'),
     ("é".encode("latin-1"), "text/html", "é"),
     ("é".encode("latin-1"), "text/html; charset=iso-8859-1", "é"),
     (b"\xff\xfea\x00", None, "a"),

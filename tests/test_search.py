@@ -1,10 +1,13 @@
+import io
 import json
 import math
 
 import pytest
 
+from scriptorium import serve
 from scriptorium.operators import audit, index, links, rpc, search
 from scriptorium.operators.chunks import chunk_pages
+from scriptorium.schema import ARCHIVE
 from scriptorium.sources.corpus import page_row, read_corpus, write_corpus
 
 FRONT = '---\ncollection: {c}\nversion: "{v}"\ntitle: "{t}"\nsource_url: https://x.org/{c}/{v}/{r}\nfetched_at: 2026-07-28T01:05:05+00:00\n---\n'
@@ -86,12 +89,59 @@ def test_refresh(spark, pages, tmp_path):
     changed = changed.withColumn("body_md5", F.md5(F.col("body").cast("binary")))
     diff = {(r["relpath"], r["version"]): r["change"] for r in index.refresh(changed, folder).collect()}
     assert diff == {("svc.md", "1.31"): "changed", ("pods.md", "1.30"): "removed"}
+    renamed = changed.withColumn("title", F.when(F.col("relpath") == "pods.md", F.lit("Other")).otherwise(F.col("title"))).withColumn("source_url", F.when(F.col("collection") == "ceph", F.lit("https://new/")).otherwise(F.col("source_url")))
+    assert {(r["relpath"], r["change"]) for r in index.refresh(renamed, folder).collect()} == {("pods.md", "changed"), ("index.md", "changed")}
+    assert {r["title"] for r in search.Search.open(spark, folder).chunks.where("relpath = 'pods.md'").collect()} == {"Other"}
+    assert index.refresh(changed, folder).count() == 2
     left = spark.read.parquet(f"{folder}/chunks")
     want = chunk_pages(changed)
     assert sorted(r["chunk_id"] + r["text"] for r in left.collect()) == sorted(r["chunk_id"] + r["text"] for r in want.collect())
     assert spark.read.parquet(f"{folder}/postings").where("version = '1.30'").count() == 0
 
 
+def test_postings_count_terms(spark):
+    rows = [("a", "b c b  b"), ("b", ""), ("c", None), ("d", "x"), ("e", "說明文件 x x")]
+    chunks = spark.createDataFrame(rows, "chunk_id string, text string").selectExpr("chunk_id", "'c' as collection", "'1' as version", "text")
+    got = {(r["chunk_id"], r["term"]): r["tf"] for r in index.postings(chunks).collect()}
+    assert got == {("a", "b"): 3, ("a", "c"): 1, ("d", "x"): 1, ("e", "說明文件"): 1, ("e", "說明"): 1, ("e", "明文"): 1, ("e", "文件"): 1, ("e", "x"): 2}
+
+
+def test_server(tool):
+    out = io.StringIO()
+    serve.run(tool, ['{"id":1,"method":"tools/call","params":{"name":"get_section","arguments":{"chunk_id":"k8s/1.31/_index.md#0"}}}\n', "\n", '{"id":2,"method":"ping"}\n'], out)
+    one, two = (json.loads(x) for x in out.getvalue().splitlines())
+    assert json.loads(one["result"]["content"][0]["text"])["text"] == "Home" and two == {"jsonrpc": "2.0", "id": 2, "result": {}}
+    assert serve.main([]) == 2
+
+
+def test_build(spark, tmp_path):
+    """From manifests, a checkout and an archive to answers: a marked dead link, a link that another collection owns, a second build that adds."""
+    from scriptorium.plans.build import build
+
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/a.toml").write_text('name = "tool-1"\ncollection = "tool"\nversion = "1"\nsource_type = "git"\nrepo_url = "https://git.example.org/tool"\ngit_ref = "c0ffee"\ndocs_paths = ["docs"]\n')
+    (tmp_path / "m/b.toml").write_text('name = "site-2"\ncollection = "site"\nversion = "2"\nbase_url = "https://site.example.org/"\n')
+    (tmp_path / "m/c.toml").write_text('name = "later"\ncollection = "later"\nversion = "1"\nsource_type = "git"\nrepo_url = "https://git.example.org/later"\ngit_ref = "f00"\ndocs_paths = ["."]\nshortcode_profile = "jekyll"\n[site_overrides]\nsite_url = "https://later.example.org"\n')
+    (tmp_path / "src/docs").mkdir(parents=True)
+    (tmp_path / "src/docs/one.md").write_text("# One\n\n[gone](none.md) [kept](two.md) [far](/far/)\n")
+    (tmp_path / "src/docs/two.md").write_text("# Two\n\nbody\n")
+    (tmp_path / "far").mkdir()
+    (tmp_path / "far/p.md").write_text("---\ntitle: Far\npermalink: /far/\n---\nelsewhere\n")
+    page = lambda body: f"<main><h1>S</h1>{body}</main>".encode()
+    fetched = spark.createDataFrame([("https://site.example.org/", None, page("<a href='x/../x/y.html'>y</a>"), "text/html", None), ("https://site.example.org/x/y.html", None, page("<p>reached</p>"), "text/html", None), ("https://site.example.org/alone.html", None, page("no"), "text/html", None)], ARCHIVE)
+    sources = {"tool-1": str(tmp_path / "src"), "site-2": fetched}
+    where = [str(tmp_path / "m"), sources, str(tmp_path / "corpus"), str(tmp_path / "index"), "2026-01-01T00:00:00+00:00"]
+    assert sorted(r["path"] for r in build(spark, *where).collect()) == ["site/2/index.md", "site/2/x/y.md", "tool/1/one.md", "tool/1/two.md"]
+    sources["later"] = str(tmp_path / "far")
+    bodies = {r["path"]: r["body"] for r in build(spark, *where).collect()}
+    assert "[gone](none.md) <!-- unresolved-source-link: target=none.md --> [kept](two.md) [far](/far/) <!-- cross-corpus-link: owner=later/1 -->" in bodies["tool/1/one.md"]
+    found = search.Search.open(spark, where[3])
+    assert [r["chunk_id"] for r in found.search_docs("reached").collect()] == ["site/2/x/y.md#0"]
+    assert [r["collection"] for r in found.list_collections().collect()] == ["later", "site", "tool"]
+    with pytest.raises(ValueError, match="source"):
+        build(spark, where[0], {}, *where[2:])
+
+
 def test_links(spark, pages):
     found = links.markdown_links(pages)
     assert {(r["link"], r["resolved"]) for r in links.resolve(found, pages).collect()} == {("svc.md", True), ("gone.md", False)}
@@ -121,7 +171,7 @@ def test_grep_and_compare(tool, pages):
 LINES = [
     ("", None), ("x" * 1_000_001, -32600), ("{bad", -32700), ("[1]", -32600), ("3", -32600), ('{"method":"ping"}', None), ('{"id":null,"method":"ping"}', None),
     ('{"id":1,"method":"ping"}', 0), ('{"id":2,"method":"initialize","params":{"protocolVersion":"2024-11-05"}}', 0), ('{"id":3,"method":"initialize"}', 0),
-    ('{"id":4,"method":"tools/list"}', 0), ('{"id":5,"method":"tools/call","params":[1]}', -32602), ('{"id":6,"method":"nope"}', -32601),
+    ("\t", None), (" \t\u00a0\r\u2003", None), ('\t{"id":8,"method":"ping"}\t\r', 0), ('{"id":4,"method":"tools/list"}', 0), ('{"id":5,"method":"tools/call","params":[1]}', -32602), ('{"id":6,"method":"nope"}', -32601),
 ]
 
 

@@ -6,22 +6,30 @@ from pyspark.sql import functions as F
 from scriptorium.functions import urls
 from scriptorium.operators.normalize import crawl_path
 
-BASE = "https://docs.python.org/3.10/"
+BASE = "https://manual.example.net/product/v7/"
+#: allow, deny, url, in scope
 CASES = [
-    ([], [], BASE + "library/os.html", True),
-    ([], [], BASE + "tutorial/index.html", True),
-    (["library/", "distutils/"], [], BASE + "library/os.html", True),
-    (["library/", "distutils/"], [], BASE + "distutils/apiref.html", True),
-    (["library/", "distutils/"], [], BASE + "tutorial/index.html", False),
-    (["library/", "distutils/"], [], BASE + "c-api/list.html", False),
-    (["library/", "distutils/"], [], BASE + "genindex.html", False),
-    (["library/"], [], BASE, True),
-    (["library/"], [], BASE + "index.html", True),
-    (["library/"], ["library/xml."], BASE + "library/os.html", True),
-    (["library/"], ["library/xml."], BASE + "library/xml.dom.html", False),
-    (["library/"], [], "https://docs.python.org/3.12/library/os.html", False),
-    (["library/"], [], "https://example.com/library/os.html", False),
+    ([], [], BASE, True),
+    ([], [], BASE + "deep/er/page.html?lang=en#part", True),
+    ([], [], BASE[:-1], False),
+    ([], [], BASE.replace("v7", "v70"), False),
+    ([], [], BASE.replace("v7", "v6") + "guide/start.html", False),
+    ([], [], BASE.replace("manual.", "") + "guide/start.html", False),
+    ([], [], BASE.replace("https", "http") + "guide/start.html", False),
     ([], [], None, False),
+    ([], ["guide/"], BASE + "guide/start.html", False),
+    ([], ["guide/"], BASE + "guidelines.html", True),
+    (["guide/"], [], BASE + "guide/", True),
+    (["guide/"], [], BASE + "guide", False),
+    (["guide/"], [], BASE + "api/guide/", False),
+    (["guide/", "api/v1."], [], BASE + "api/v1.verbs.html", True),
+    (["guide/", "api/v1."], [], BASE + "api/v2.verbs.html", False),
+    (["guide/start.html"], [], BASE + "guide/start.html", True),
+    (["guide/"], [], BASE, True),
+    (["guide/"], [], BASE + "index.html", True),
+    (["guide/"], ["guide/old/"], BASE + "guide/old/a.html", False),
+    (["guide/"], ["guide/old/"], BASE + "guide/older.html", True),
+    (None, None, BASE + "guide/start.html", True),
 ]
 
 
@@ -31,7 +39,7 @@ def test_scope(spark):
     assert [got[i] for i in range(len(CASES))] == [c[3] for c in CASES]
 
 
-@pytest.mark.parametrize(("rel", "path"), [("", "index.md"), ("index.html", "index.md"), ("y/", "y/index.md"), ("library/os.html", "library/os.md"), ("a/index.html", "a/index.md"), ("x?y=1#z", "x")])
+@pytest.mark.parametrize(("rel", "path"), [("", "index.md"), ("index.html", "index.md"), ("guide/", "guide/index.md"), ("guide/start.html", "guide/start.md"), ("b/c/index.html", "b/c/index.md"), ("x?y=1#z", "x"), ("reindex.html", "reindex.md"), ("a.html.html", "a.html.md")])
 def test_relpath(spark, rel, path):
     assert crawl_path(BASE + rel, BASE) == path
     assert spark.range(1).select(urls.crawl_relpath(F.lit(BASE + rel), F.lit(BASE))).first()[0] == path
@@ -47,9 +55,9 @@ def test_relative_links_lead_back(parts):
 
 def test_columns(spark):
     one = lambda c: spark.range(1).select(c).first()[0]
-    assert one(urls.canonical_route(F.lit("https://docs.opensearch.org/latest/reporting/rep-cli-index/"))) == "/reporting/rep-cli-index/"
-    assert one(urls.canonical_route(F.lit("https://docs.opensearch.org/latest/reporting/index/"))) == "/reporting/"
-    assert one(urls.permalink_relpath(F.lit("/reporting/rep-cli-index/"))) == "reporting/rep-cli-index/index.md"
+    assert one(urls.canonical_route(F.lit("https://docs.example.org/latest/reports/cli-index/"))) == "/reports/cli-index/"
+    assert one(urls.canonical_route(F.lit("https://docs.example.org/latest/reports/index/"))) == "/reports/"
+    assert one(urls.permalink_relpath(F.lit("/reports/cli-index/"))) == "reports/cli-index/index.md"
     assert one(urls.decode_path(F.lit("a%20b+c"))) == "a b+c"
     text = "see https://github.com/o/r/blob/master/x and https://github.com/o/s/tree/master/y"
     assert one(urls.pin_refs(F.lit(text), "https://github.com/o/r", "c0ffee", ["master"])) == text.replace("r/blob/master", "r/blob/c0ffee")

@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.terms import terms
 from scriptorium.operators.chunks import chunk_pages
-from scriptorium.schema import CHUNKS
+from scriptorium.schema import CHUNKS, POSTINGS
 
 PAGE = ["collection", "version", "relpath"]
 PARTS = 64
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lists = b.column(3)
+        coded = lists.flatten().dictionary_encode()
+        owner = np.repeat(np.arange(len(b)), lists.value_lengths().fill_null(0).to_numpy())
+        kinds = max(1, len(coded.dictionary))
+        pairs, many = np.unique(owner * kinds + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        row = pa.array(pairs // kinds)
+        yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(pairs % kinds)), *[c.take(row) for c in b.columns[:3]], pa.array(many, pa.int32())], ["term", "chunk_id", "collection", "version", "tf"])
+
+
 def postings(chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id, collection, version, tf); a chunk is one row, so its terms are counted where it is, from runs of its sorted terms."""
-    ids = ["chunk_id", "collection", "version"]
-    rows = chunks.select(*ids, F.array_sort(terms(F.col("text"))).alias("t")).where(F.size("t") > 0)
-    new = lambda i: F.coalesce(F.get("t", i) != F.get("t", i - 1), F.lit(True))
-    rows = rows.withColumn("starts", F.filter(F.sequence(F.lit(0), F.size("t") - 1), new))
-    runs = F.transform("starts", lambda s, k: F.struct(F.get("t", s).alias("term"), (F.coalesce(F.get("starts", k + 1), F.size("t")) - s).cast("int").alias("tf")))
-    return rows.select(*ids, F.inline(runs)).select("term", *ids, "tf")
+    """(term, chunk_id, collection, version, tf); a chunk is one row, so its terms are counted in Arrow batches where it is, and nothing is exchanged."""
+    rows = chunks.select("chunk_id", "collection", "version", terms(F.col("text")).alias("t")).where(F.size("t") > 0)
+    return rows.mapInArrow(_counted, POSTINGS)
 
 
 def corpus_stats(chunks: DataFrame) -> DataFrame:

@@ -4,18 +4,24 @@ A walk reads a text and, at each step, emits the character under its head and th
 that depends on the step and the character alone. All texts share the bits, so texts at a small edit distance fall back
 into step and their emitted strings agree in most places: edit distance becomes Hamming distance. The fingerprint keeps
 a 4-bit hash of the emitted character at sampled steps, as many from each octave of steps, so texts of any length are
-sampled along their whole length and longer texts only add samples. Fingerprints compare by weighted agreement. Pairs
-at a small edit distance are found without them, by parts that such texts must share, so that none is lost.
+sampled along their whole length and longer texts only add samples. Fingerprints compare by weighted agreement.
+
+Near texts are found by banding: each band is a handful of samples at random places of the fingerprint, the same for all
+texts of its octaves. Texts that share a band meet; those whose samples agree too little for a few edits go apart, the
+others are verified by their edit distance.
 
 A walk's stay at a character is looked up (`DWELL`: steps until the next 1 bit), so a text costs one table access per
-character. Bits repeat every PERIOD steps.
+character. Bits repeat every PERIOD steps, and the last of a period is 1 for all; characters count by 256 classes, so
+some differ by the verification only.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import lean, mix64, saved
+from scriptorium.llm.common import join_spread, lean, mix64, saved
+from scriptorium.llm.near_classes import LAST, Measure, classified
 
 PERIOD, CLASSES, PER_OCTAVE, OCTAVES = 4096, 256, 64, 34
 FEW = 64  # below so many texts still under way, plain loops beat vectors
 BLOCK = 512
-ROWS_PER_BUCKET, MOST_BUCKETS = 4096, 65_536
+ROWS_PER_BUCKET, MOST_BUCKETS, RANGES = 4096, 65_536, 128
+NEAR, LEAST_SAMPLES, MARGIN = 4, 64, 24  # edits of near texts; texts with fewer samples are near equal ones alone
+CHANCE, AGREE, LOST = 0.13, 0.88, 0.02  # agreement of samples of unlike texts and of near ones; near texts that share no band
 PAIR_BLOCK = 512  # texts in a block of a bucket that is compared
 
 
@@ -126,46 +135,173 @@ def fingerprints(texts: list[str]) -> list[str]:
     return [digest(c, p) for c, p in zip(codes, walk(codes, [0] * len(codes)), strict=True)]
 
 
-def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
-    """docs dealt into ranges of ids, descending, each followed by the first row of the range after it (the last by the very first).
+def band_shape(texts: int) -> tuple[int, int]:
+    """Samples in a band and number of bands: few unlike texts of so many share one, and all but LOST of the near ones."""
+    width = max(4, math.ceil(math.log(20 * max(1, texts)) / -math.log(CHANCE)))
+    return width, math.ceil(math.log(LOST) / math.log(1 - AGREE**width))
+
+
+@functools.lru_cache(64)
+def _sites(octaves: int, width: int, bands: int) -> np.ndarray:
+    return np.random.default_rng([5, octaves]).integers(0, PER_OCTAVE * octaves, (bands, width))
+
+
+def band_keys(print_: np.ndarray, width: int, bands: int) -> list[int | None]:
+    """A key for each band of a fingerprint, over its full octaves; one just over an octave has keys over the octaves before as well.
 
-    Adds __bucket, __extra and __id. Texts are exchanged once; only range ends are gathered on the driver.
+    Keys over an even number of octaves come first, then those over an odd one, null where there are none.
     """
-    docs = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
-    n = docs.count()
-    many = max(1, min(MOST_BUCKETS, n // ROWS_PER_BUCKET))
-    ends = sorted(set(docs.select(F.col("__id").cast("double").alias("x")).approxQuantile("x", [i / many for i in range(1, many)], 0.25 / many))) if many > 1 else []
-    groups = [ends[i : i + 256] for i in range(0, len(ends), 256)] or [[]]
-    literal = lambda x, kind: F.from_json(F.lit(json.dumps(x)), kind)
-    below = lambda x: F.size(F.filter(x, lambda e: e < F.col("__id").cast("double")))
-    docs = docs.withColumn("__group", below(literal([g[0] for g in groups[1:]], "array<double>")))
-    docs = docs.withColumn("__bucket", (F.col("__group") * 256 + below(F.element_at(literal(groups, "array<array<double>>"), F.col("__group") + 1))).cast("int")).drop("__group")
-    firsts = sorted((r["__bucket"], r["top"]) for r in docs.groupBy("__bucket").agg(F.max("__id").alias("top")).collect())  # a row for each range
-    before = {b: firsts[(i + 1) % len(firsts)][0] for i, (b, _) in enumerate(firsts)}
-    spark = docs.sparkSession
-    facts = F.from_json(F.lit(json.dumps([{"__bucket": b, "__top": top, "__before": before[b]} for b, top in firsts])), "array<struct<__bucket:int,__top:bigint,__before:int>>")
-    table = spark.range(1).select(F.inline(facts))
-    homes = F.array(F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("x")))
-    both = F.array(F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("x")), F.struct(F.col("__before").alias("b"), F.lit(True).alias("x")))
-    dealt = docs.join(F.broadcast(table), "__bucket").withColumn("__to", F.explode(F.when(F.col("__id") == F.col("__top"), both).otherwise(homes)))
-    return dealt.withColumn("__bucket", F.col("__to.b")).withColumn("__extra", F.col("__to.x")).drop("__to", "__top", "__before"), max(1, len(firsts))
+    octaves = len(print_) // PER_OCTAVE
+    out: list[int | None] = [None] * (2 * bands)
+    for k in [octaves, octaves - 1] if octaves > 1 and len(print_) % PER_OCTAVE < MARGIN else [octaves]:
+        digits = print_[_sites(k, width, bands)]
+        key = np.full(bands, k, np.uint64)
+        for w in range(width):
+            key = mix64(key ^ digits[:, w].astype(np.uint64), w)
+        out[k % 2 * bands : (k % 2 + 1) * bands] = key.view(np.int64).tolist()
+    return out
+
+
+def sample_bytes(chars: int, print_: np.ndarray) -> bytes:
+    """The number of characters, and two samples a byte, four of each of the first octaves: what a pair is asked before its texts."""
+    at = np.arange(16, 16 * 68, 16)
+    own = np.full(len(at), 0, np.uint8)
+    have = at < len(print_)
+    own[have] = print_[at[have]]
+    return np.uint32(min(chars, 2**32 - 1)).tobytes() + own.tobytes()
+
+
+def agree(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Pairs of sample_bytes that NEAR edits may have parted: nearly as long, and alike in two fifths of their samples."""
+    chars = [np.ascontiguousarray(x[:, :4]).view("<u4")[:, 0].astype(np.int64) for x in (one, two)]
+    both = (one[:, 4:] > 0) & (two[:, 4:] > 0)
+    same = (both & (one[:, 4:] == two[:, 4:])).sum(1)
+    return (np.abs(chars[0] - chars[1]) <= NEAR) & (5 * same >= 2 * both.sum(1))
+
+
+def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
+    return np.array([edit_distance(x, y, NEAR) is not None for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], bool)
+
+
+def encoded(texts: pa.Array) -> list[bytes]:
+    return [t.encode("utf-8", "surrogatepass") for t in texts.to_pylist()]
+
+
+def across(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    one, two = ([t.decode("utf-8", "surrogatepass") for t in side] for side in (left, right))
+    size = [np.array([len(t) for t in side], np.int64) for side in (one, two)]
+    i, j = np.nonzero(np.abs(size[0][:, None] - size[1]) <= NEAR)
+    good = np.array([edit_distance(one[p], two[q], NEAR) is not None for p, q in zip(i.tolist(), j.tolist(), strict=True)], bool)
+    return i[good], j[good]
+
+
+MEASURE = Measure(agree, similar, encoded, across)
+
+
+def near_texts(docs: DataFrame) -> DataFrame:
+    """(id, h1, near_class) of the rows whose near_class is not their own id: the smallest doc_id that links reach.
+
+    Links join equal texts, and texts of LEAST_SAMPLES samples or more that are within NEAR edits; a pair shares no band
+    with a probability of about LOST. id and h1 tell rows apart as text_keys has them.
+    """
+    width, bands = band_shape(docs.count())
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = [classes(t) for t in b.column(4).to_pylist()]
+            prints = [np.frombuffer(digest(c, p).encode(), np.uint8) for c, p in zip(codes, walk(codes, [0] * len(codes)), strict=True)]
+            keys = [band_keys(p, width, bands) if len(p) >= LEAST_SAMPLES else [] for p in prints]
+            short = [sample_bytes(len(c), p) for c, p in zip(codes, prints, strict=True)]
+            size = [len(c) // 4 + 1 for c in codes]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary()), pa.array(size, pa.int32())], ["id", "h1", "h2", "pick", "bands", "short", "size"])
+
+    signed, facts = classified(docs, F.lit(0).cast("long"), banded, MEASURE)
+    out = join_spread(signed.select("id", "h1", "h2"), facts, ["h1", "h2"], ["class_id"], signed.count(), F.col("id"))
+    return out.where("class_id <> id").select("id", "h1", F.col("class_id").alias("near_class"))
+
+
+FIRST = -(2**63)  # stands for a null id, the last in descending order
+
+
+def _places(rows: DataFrame) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """A function that adds `bucket` to rows(id, h1), rising with (id, h1), and the number of buckets: about ROWS_PER_BUCKET rows each.
+
+    Ranges of ids are found by quantiles of a fixed error, an id at a quantile is a range of its own, and ranges are
+    evened out by their exact counts: by id, or by h1 where they hold one id. 2 * RANGES rows are gathered.
+    """
+    total = rows.count()
+    quantiles = rows.select(F.col("id").cast("double").alias("x")).approxQuantile("x", [i / RANGES for i in range(1, RANGES)], 1 / (8 * RANGES)) if total else []
+    ends = sorted({max(FIRST, min(2**63 - 1, int(q))) for q in quantiles})
+    literal = lambda x, kind: F.from_json(F.lit(json.dumps(x)), f"array<{kind}>")
+    cuts = literal(ends, "bigint")
+    ranged = lambda df: df.withColumn("range", 2 * F.size(F.filter(cuts, lambda e: e < F.col("id"))) + F.array_contains(cuts, F.col("id")).cast("int"))
+    known = {r["range"]: r for r in ranged(rows).groupBy("range").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).collect()}
+    share = max(ROWS_PER_BUCKET, total / MOST_BUCKETS)
+    low, span, many, base = [], [], [], [0]
+    for k in range(2 * len(ends) + 1):
+        r = known.get(k)
+        low.append(r["low"] if r else 0)
+        span.append(r["high"] - low[-1] if r else 0)
+        many.append(math.ceil(r["n"] / share) if r else 1)
+        base.append(base[-1] + many[-1])
+    wide = [float(x) for x in span]
+
+    def placed(df: DataFrame) -> DataFrame:
+        pick = lambda x, kind="double": F.element_at(literal(x, kind), F.col("range") + 1)
+        above = F.when(pick(wide) < 2.0**62, (F.col("id") - pick(low, "bigint")).cast("double")).otherwise(F.col("id").cast("double") - pick(low, "bigint").cast("double"))
+        by_id = above / (pick(wide) + 1)
+        by_hash = (F.col("h1").cast("double") + 2.0**63) / 2.0**64
+        part = F.when(pick(wide) > 0, by_id).otherwise(by_hash)
+        within = F.least(F.greatest(F.floor(part * pick(many)), F.lit(0)), pick(many) - 1)
+        return ranged(df).withColumn("bucket", (pick(base[:-1], "int") + within).cast("int")).drop("range")
+
+    return placed, base[-1]
 
 
 def fingerprint_digest(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited text, as the contract of op5 has it.
+    """Fingerprints of every text and of its edited text, as the contract of op5 has it, and its near_class.
 
-    A null text is empty. Null ids come last of all; rows with equal ids follow each other by text. One row alone is its
-    own next. An empty table gives no rows.
+    A null text is empty. Null ids come last of all; rows with equal ids follow each other by a hash of the text. One row
+    alone is its own next. Very long texts cost their length; an empty table gives no rows. near_class is the smallest
+    doc_id that links of near_texts reach from the row, its own without any.
     """
-    dealt, many = in_order(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    rows = dealt.repartition(many, "__bucket").sortWithinPartitions("__bucket", "__extra", F.col("__id").desc(), "text")
+    null_last = lambda c: F.when(c == LAST, F.lit(FIRST)).otherwise(c)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    near = near_texts(docs)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(F.lit(1), "text").alias("h1"), "text")
+    placed, many = _places(rows.select("id", "h1"))
+    tops = sorted((r["bucket"], *r["top"]) for r in placed(rows.select("id", "h1")).groupBy("bucket").agg(F.max(F.struct("id", "h1")).alias("top")).collect())  # MOST_BUCKETS rows and a few at most
+    # the first row of a bucket is also the next of the last row of the bucket above it; the very first one, of the very last
+    facts = [{"bucket": b, "top_id": i, "top_h": h, "above": tops[(k + 1) % len(tops)][0]} for k, (b, i, h) in enumerate(tops)]
+    table = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(facts)), "array<struct<bucket:int,top_id:bigint,top_h:bigint,above:int>>")))
+    place = lambda bucket, kind: F.struct(F.col(bucket).alias("bucket"), F.lit(kind).alias("kind"))
+    top = (F.col("id") == F.col("top_id")) & (F.col("h1") == F.col("top_h"))
+    dealt = placed(rows).join(F.broadcast(table), "bucket").withColumn("to", F.explode(F.when(top, F.array(place("bucket", 1), place("above", 2))).otherwise(F.array(place("bucket", 1)))))
+    dealt = dealt.select("to.bucket", "to.kind", "id", "h1", F.lit(None).cast("long").alias("near_class"), "text")
+    marks = placed(near.select(null_last(F.col("id")).alias("id"), "h1", "near_class")).select("bucket", F.lit(0).alias("kind"), "id", "h1", "near_class")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts travel compressed."""
+        for b in batches:
+            texts = [t.encode("utf-8", "surrogatepass") for t in b.column(5).to_pylist()]
+            z = [pa.compress(t, "zstd", asbytes=True) if t else b"" for t in texts]
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(z, pa.binary()), pa.array([len(t) for t in texts], pa.int64())], ["bucket", "kind", "id", "h1", "near_class", "z", "bytes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # (doc_id, text, bucket, extra), rows still without their next
+        held: list[tuple] = []  # (id, text, bucket, extra, near_class), rows still without their next
+        known, now = {}, None
         for b in batches:
-            held += zip(*(c.to_pylist() for c in b.columns), strict=True)
-            yield batch_of(held)
-            held = held[-1:]
+            for bucket, kind, id_, h1, near_class, z, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
+                if kind == 0:
+                    known[id_, h1] = near_class
+                else:
+                    text = pa.decompress(z, size, "zstd", asbytes=True).decode("utf-8", "surrogatepass") if size else ""
+                    held.append((id_ if id_ > FIRST else None, text, bucket, kind == 2, known.get((id_, h1), id_ if id_ > FIRST else None)))
+            if held:
+                yield batch_of(held)
+                held = held[-1:]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         texts = [r[1] for r in rows]
@@ -184,13 +320,31 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
             edited = texts[i][: cut[i]] + texts[i + 1][: len(texts[i]) - cut[i]]
             own = digest(np.concatenate([codes[i][: cut[i]], tail]), np.concatenate([places[i][: cut[i]], more]))
             sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-            out.append((rows[i][0], len(texts[i]), sha, prints[i], own, likeness(prints[i], own), likeness(prints[i], prints[i + 1])))
-        cols = list(zip(*out, strict=True)) or [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return rows.select(F.col("doc_id").cast("long"), "text", "__bucket", "__extra").mapInArrow(lean(run), schema)
+            out.append((rows[i][0], len(texts[i]), sha, prints[i], own, likeness(prints[i], own), likeness(prints[i], prints[i + 1]), rows[i][4]))
+        cols = list(zip(*out, strict=True)) or [()] * 8
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_class"])
+
+    order = ["bucket", "kind", F.col("id").desc(), F.col("h1").desc()]
+    sent = dealt.mapInArrow(lean(packed), "bucket int, kind int, id long, h1 long, near_class long, z binary, bytes long")
+    both = sent.unionByName(marks.withColumn("z", F.lit(None).cast("binary")).withColumn("bytes", F.lit(0).cast("long")))
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, near_class long"
+    return both.repartition(max(1, many), "bucket").sortWithinPartitions(*order).mapInArrow(lean(run), schema)
+
+
+def common_start(a: str, i: int, b: str, j: int) -> int:
+    """Length of what a from i on and b from j on begin with in common; compares slices, which double and then halve."""
+    most, at, step, growing = min(len(a) - i, len(b) - j), 0, 16, True
+    while at < most:
+        n = min(step, most - at)
+        if a[i + at : i + at + n] == b[j + at : j + at + n]:
+            at += n
+            step = 2 * step if growing else max(1, step // 2)
+        elif n == 1:
+            break
+        else:
+            step, growing = max(1, n // 2), False
+    return max(at, 0)
 
 
 def edit_distance(a: str, b: str, most: int) -> int | None:
@@ -200,9 +354,7 @@ def edit_distance(a: str, b: str, most: int) -> int | None:
         return None
 
     def slide(i: int, k: int) -> int:
-        while i < n and i + k < m and a[i] == b[i + k]:
-            i += 1
-        return i
+        return i + common_start(a, i, b, i + k)
 
     reach = {0: slide(0, 0)}
     for d in range(most + 1):

@@ -21,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, boxed, gram_hashes, join_spread, kept, lean, mix64, own, saved, unboxed
-from scriptorium.llm.near_classes import Measure, classes, common_elements
+from scriptorium.llm.common import Words, boxed, gram_hashes, join_spread, kept, mix64, own, unboxed
+from scriptorium.llm.near_classes import LAST, Measure, classified, common_elements, text_keys
 
 SHINGLE, SIMILAR_NUM, SIMILAR_DEN = 5, 4, 5  # five words, a similarity of 4/5
 BANDS, ROWS = 25, 5  # at 0.8 a pair misses all bands with a probability of 5e-5
 REGISTERS = BANDS * ROWS
 LEAST_AGREE = 70
-LAST = 2**63 - 1  # stands for a null id
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,8 +164,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keep = kept(docs, "class_id", "kept")
     plain = [c for c in keep if "map<" not in (kind := docs.schema[c].dataType.simpleString()) and "variant" not in kind]
     pick = F.xxhash64(F.lit(8), *[own(c) for c in plain])  # tells rows apart, but for those alike in all columns
-    signed, facts = _classified(docs, pick)
-    out = docs.select(boxed(keep), *_keys(), pick.alias("pick"))
+    signed, facts = classified(docs, pick, _banded, MEASURE)
+    out = docs.select(boxed(keep), *text_keys(), pick.alias("pick"))
     out = join_spread(out, facts, ["h1", "h2"], ["class_id", "best"], signed.count(), F.col("pick"))
     chosen = (F.col("id") == F.col("best.id")) & (F.col("pick") == F.col("best.pick"))
     if signed.groupBy("h1", "h2", "id", "pick").count().where("count > 1").head(1):  # rows alike in all columns
@@ -176,36 +175,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select(*unboxed(keep), "class_id", chosen.alias("kept"))
 
 
-def _keys():
-    text = F.coalesce("text", F.lit(""))
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2")]
-
-
-def _classified(docs: DataFrame, pick) -> tuple[DataFrame, DataFrame]:
-    """(id, h1, h2, pick, ...) of every row, and of every distinct text (h1, h2, n, class_id, best): n rows have it; best is (id, pick) of its class's row to keep."""
-    text = F.coalesce("text", F.lit("")).alias("text")
-    schema = "id long, h1 long, h2 long, pick long, bands array<long>, short binary, size int"
-    signed = saved(docs.select(*_keys(), pick.alias("pick"), text).mapInArrow(lean(_banded), schema), "signatures")
-    reps = signed.groupBy("h1", "h2").agg(F.min(F.struct("id", "pick")).alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("short").alias("short"), F.first("size").alias("size"))
-    reps = saved(reps.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")  # numbers are fixed once written
-
-    def texts(nodes: DataFrame) -> DataFrame:
-        """From the row of the smallest id; rows alike in id and text count once."""
-        wanted = saved(reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi"), "wanted-texts")
-        return docs.select(*_keys(), text).join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
-
-    known = classes(reps.select("node", "bands", "short", "size").where(F.size("bands") > 0), texts, MEASURE)
-    named = reps.select("h1", "h2", "n", "node", "best").join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = saved(named, "text-classes")
-    least = saved(named.groupBy("component").agg(F.min("best").alias("least"), F.count("*").alias("n")), "class-facts")
-    named = join_spread(named, least, ["component"], ["least"], named.count(), F.col("node"))
-    class_id = F.when(F.col("least.id") < LAST, F.col("least.id"))
-    return signed, saved(named.select("h1", "h2", "n", class_id.alias("class_id"), F.col("least").alias("best")), "text-facts")
-
-
 def near_digest(docs: DataFrame) -> DataFrame:
     """One row per document: its class and whether it stands for it, as near_duplicates has them. Texts are not exchanged for this."""
-    signed, facts = _classified(docs, F.monotonically_increasing_id())
+    signed, facts = classified(docs, F.monotonically_increasing_id(), _banded, MEASURE)
     out = join_spread(signed.select("id", "h1", "h2", "pick"), facts, ["h1", "h2"], ["class_id", "best"], signed.count(), F.col("pick"))
     chosen = (F.col("id") == F.col("best.id")) & (F.col("pick") == F.col("best.pick"))
     return out.select(F.when(F.col("id") < LAST, F.col("id")).alias("doc_id"), "class_id", chosen.alias("kept"))

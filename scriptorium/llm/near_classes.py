@@ -18,13 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import join_spread, lean, saved
 from scriptorium.llm.graph import components, stars
 
 SMALL, BLOCK, BLOCK_SIZE = 32, 256, 2 << 20  # members of small buckets and of blocks; sum of sizes in a block
+LAST = 2**63 - 1  # stands for a null id
 PAIRS_PER_TASK = 256  # of one pivot
 LISTED = 16  # elements that give more pairs of sets than this are multiplied
 
@@ -125,7 +126,7 @@ def classes(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], measure: M
         used = texts(saved(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-ids"))
         return saved(_beside(likely, used, "text").mapInArrow(lean(_verified(measure)), "a long, b long"), "links")
 
-    rows = reps.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    rows = reps.select("node", "size", F.posexplode("bands").alias("band", "key")).where("key is not null")
     order = F.xxhash64(F.lit(4), "node")
     full = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "node")).alias("head"), F.sum("size").alias("sizes"))
     full = saved(full.where("n > 1"), "buckets")
@@ -197,3 +198,34 @@ def _across(many: DataFrame, texts: Callable[[DataFrame], DataFrame], measure: M
     sets = saved(texts(ids).mapInArrow(lean(prepare), "node long, held binary"), "block-texts")
     met = minor.unionByName(whole).join(sets, "node").select(*place, "side", "c", "held")
     return met.repartition(*place).sortWithinPartitions(*place).mapInArrow(lean(run), "a long, b long")
+
+
+def text_keys() -> list:
+    """A row's id (null: LAST) and two hashes of its text (null: empty)."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2")]
+
+
+def classified(docs: DataFrame, pick: Column, banded: Callable, measure: Measure) -> tuple[DataFrame, DataFrame]:
+    """(id, h1, h2, pick, ...) of every row, and of every distinct text (h1, h2, n, class_id, best): n rows have it; best is (id, pick) of its class's row to keep.
+
+    banded: from batches of (id, h1, h2, pick, text) to those but the text and (bands, short, size), as classes needs them.
+    """
+    text = F.coalesce("text", F.lit("")).alias("text")
+    schema = "id long, h1 long, h2 long, pick long, bands array<long>, short binary, size int"
+    signed = saved(docs.select(*text_keys(), pick.alias("pick"), text).mapInArrow(lean(banded), schema), "signatures")
+    reps = signed.groupBy("h1", "h2").agg(F.min(F.struct("id", "pick")).alias("best"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("short").alias("short"), F.first("size").alias("size"))
+    reps = saved(reps.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")  # numbers are fixed once written
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        """From the row of the smallest id; rows alike in id and text count once."""
+        wanted = saved(reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi"), "wanted-texts")
+        return docs.select(*text_keys(), text).join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
+
+    known = classes(reps.select("node", "bands", "short", "size").where(F.size("bands") > 0), texts, measure)
+    named = reps.select("h1", "h2", "n", "node", "best").join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = saved(named, "text-classes")
+    least = saved(named.groupBy("component").agg(F.min("best").alias("least"), F.count("*").alias("n")), "class-facts")
+    named = join_spread(named, least, ["component"], ["least"], named.count(), F.col("node"))
+    class_id = F.when(F.col("least.id") < LAST, F.col("least.id"))
+    return signed, saved(named.select("h1", "h2", "n", class_id.alias("class_id"), F.col("least").alias("best")), "text-facts")

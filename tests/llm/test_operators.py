@@ -416,6 +416,43 @@ def test_fingerprints(docs, none, odd):
     assert edit_embedding.fingerprint_digest(odd).count() == 5
     alone = edit_embedding.fingerprint_digest(docs.where("doc_id = 7")).first()
     assert alone["near_next"] == 1.0
+    assert {i: r["near_class"] for i, r in rows.items()} == brute_near([r[:2] for r in ROWS])
+
+
+def brute_near(rows):
+    """Smallest id that equal texts, and pairs within four edits of 64 samples or more, lead to."""
+    up = {i: i for i, _ in rows}
+    prints = {i: edit_embedding.fingerprints([t or ""])[0] for i, t in rows}
+
+    def root(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a, s in rows:
+        for b, t in rows:
+            s_, t_ = s or "", t or ""
+            if a < b and (s_ == t_ or min(len(prints[a]), len(prints[b])) >= 64 and edit_embedding.edit_distance(s_, t_, 4) is not None):
+                p, q = root(a), root(b)
+                up[max(p, q)] = min(p, q)
+    return {i: root(i) for i in up}
+
+
+def test_near_classes_recall(spark):
+    """Of texts with one to four edits in them, at least nine tenths are found beside their originals, and no others."""
+    r = random.Random(31)
+    rows = [(i, prose(500 + i, r.choice([15, 40, 120, 400]))) for i in range(250)]
+    for i in range(250):
+        chars = list(rows[i][1])
+        for _ in range(1 + i % 4):
+            at = r.randrange(len(chars))
+            chars[at : at + r.randrange(2)] = r.choice(["", "q", "z"])
+        rows.append((1000 + i, "".join(chars)))
+    got = {x["id"]: x["near_class"] for x in edit_embedding.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i: c for i, c in brute_near(rows).items() if i != c}
+    found = sum(got.get(i) == c for i, c in want.items())
+    print("recall", found, len(want))
+    assert len(want) > 240 and set(got) <= set(want) and found >= 0.9 * len(want)
 
 
 def test_ranges_of_ids(docs, monkeypatch):
@@ -424,6 +461,17 @@ def test_ranges_of_ids(docs, monkeypatch):
     assert sorted(map(str, edit_embedding.fingerprint_digest(docs).collect())) == want
 
 
+def test_ranges_of_one_id(spark, monkeypatch):
+    """Half of all rows without an id, and many with one: ranges are split by the text, and the order is whole."""
+    monkeypatch.setattr(edit_embedding, "ROWS_PER_BUCKET", 3)
+    rows = [(None if i % 2 else 5 if i % 4 else i - 2**62, prose(i % 25, 12)) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = {(r["doc_id"], r["text"]): r["h"] for r in table.select("doc_id", "text", F.xxhash64(F.lit(1), "text").alias("h")).collect()}
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, keyed[x]), reverse=True)
+    want = Counter((i, sha(t[: len(t) - len(t) // 3] + u[: len(t) // 3])) for (i, t), (_, u) in zip(order, [*order[1:], order[0]], strict=True))
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in edit_embedding.fingerprint_digest(table).collect()) == want
+
+
 def test_walk_is_the_plain_walk():
     """Vectors and lookups give what single steps give."""
     r = random.Random(6)

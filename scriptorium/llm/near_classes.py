@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import join_spread, lean, saved
 from scriptorium.llm.graph import components, stars
 
-SMALL, BLOCK, BLOCK_SIZE = 32, 256, 2 << 20  # members of small buckets and of blocks; sum of sizes in a block
+SMALL, BLOCK, BLOCK_SIZE = 32, 1024, 2 << 20  # members of small buckets and of blocks; sum of sizes in a block
 LAST = 2**63 - 1  # stands for a null id
 PAIRS_PER_TASK = 256  # of one pivot
 LISTED = 16  # elements that give more pairs of sets than this are multiplied

@@ -461,6 +461,20 @@ def test_ranges_of_ids(docs, monkeypatch):
     assert sorted(map(str, edit_embedding.fingerprint_digest(docs).collect())) == want
 
 
+def test_counts_rule_out_no_near_pair():
+    r = random.Random(41)
+    base, texts = prose(90, 30), []
+    for n in range(60):
+        chars = list(base)
+        for _ in range(n % 9):
+            at = r.randrange(len(chars))
+            chars[at : at + r.randrange(2)] = r.choice(["", "q", "é", "ka"])
+        texts.append("".join(chars))
+    held = edit_embedding.encoded(pa.array(texts))
+    got = set(zip(*(x.tolist() for x in edit_embedding.across(held, held)), strict=True))
+    assert got == {(i, j) for i, s in enumerate(texts) for j, t in enumerate(texts) if levenshtein(s, t) <= 4} and 60 < len(got) < 3600
+
+
 def test_ranges_of_one_id(spark, monkeypatch):
     """Half of all rows without an id, and many with one: ranges are split by the text, and the order is whole."""
     monkeypatch.setattr(edit_embedding, "ROWS_PER_BUCKET", 3)

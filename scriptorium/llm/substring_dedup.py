@@ -9,7 +9,10 @@ minimisers, so all of them meet in the minimiser's bucket.
 2. Those super-k-mers travel as packed strings to their buckets, sorted by minimiser, document and start. A bucket is
    streamed: the first place of each distinct window is remembered, later ones are repeats. Memory holds the distinct
    windows of one minimiser, however many documents repeat them.
-3. Repeats go back to their documents as spans of words.
+   A minimiser of very many super-k-mers (HOT_ROWS, MOST_HOT, MOST_ROWS) has no bucket: its windows go out one by one, as
+   two 64-bit hashes, dealt by window and one of SALTS parts of the documents. All but the first of a part are repeats.
+3. The firsts of all parts of a window meet (SALTS at most): all but the first of them are repeats too.
+4. Repeats go back to their documents as spans of words.
 
 Exact copies of a whole text are found first by a hash of the text and take no part in 2: all their windows are
 repeats, so all their words go if they have a window at all.
@@ -18,17 +21,20 @@ repeats, so all their words go if they have a window at all.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import Words, boxed, gram_hashes, kept, lean, returned, saved, unboxed
+from scriptorium.llm.common import HOT_ROWS, MOST_HOT, Words, boxed, gram_hashes, kept, lean, mix64, returned, saved, unboxed
 
 WINDOW, GRAM = 20, 4
 LAST = 2**63 - 1  # stands for a null id
+#: A bucket holds MOST_ROWS super-k-mers at most; less where that is a larger share than 1 / MOST_HOT of all.
+MOST_ROWS, SALTS = 1 << 14, 1024
 
 
 def super_kmers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,31 +79,72 @@ def joined(owner: np.ndarray, low: np.ndarray, start: np.ndarray, many: np.ndarr
     return owner[first], low[first], start[first], np.add.reduceat(many, first) if len(first) else many
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def window_hashes(words: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of the WINDOW words from each of those places on."""
+    out = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(WINDOW):
+            out = mix64(out * np.uint64(0x100000001B3) + words[at + i], salt)
+    return out
+
+
+PACKED = "key long, w1 long, w2 long, id long, k long, start int, packed string"
+
+
+def _packed(batches: Iterator[pa.RecordBatch], salts: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, k, text, lows) to their wanted super-k-mers: packed strings by minimiser, or windows where that is hot."""
+    kinds = [pa.int64()] * 5 + [pa.int32(), pa.string()]
+    names = [c.split(" ")[0] for c in PACKED.split(", ")]
     for b in batches:
         words = Words(b.column(2))
         owner, low, start, many = joined(*super_kmers(words))
         lists = b.column(3)
-        wanted = np.split(lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
+        flat = lists.flatten()
+        lows, hot = flat.field(0).to_numpy(), flat.field(1).to_numpy(zero_copy_only=False).astype(bool)
+        wanted = np.split(lows, np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
         ends = np.searchsorted(owner, np.arange(len(b) + 1))
         pick = np.flatnonzero(np.concatenate([np.isin(low[x:y], w) for x, y, w in zip(ends, ends[1:], wanted, strict=False)])) if len(b) else owner
+        single = np.isin(low[pick], lows[hot])
+        apart, pick = pick[single], pick[~single]
         distinct = words.distinct.to_pylist()
         texts = []
         for i in pick.tolist():
             a = int(words.starts[owner[i]]) + int(start[i])
             texts.append(" ".join([distinct[c] for c in words.codes[a : a + int(many[i]) + WINDOW - 1].tolist()]))
-        at = pa.array(owner[pick])
-        yield pa.RecordBatch.from_arrays([pa.array(low[pick]), b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())], ["low", "id", "k", "start", "packed"])
+        at, nothing = pa.array(owner[pick]), pa.nulls(len(pick), pa.int64())
+        cols = [pa.array(low[pick]), nothing, nothing, b.column(0).take(at), b.column(1).take(at), pa.array(start[pick]), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(cols, kinds, strict=True)], names)
+        if len(apart):
+            count = many[apart]
+            place = np.repeat(start[apart] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            text = np.repeat(owner[apart], count)
+            hashes = words.hashes()
+            w1, w2 = (window_hashes(hashes, words.starts[text] + place, salt) for salt in (0, 1))
+            at = pa.array(text)
+            k = b.column(1).take(at)
+            key = mix64(w1 + (k.to_numpy().view(np.uint64) % np.uint64(salts)), 2)
+            cols = [pa.array(key.view(np.int64)), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), b.column(0).take(at), k, pa.array(place), pa.nulls(len(text), pa.string())]
+            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(cols, kinds, strict=True)], names)
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of words under windows that are not the first of their kind; rows come sorted by (low, id, k, start)."""
-    now, seen = None, {}
+    """Spans of words under windows that are not the first of their kind; rows come sorted by all columns but the last.
+
+    The first of a window that came alone is returned with its hashes: other parts may hold an earlier one.
+    """
+    now, seen, first = None, {}, None
     for b in batches:
-        out: list[tuple[int, int, int, int]] = []
-        for low, id_, k, start, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if low != now:
-                now, seen = low, {}
+        out: list[tuple] = []
+        for key, w1, w2, id_, k, start, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            fresh = (key, w1, w2) != now
+            if fresh:
+                now, seen, first = (key, w1, w2), {}, (id_, k, start)
+            if packed is None:
+                if fresh:
+                    out.append((id_, k, start, start + WINDOW, w1, w2))
+                elif first != (id_, k, start):
+                    out.append((id_, k, start, start + WINDOW, None, None))
+                continue
             ends = list(accumulate((len(w) + 1 for w in packed.split(" ")), initial=0))
             begin = None
             for i in range(len(ends) - WINDOW):
@@ -106,13 +153,13 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if repeat and begin is None:
                     begin = start + i
                 elif not repeat and begin is not None:
-                    out.append((id_, k, begin, start + i - 1 + WINDOW))
+                    out.append((id_, k, begin, start + i - 1 + WINDOW, None, None))
                     begin = None
             if begin is not None:
-                out.append((id_, k, begin, start + len(ends) - WINDOW - 1 + WINDOW))
-        cols = list(zip(*out, strict=True)) or [()] * 4
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["id", "k", "from", "to"])
+                out.append((id_, k, begin, start + len(ends) - WINDOW - 1 + WINDOW, None, None))
+        cols = list(zip(*out, strict=True)) or [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["id", "k", "from", "to", "w1", "w2"])
 
 
 def marked(texts: DataFrame) -> DataFrame:
@@ -125,12 +172,19 @@ def marked(texts: DataFrame) -> DataFrame:
     first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = saved(full.join(first, ["h1", "h2"]).where("id > first").select("id", "k").distinct(), "copies")
     thin = saved(texts.select("k", "text").mapInArrow(lean(_thin), "low long, k long, n int"), "super-kmers")
-    more = thin.groupBy("low").agg(F.sum("n").alias("n")).where("n > 1").select("low")
+    total = thin.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT_ROWS, min(MOST_ROWS, total // MOST_HOT))
+    more = thin.groupBy("low").agg(F.sum("n").alias("n")).where("n > 1").select("low", (F.col("n") > most).alias("hot"))
     # a clash of two documents' k only lets superfluous super-k-mers travel
-    wanted = thin.select("low", "k").join(more, "low").join(copies.select("k"), "k", "left_anti").groupBy("k").agg(F.collect_list("low").alias("lows"))
+    wanted = thin.select("low", "k").join(more, "low").join(copies.select("k"), "k", "left_anti")
+    wanted = wanted.groupBy("k").agg(F.collect_list(F.struct("low", "hot")).alias("lows"))
     packed = texts.join(wanted.hint("shuffle_hash"), "k").select("id", "k", "text", "lows")
-    packed = packed.mapInArrow(lean(_packed), "low long, id long, k long, start int, packed string")
-    spans = packed.repartition("low").sortWithinPartitions("low", "id", "k", "start").mapInArrow(lean(_repeats), "id long, k long, from int, to int")
+    packed = packed.mapInArrow(lean(partial(_packed, salts=SALTS)), PACKED)
+    spans = packed.repartition("key").sortWithinPartitions("key", "w1", "w2", "id", "k", "start")
+    spans = spans.mapInArrow(lean(_repeats), "id long, k long, from int, to int, w1 long, w2 long")
+    settled = F.col("w1").isNull()
+    meet = Window.partitionBy("w1", "w2", F.when(settled, F.xxhash64("id", "k", "from"))).orderBy("id", "k", "from")
+    spans = spans.withColumn("place", F.rank().over(meet)).where(settled | (F.col("place") > 1))
     spans = spans.groupBy("id", "k").agg(F.collect_list(F.struct("from", "to")).alias("spans")).withColumn("copy", F.lit(False))
     both = spans.unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
     return both.select(F.col("id").alias("mid"), F.col("k").alias("mk"), "spans", "copy")
@@ -161,11 +215,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return _cut(both).select(*unboxed(keep), "n_words", "n_removed", "kept_text")
 
 
-def _with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """Joins on k alone, so that rows keep the partitioning they were exchanged by before."""
-    return rows.join(marks.hint("shuffle_hash"), (rows["k"] == marks["mk"]) & (rows["id"] <= marks["mid"]) & (rows["id"] >= marks["mid"]), "left")
-
-
 def _cut(both: DataFrame) -> DataFrame:
     """both: a column to be kept, then spans, copy and the text."""
     name = both.columns[0]

@@ -831,6 +831,19 @@ def test_windows(spark, docs, none, odd):
     assert {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_text"]) for x in got.collect()} == brute_windows(rows)
 
 
+@pytest.mark.parametrize(("rows_at_most", "salts"), [(1, 1), (1, 3), (1, 1024), (6, 2)])
+def test_substrings_of_hot_minimisers(spark, monkeypatch, rows_at_most, salts):
+    """Minimisers beyond the bound go window by window, in parts: a passage in most documents, in two documents of one id, and many times in one."""
+    for name, value in (("HOT_ROWS", 1), ("MOST_ROWS", rows_at_most), ("MOST_HOT", 1), ("SALTS", salts)):
+        monkeypatch.setattr(substring_dedup, name, value)
+    r = random.Random(13)
+    parts = [prose(200 + i, 26) for i in range(3)]
+    rows = [(i, " ".join(r.choice(parts) if r.random() < 0.6 else prose(2000 + 7 * i + k, r.randrange(0, 30)) for k in range(5))) for i in range(40)]
+    rows += [(100, " ".join([parts[0]] * 9)), (101, "kan " * 60), (102, None), (103, ""), (104, rows[5][1])]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_text"]) for x in got.collect()} == brute_windows(rows)
+
+
 # 9
 
 

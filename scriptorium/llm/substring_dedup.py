@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import HOT_ROWS, MOST_HOT, Words, boxed, gram_hashes, kept, lean, mix64, returned, saved, unboxed
+from scriptorium.llm.common import HOT_ROWS, MOST_HOT, Words, boxed, gram_hashes, join_spread, kept, lean, mix64, returned, saved, unboxed
 
 WINDOW, GRAM = 20, 4
 LAST = 2**63 - 1  # stands for a null id
@@ -169,8 +169,11 @@ def marked(texts: DataFrame) -> DataFrame:
     different documents in the order of k.
     """
     full = texts.select("id", "k", F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2"))
-    first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = saved(full.join(first, ["h1", "h2"]).where("id > first").select("id", "k").distinct(), "copies")
+    first = full.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).where("first < last")
+    first = saved(first, "texts")
+    total = first.agg(F.sum("n")).first()[0] or 0
+    copies = join_spread(full, first, ["h1", "h2"], ["first"], total, F.col("k")).where("id > first")
+    copies = saved(copies.select("id", "k").distinct(), "copies")
     thin = saved(texts.select("k", "text").mapInArrow(lean(_thin), "low long, k long, n int"), "super-kmers")
     total = thin.agg(F.sum("n")).first()[0] or 0
     most = max(HOT_ROWS, min(MOST_ROWS, total // MOST_HOT))

@@ -35,6 +35,7 @@ WINDOW, GRAM = 20, 4
 LAST = 2**63 - 1  # stands for a null id
 #: A bucket holds MOST_ROWS super-k-mers at most; less where that is a larger share than 1 / MOST_HOT of all.
 MOST_ROWS, SALTS = 1 << 14, 1024
+AT_ONCE = 1 << 17  # windows of a batch: a very long text sends several
 
 
 def super_kmers(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +92,7 @@ def window_hashes(words: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
 PACKED = "key long, w1 long, w2 long, id long, k long, start int, packed string"
 
 
-def _packed(batches: Iterator[pa.RecordBatch], salts: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], salts: int, at_once: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, k, text, lows) to their wanted super-k-mers: packed strings by minimiser, or windows where that is hot."""
     kinds = [pa.int64()] * 5 + [pa.int32(), pa.string()]
     names = [c.split(" ")[0] for c in PACKED.split(", ")]
@@ -119,12 +120,15 @@ def _packed(batches: Iterator[pa.RecordBatch], salts: int) -> Iterator[pa.Record
             place = np.repeat(start[apart] - (np.cumsum(count) - count), count) + np.arange(count.sum())
             text = np.repeat(owner[apart], count)
             hashes = words.hashes()
-            w1, w2 = (window_hashes(hashes, words.starts[text] + place, salt) for salt in (0, 1))
-            at = pa.array(text)
-            k = b.column(1).take(at)
-            key = mix64(w1 + (k.to_numpy().view(np.uint64) % np.uint64(salts)), 2)
-            cols = [pa.array(key.view(np.int64)), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), b.column(0).take(at), k, pa.array(place), pa.nulls(len(text), pa.string())]
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(cols, kinds, strict=True)], names)
+            for lo in range(0, len(text), at_once):
+                t, p = text[lo : lo + at_once], place[lo : lo + at_once]
+                w1, w2 = (window_hashes(hashes, words.starts[t] + p, salt) for salt in (0, 1))
+                at = pa.array(t)
+                k = b.column(1).take(at)
+                key = mix64(w1 + (k.to_numpy().view(np.uint64) % np.uint64(salts)), 2)
+                own = [pa.array(x.view(np.int64)) for x in (key, w1, w2)]
+                cols = [*own, b.column(0).take(at), k, pa.array(p), pa.nulls(len(t), pa.string())]
+                yield pa.RecordBatch.from_arrays([c.cast(kind) for c, kind in zip(cols, kinds, strict=True)], names)
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +186,7 @@ def marked(texts: DataFrame) -> DataFrame:
     wanted = thin.select("low", "k").join(more, "low").join(copies.select("k"), "k", "left_anti")
     wanted = wanted.groupBy("k").agg(F.collect_list(F.struct("low", "hot")).alias("lows"))
     packed = texts.join(wanted.hint("shuffle_hash"), "k").select("id", "k", "text", "lows")
-    packed = packed.mapInArrow(lean(partial(_packed, salts=SALTS)), PACKED)
+    packed = packed.mapInArrow(lean(partial(_packed, salts=SALTS, at_once=AT_ONCE)), PACKED)
     spans = packed.repartition("key").sortWithinPartitions("key", "w1", "w2", "id", "k", "start")
     spans = spans.mapInArrow(lean(_repeats), "id long, k long, from int, to int, w1 long, w2 long")
     settled = F.col("w1").isNull()

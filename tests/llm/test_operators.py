@@ -834,7 +834,7 @@ def test_windows(spark, docs, none, odd):
 @pytest.mark.parametrize(("rows_at_most", "salts"), [(1, 1), (1, 3), (1, 1024), (6, 2)])
 def test_substrings_of_hot_minimisers(spark, monkeypatch, rows_at_most, salts):
     """Minimisers beyond the bound go window by window, in parts: a passage in most documents, in two documents of one id, and many times in one."""
-    for name, value in (("HOT_ROWS", 1), ("MOST_ROWS", rows_at_most), ("MOST_HOT", 1), ("SALTS", salts)):
+    for name, value in (("HOT_ROWS", 1), ("MOST_ROWS", rows_at_most), ("MOST_HOT", 1), ("SALTS", salts), ("AT_ONCE", 50)):
         monkeypatch.setattr(substring_dedup, name, value)
     r = random.Random(13)
     parts = [prose(200 + i, 26) for i in range(3)]

@@ -111,6 +111,26 @@ def join_spread(rows: DataFrame, facts: DataFrame, on: list[str], values: list[s
     return out.select(*rows.columns, *found)
 
 
+MOST_BITS = 1 << 27
+
+
+def maybe_among(rows: DataFrame, wanted: DataFrame, key: Column, many: int) -> DataFrame:
+    """The rows whose key one of `many` wanted rows has, and few others: what spares an exchange of most rows before a join.
+
+    key is a hash, written the same for both sides. Wanted keys set bits, 8 to 16 for each, in pieces of 32,768 that are
+    broadcast: MOST_BITS / 8 bytes (16 MB) at most. Where so many bits would be more than half full, all rows are returned.
+    """
+    if 2 * many > MOST_BITS:
+        return rows
+    place = F.pmod(key, F.lit(power_of_two(8 * many, 1 << 15, MOST_BITS))) + 1  # bitmaps count from 1
+    thin = wanted.select(F.bitmap_bucket_number(place).alias("piece__"), F.bitmap_bit_position(place).alias("bit__"))
+    pieces = thin.repartition("piece__").groupBy("piece__").agg(F.bitmap_construct_agg("bit__").alias("bits__"))
+    at = rows.withColumns({"piece__": F.bitmap_bucket_number(place), "bit__": F.bitmap_bit_position(place)}).join(F.broadcast(pieces), "piece__")
+    byte = F.conv(F.hex(F.substring("bits__", (F.floor(F.col("bit__") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.pmod("bit__", F.lit(8)) + 1).cast("int"))
+    return at.where(byte.bitwiseAND(mask) > 0).select(*rows.columns)
+
+
 Batches = Iterator[pa.RecordBatch]
 SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
 

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import join_spread, lean, saved
+from scriptorium.llm.common import SLICE_BYTES, join_spread, lean, maybe_among, saved
 from scriptorium.llm.graph import components, stars
 
 SMALL, BLOCK, BLOCK_SIZE = 32, 1024, 2 << 20  # members of small buckets and of blocks; sum of sizes in a block
@@ -91,10 +92,29 @@ def _agreeing(measure: Measure) -> Callable:
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h1, h2, z): texts travel compressed."""
+    for b in batches:
+        press = zstandard.ZstdCompressor()
+        z = [press.compress(t) for t in b.column(3).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(z, pa.binary())], ["id", "h1", "h2", "z"])
+
+
+def opened(b: pa.RecordBatch, *at: int) -> Iterator[tuple]:
+    """The batch in slices, each with its texts of those columns; a slice has about SLICE_BYTES of text at most, one row at least."""
+    packed = [b.column(k).to_pylist() for k in at]
+    size = sum(np.array([zstandard.frame_content_size(z) for z in column], np.int64) for column in packed)
+    ends = [*(np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1).tolist(), len(b)]
+    for lo, hi in zip([0, *ends], ends, strict=False):
+        press = zstandard.ZstdDecompressor()
+        yield b.slice(lo, hi - lo), *[pa.array([press.decompress(z) for z in column[lo:hi]], pa.binary()).view(pa.string()) for column in packed]
+
+
 def _verified(measure: Measure) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.select([0, 1]).filter(pa.array(measure.similar(b.column(2), b.column(3)), pa.bool_()))
+            for part, one, two in opened(b, 2, 3):
+                yield part.select([0, 1]).filter(pa.array(measure.similar(one, two), pa.bool_()))
 
     return run
 
@@ -116,7 +136,7 @@ def classes(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], measure: M
     """(id, component): for every node that links take to a smaller one, the smallest node of its class.
 
     reps: a written table (node, bands array<long>, short binary, size int), a row for each distinct text; size: what a
-    text weighs in a block. texts: from (node) to (node, text), each node once.
+    text weighs in a block. texts: from (node) to (node, z), each node once; z is its text as `opened` reads it.
     """
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -124,7 +144,7 @@ def classes(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], measure: M
         pairs = saved(pairs, "pairs")
         likely = saved(_beside(pairs, reps, "short").mapInArrow(lean(_agreeing(measure)), "a long, b long"), "pairs")
         used = texts(saved(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-ids"))
-        return saved(_beside(likely, used, "text").mapInArrow(lean(_verified(measure)), "a long, b long"), "links")
+        return saved(_beside(likely, used, "z").mapInArrow(lean(_verified(measure)), "a long, b long"), "links")
 
     rows = reps.select("node", "size", F.posexplode("bands").alias("band", "key")).where("key is not null")
     order = F.xxhash64(F.lit(4), "node")
@@ -170,7 +190,8 @@ def _across(many: DataFrame, texts: Callable[[DataFrame], DataFrame], measure: M
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(measure.prepared(b.column(1)), pa.binary())], ["node", "held"])
+            for part, own in opened(b, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(measure.prepared(own), pa.binary())], ["node", "held"])
 
     def compare(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         sides = [[h for h in held if h[0] == s] for s in (0, 1)]
@@ -218,9 +239,11 @@ def classified(docs: DataFrame, pick: Column, banded: Callable, measure: Measure
     reps = saved(reps.withColumn("node", F.monotonically_increasing_id()), "distinct-texts")  # numbers are fixed once written
 
     def texts(nodes: DataFrame) -> DataFrame:
-        """From the row of the smallest id; rows alike in id and text count once."""
+        """From the row of the smallest id; rows alike in id and text count once. Most other rows stay where they are."""
         wanted = saved(reps.select("h1", "h2", "node", F.col("best.id").alias("id")).join(nodes, "node", "left_semi"), "wanted-texts")
-        return docs.select(*text_keys(), text).join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
+        rows = maybe_among(docs.select(*text_keys(), text), wanted, F.xxhash64(F.lit(3), "id", "h1", "h2"), wanted.count())
+        rows = rows.mapInArrow(lean(_packed), "id long, h1 long, h2 long, z binary")
+        return rows.join(wanted, ["id", "h1", "h2"]).groupBy("node").agg(F.first("z").alias("z"))
 
     known = classes(reps.select("node", "bands", "short", "size").where(F.size("bands") > 0), texts, measure)
     named = reps.select("h1", "h2", "n", "node", "best").join(known.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))

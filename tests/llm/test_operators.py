@@ -10,10 +10,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from scriptorium.llm import draws, edit_embedding, line_dedup, minhash_dedup, mixing, packing, quality, sharding, substring_dedup, url_lists, vector_dedup
-from scriptorium.llm.common import Words
+from scriptorium.llm import common, draws, edit_embedding, line_dedup, minhash_dedup, mixing, near_classes, packing, quality, sharding, substring_dedup, url_lists, vector_dedup
+from scriptorium.llm.common import Words, maybe_among
 from scriptorium.llm.cuckoo import CuckooFilter
 from scriptorium.llm.graph import components
 from scriptorium.llm.tokens import Encoder, tokenizer
@@ -346,15 +347,13 @@ def test_hot_buckets(spark, monkeypatch):
 
 def test_members_outside_the_largest_class_meet_all(spark, monkeypatch):
     """One bucket holds all; pivots find nothing, so the blocks have to find every link across classes."""
-    from scriptorium.llm import near_classes
-
     monkeypatch.setattr(near_classes, "SMALL", 0)
     monkeypatch.setattr(near_classes, "BLOCK", 4)
     r = random.Random(15)
     texts = {i: float(r.randrange(40)) for i in range(60)}  # near: at most 1 apart
     near = lambda a, b: abs(a - b) <= 1
     reps = spark.createDataFrame([(i, [7], b"x", 1) for i in texts], "node long, bands array<long>, short binary, size int")
-    table = spark.createDataFrame([(i, str(v)) for i, v in texts.items()], "node long, text string")
+    table = spark.createDataFrame([(i, zstandard.compress(str(v).encode())) for i, v in texts.items()], "node long, z binary")
     measure = near_classes.Measure(
         lambda one, two: np.zeros(len(one), bool),
         lambda a, b: np.zeros(len(a), bool),
@@ -961,6 +960,29 @@ def test_words_are_the_contract_s():
         assert [distinct[c] for c in made.codes[made.starts[i] : made.starts[i + 1]]] == words(t)
 
 
+@pytest.mark.parametrize("many", [0, 1, 5000])
+def test_maybe_among_loses_no_row(spark, monkeypatch, many):
+    rows = spark.range(40_000).withColumn("text", F.concat(F.lit("t"), "id"))
+    wanted = rows.where(F.col("id") < many).select("id")
+    found = {r["id"] for r in maybe_among(rows, wanted, F.xxhash64(F.lit(3), "id"), many).collect()}
+    assert found >= set(range(many)) and len(found) <= many + 0.13 * 40_000
+    monkeypatch.setattr(common, "MOST_BITS", 1 << 15)
+    full = maybe_among(rows, wanted, F.xxhash64(F.lit(3), "id"), many)
+    assert full.columns == rows.columns and {r["id"] for r in full.collect()} >= set(range(many))
+    assert maybe_among(rows, wanted, F.xxhash64(F.lit(3), "id"), 1 << 15) is rows
+
+
+def test_packed_texts_open_in_slices(monkeypatch):
+    texts = ["", "é" * 3000, "a" * 100_000, "", "b c d"]
+    ids = pa.array(range(5), pa.int64())
+    (sent,) = near_classes._packed([pa.RecordBatch.from_arrays([ids, ids, ids, pa.array(texts)], ["id", "h1", "h2", "text"])])
+    monkeypatch.setattr(near_classes, "SLICE_BYTES", 10_000)
+    parts = list(near_classes.opened(sent, 3))
+    assert len(parts) > 1 and [t for _, own in parts for t in own.to_pylist()] == texts
+    assert [i for b, _ in parts for i in b.column(0).to_pylist()] == list(range(5))
+    assert not [t for _, own in near_classes.opened(sent.slice(0, 0), 3) for t in own.to_pylist()]
+
+
 def test_saved_tables_go(spark):
     from scriptorium.llm import common
 

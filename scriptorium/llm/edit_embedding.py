@@ -7,8 +7,8 @@ a 4-bit hash of the emitted character at sampled steps, as many from each octave
 sampled along their whole length and longer texts only add samples. Fingerprints compare by weighted agreement.
 
 Near texts are found by banding: each band is a handful of samples at random places of the fingerprint, the same for all
-texts of its octaves. Texts that share a band meet; those whose samples agree too little for a few edits go apart, the
-others are verified by their edit distance.
+texts of its octaves. Texts that share a band and are about as long meet; those whose counts of neighbouring characters
+differ by more than a few edits can change go apart, the others are verified by their edit distance.
 
 A walk's stay at a character is looked up (`DWELL`: steps until the next 1 bit), so a text costs one table access per
 character. Bits repeat every PERIOD steps, and the last of a period is 1 for all; characters count by 256 classes, so
@@ -39,6 +39,7 @@ ROWS_PER_BUCKET, MOST_BUCKETS, RANGES = 4096, 65_536, 128
 NEAR, LEAST_SAMPLES, MARGIN = 4, 64, 24  # edits of near texts; texts with fewer samples are near equal ones alone
 CHANCE, AGREE, LOST = 0.13, 0.88, 0.02  # agreement of samples of unlike texts and of near ones; near texts that share no band
 PAIR_BLOCK = 512  # texts in a block of a bucket that is compared
+SPAN = 32  # lengths, in characters, of texts that can share a band
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -146,37 +147,41 @@ def _sites(octaves: int, width: int, bands: int) -> np.ndarray:
     return np.random.default_rng([5, octaves]).integers(0, PER_OCTAVE * octaves, (bands, width))
 
 
-def band_keys(print_: np.ndarray, width: int, bands: int) -> list[int | None]:
-    """A key for each band of a fingerprint, over its full octaves; one just over an octave has keys over the octaves before as well.
+def band_keys(print_: np.ndarray, chars: int, width: int, bands: int) -> list[int | None]:
+    """A key for each band of a fingerprint, over its full octaves and the SPAN of lengths that its text is in.
 
-    Keys over an even number of octaves come first, then those over an odd one, null where there are none.
+    A text just over an octave has keys over the octaves before as well, and one fewer than NEAR characters into a span
+    over the span before: near texts differ by NEAR characters at most, so spans part none. Keys are in four runs, by
+    whether octaves and span are even or odd, null where there are none.
     """
-    octaves = len(print_) // PER_OCTAVE
-    out: list[int | None] = [None] * (2 * bands)
+    octaves, span = len(print_) // PER_OCTAVE, chars // SPAN
+    out: list[int | None] = [None] * (4 * bands)
     for k in [octaves, octaves - 1] if octaves > 1 and len(print_) % PER_OCTAVE < MARGIN else [octaves]:
         digits = print_[_sites(k, width, bands)]
         key = np.full(bands, k, np.uint64)
         for w in range(width):
             key = mix64(key ^ digits[:, w].astype(np.uint64), w)
-        out[k % 2 * bands : (k % 2 + 1) * bands] = key.view(np.int64).tolist()
+        for s in [span, span - 1] if span and chars % SPAN < NEAR else [span]:
+            at = (2 * (k % 2) + s % 2) * bands
+            out[at : at + bands] = mix64(key ^ np.uint64(s), width).view(np.int64).tolist()
     return out
 
 
-def sample_bytes(chars: int, print_: np.ndarray) -> bytes:
-    """The number of characters, and two samples a byte, four of each of the first octaves: what a pair is asked before its texts."""
-    at = np.arange(16, 16 * 68, 16)
-    own = np.full(len(at), 0, np.uint8)
-    have = at < len(print_)
-    own[have] = print_[at[have]]
-    return np.uint32(min(chars, 2**32 - 1)).tobytes() + own.tobytes()
+def sketch_bytes(codes: np.ndarray) -> bytes:
+    """The number of characters, and how many pairs of neighbours are in each of 64 classes, modulo 16, two counts a byte: what a pair is asked before its texts."""
+    c = codes.astype(np.uint32)
+    many = np.bincount((c[:-1] * np.uint32(0x9E3779B1) + c[1:] * np.uint32(0x85EBCA77) >> np.uint32(26)).astype(np.int64), minlength=64) & 15
+    return np.uint32(min(len(c), 2**32 - 1)).tobytes() + (many[::2] | many[1::2] << 4).astype(np.uint8).tobytes()
 
 
 def agree(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Pairs of sample_bytes that NEAR edits may have parted: nearly as long, and alike in two fifths of their samples."""
+    """Pairs of sketch_bytes that NEAR edits may have parted, and no others are near: an edit changes the length by 1 and the counts by 4 in all at most."""
     chars = [np.ascontiguousarray(x[:, :4]).view("<u4")[:, 0].astype(np.int64) for x in (one, two)]
-    both = (one[:, 4:] > 0) & (two[:, 4:] > 0)
-    same = (both & (one[:, 4:] == two[:, 4:])).sum(1)
-    return (np.abs(chars[0] - chars[1]) <= NEAR) & (5 * same >= 2 * both.sum(1))
+    apart = np.zeros(len(one), np.int64)
+    for shift in (0, 4):
+        d = (one[:, 4:] >> shift) - (two[:, 4:] >> shift) & 15
+        apart += np.minimum(d, 16 - d).sum(1, dtype=np.int64)
+    return (np.abs(chars[0] - chars[1]) <= NEAR) & (apart <= 4 * NEAR)
 
 
 def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -224,8 +229,8 @@ def near_texts(docs: DataFrame) -> DataFrame:
         for b in batches:
             codes = [classes(t) for t in b.column(4).to_pylist()]
             prints = [np.frombuffer(digest(c, p).encode(), np.uint8) for c, p in zip(codes, walk(codes, [0] * len(codes)), strict=True)]
-            keys = [band_keys(p, width, bands) if len(p) >= LEAST_SAMPLES else [] for p in prints]
-            short = [sample_bytes(len(c), p) for c, p in zip(codes, prints, strict=True)]
+            keys = [band_keys(p, len(c), width, bands) if len(p) >= LEAST_SAMPLES else [] for c, p in zip(codes, prints, strict=True)]
+            short = [sketch_bytes(c) for c in codes]
             size = [len(c) // 4 + 1 for c in codes]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary()), pa.array(size, pa.int32())], ["id", "h1", "h2", "pick", "bands", "short", "size"])
 

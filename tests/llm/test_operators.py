@@ -454,6 +454,52 @@ def test_near_classes_recall(spark):
     assert len(want) > 240 and set(got) <= set(want) and found >= 0.9 * len(want)
 
 
+def test_texts_too_far_apart_stay_where_they_are(spark, monkeypatch):
+    """Copies with 12 letters changed, and unlike texts that begin alike, are told apart without their texts; near ones are not."""
+    r = random.Random(32)
+    base, rows = prose(77, 300), []
+    for i in range(25):
+        chars = list(base)
+        for at in r.sample(range(len(chars)), 12):
+            chars[at] = r.choice("qzxj")
+        rows.append((i, "".join(chars)))
+    rows += [(100 + i, "ab" * (500 + 40 * i)) for i in range(25)]
+    near = rows[7][1]
+    rows += [(500, near[:900] + "q" + near[900:]), (501, "ab" * 501)]
+    steps, write = Counter(), near_classes.saved
+
+    def counted(df, name):
+        out = write(df, name)
+        steps[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near_classes, "saved", counted)
+    got = {x["id"]: x["near_class"] for x in edit_embedding.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {500: 7, 501: 100}
+    assert steps["wanted-texts"] <= 8 and steps["block-texts"] == 0
+
+
+@pytest.mark.parametrize("size", [64, 500, 1500])
+def test_bands_and_sketches_part_no_near_pair(size):
+    """Lengths around every boundary between spans, in which near texts share a whole run of keys when their samples do."""
+    r = random.Random(size)
+    print_ = np.full(190, 48, np.uint8)  # two octaves, and nearly a third
+    for n in range(size, size + 3 * edit_embedding.SPAN):
+        for m in range(n, n + 9):
+            one, two = (edit_embedding.band_keys(print_, k, 8, 9) for k in (n, m))
+            met = sum(a == b for a, b in zip(one, two, strict=True) if a is not None)
+            assert met >= 9 if m - n <= 4 else met in (0, 9)
+        assert not set(one) & set(edit_embedding.band_keys(print_, n + 3 * edit_embedding.SPAN, 8, 9)) - {None}
+    text = prose(size, size // 8)
+    for n in range(60):
+        chars = list(text)
+        for _ in range(n % 5):
+            at = r.randrange(len(chars))
+            chars[at : at + r.randrange(2)] = r.choice(["", "q", "é", "x"])
+        pair = [np.frombuffer(edit_embedding.sketch_bytes(edit_embedding.classes(t)), np.uint8).reshape(1, -1) for t in (text, "".join(chars))]
+        assert edit_embedding.agree(*pair).all()
+
+
 def test_ranges_of_ids(docs, monkeypatch):
     want = sorted(map(str, edit_embedding.fingerprint_digest(docs).collect()))
     monkeypatch.setattr(edit_embedding, "ROWS_PER_BUCKET", 2)

@@ -30,6 +30,11 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def listed(words: pa.Array) -> list[str]:
+    """What to_pylist() gives, in a tenth of its time, as no Arrow scalar is made for each word."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids travel as bytes, four a token, little-endian: a text's are those of its pieces joined."""
 
@@ -73,26 +78,28 @@ class Encoder:
         letters = pc.match_substring_regex(stems, LETTERS)
         low = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
         cut = pc.and_(letters, pc.not_equal(low, fresh))
-        low, whole, known = low.filter(cut).to_pylist(), fresh.filter(cut).to_pylist(), self.known
+        low, whole, known = listed(low.filter(cut)), listed(fresh.filter(cut)), self.known
         ends = [w[len(x) :] for w, x in zip(whole, low, strict=True)]
-        plain = fresh.filter(pc.and_not(letters, cut)).to_pylist()
+        plain = listed(fresh.filter(pc.and_not(letters, cut)))
         self._encode_letters(self._unknown(dict.fromkeys([*low, *plain])))
-        self._encode_each(self._unknown(dict.fromkeys([*fresh.filter(pc.invert(letters)).to_pylist(), *ends])))
+        self._encode_each(self._unknown(dict.fromkeys([*listed(fresh.filter(pc.invert(letters))), *ends])))
         known.update((w, known[x] + known[e]) for w, x, e in zip(whole, low, ends, strict=True))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text. Null: none."""
         words = Words(texts)
-        distinct = words.distinct.to_pylist()
+        distinct = listed(words.distinct)
         if len(self.known) > self.most:
             self.known, self.older = {}, self.known
         known = self.known
         if fresh := self._unknown(distinct):
             self._learn(pa.array(fresh, pa.large_string()))
-        own = [known[w] for w in distinct]
-        parts = list(map(own.__getitem__, words.codes.tolist()))
-        starts = words.starts.tolist()
-        return [b"".join(parts[x:y]) for x, y in zip(starts, starts[1:], strict=False)]
+        if not len(words.codes):
+            return [b""] * len(texts)
+        flat = pa.array([known[w] for w in distinct], pa.large_binary()).take(pa.array(words.codes))  # words in the texts' order: no Python work for each
+        _, stops, ids = flat.buffers()
+        stops, ids = np.frombuffer(stops, np.int64)[words.starts].tolist(), memoryview(ids or b"")  # none where all words are blanks beyond ASCII
+        return [bytes(ids[x:y]) for x, y in zip(stops, stops[1:], strict=False)]
 
 
 @functools.cache

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -198,6 +199,29 @@ def test_encoder():
         assert np.frombuffer(made[i], "<u4").tolist() == tokenizer(TOKENS).encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("texts", [[], [None], ["", " "], ["\u00a0", None, "\u3000 \u00a0"], ["a\0b \0", "\u00a0x", None, "x x"]])
+def test_encoder_of_few_words(texts):
+    made = Encoder(TOKENS).encode(pa.array(texts, pa.string()))
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [tokenizer(TOKENS).encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_encoder_of_repeated_words():
+    """Python holds distinct words alone: no object, nor a place in a list, for each of a million occurrences."""
+    n, encoder = 1_000_000, Encoder(TOKENS)
+    texts = pa.array(["the of " * (n // 4)] * 2)
+    encoder.encode(texts)
+    tracemalloc.start()
+    words = Words(texts)
+    alone = tracemalloc.get_traced_memory()[1]
+    del words
+    tracemalloc.reset_peak()
+    made = encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(m) for m in made] == [2 * n, 2 * n] and made[0] == made[1]
+    assert peak < max(alone, 8 * n + 4 * n) + n  # what Words takes on its way, or its codes beside the ids
+
+
 def check_packing(rows, size=2048):
     by = {}
     for r in rows:
